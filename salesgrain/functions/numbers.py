@@ -19,6 +19,12 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), bottom)
 
 
+def half_up(c: Column | str, digits: int) -> Column:
+    """Half-up rounding. A quotient of exact sums carries binary noise far below any digit shown;
+    dropping it first keeps exact ties on the upper side."""
+    return F.round(F.round(c, 8), digits)
+
+
 def sum_where(value: Column, condition: Column) -> Column:
     return F.sum(F.when(condition, value))
 

@@ -11,6 +11,7 @@ from salesgrain.functions import text, times
 from salesgrain.functions.numbers import MONEY, zero_if_null
 from salesgrain.operators.asof import latest_at_or_before
 from salesgrain.params import Params
+from salesgrain.plans.staging import Stage
 from salesgrain.sources.relations import Relations
 
 UNIT_GROUPS = ("main", "bev", "bev_water", "bev_paid", "bev_premium", "side", "topping", "dessert", "set")
@@ -34,10 +35,11 @@ def in_group(group: str) -> Column:
 
 
 class Base:
-    def __init__(self, rel: Relations, params: Params):
+    def __init__(self, rel: Relations, params: Params, stage: Stage):
         self.rel = rel
         self.params = params
         self.rules = params.rules
+        self.stage = stage
 
     @property
     def spark(self) -> SparkSession:
@@ -60,7 +62,7 @@ class Base:
             F.col("is_confirmed_live") & (F.col("location_type") == "branch")
         )
         hour = F.hour("closed_at")
-        return (
+        kept = (
             self.rel["orders"]
             .where(
                 F.col("is_finalized")
@@ -76,6 +78,7 @@ class Base:
                 times.month_key(F.col("business_date")).alias("ym"),
             )
         )
+        return self.stage.keep("orders", kept)
 
     # ---- B2 ------------------------------------------------------------------------------
     @cached_property
@@ -176,11 +179,12 @@ class Base:
     def units(self) -> DataFrame:
         """Every unit sold: one row per menu line, item option or set pick of a kept order."""
         place = self.orders.select("order_id", "location_id", "business_date", "daypart", "channel")
-        return (
+        placed = (
             self.sold_rows.where(~F.col("is_free"))
             .drop("is_free", "is_gift")
             .join(place, "order_id")
         )
+        return self.stage.keep("units", placed)
 
     # ---- B5, B6 --------------------------------------------------------------------------
     @cached_property
@@ -200,9 +204,10 @@ class Base:
         per_order = self.sold_rows.groupBy("order_id").agg(*sums, F.bool_or("is_gift").alias("_gift"))
         filled = [zero_if_null(F.col(c)).alias(c) for c in (*FACT_COLUMNS, "set_set_units")]
         promo = F.when(F.col("_gift"), self.rules.buy2get1_promo).otherwise(self.rules.no_promo)
-        return self.orders.join(per_order, "order_id", "left").select(
+        facts = self.orders.join(per_order, "order_id", "left").select(
             *self.orders.columns, *filled, promo.alias("promo")
         )
+        return self.stage.keep("order_facts", facts)
 
     @cached_property
     def meal_facts(self) -> DataFrame:
@@ -234,11 +239,12 @@ class Base:
             F.col("parentsaletabid") == 0, "order_id", "master_id",
         )
         dine_in = self.orders.where(F.col("channel") == "dine_in").select("order_id")
-        return (
+        children = (
             found.where((F.col("parentsaletabid") > 0) & F.col("master_id").isNotNull())
             .select("order_id", "master_id")
             .join(dine_in, "order_id", "left_semi")
         )
+        return self.stage.keep("split_children", children)
 
     @cached_property
     def party(self) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesgrain.functions import text, times
+from salesgrain.functions.numbers import half_up
 
 
 def pair_lift(t) -> DataFrame:
@@ -46,7 +47,7 @@ def pair_lift(t) -> DataFrame:
         .join(count_b, ["location_id", "item_b"])
         .join(bills, "location_id")
         .select("location_id", "item_a", "item_b", "bills_ab", "bills_a", "bills_b", "total_bills",
-                F.round(lift, 2).alias("lift"))
+                half_up(lift, 2).alias("lift"))
     )
 
 
@@ -83,6 +84,6 @@ def pair_attach(t) -> DataFrame:
     grain = ["location_id", "channel", "week_start", "main_family"]
     main_bills = mains.groupBy(*grain).agg(F.count("*").alias("bills_main"))
     both = mains.join(extras, "order_id").groupBy(*grain, "item").agg(
-        F.count("*").alias("bills_both"), F.round(F.sum("thb"), 2).alias("thb_both")
+        F.count("*").alias("bills_both"), half_up(F.sum("thb"), 2).alias("thb_both")
     )
     return both.join(main_bills, grain).select(*grain, "item", "bills_main", "bills_both", "thb_both")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from salesgrain.params import Params
 from salesgrain.plans import baskets, daily, matching, monthly, occupancy, opportunity
 from salesgrain.plans.base import Base
+from salesgrain.plans.staging import Stage, no_stage
 from salesgrain.sources.relations import PLATFORM_TABLES, Relations
 
 BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
@@ -32,21 +33,22 @@ HELPERS: dict[str, Callable[[Tables], DataFrame]] = {
 
 
 class Tables:
-    """Derived tables on demand: built from the base, unless a stored copy was put in place."""
+    """Derived tables on demand. `build` gives the plan; `t[name]` is how another plan reads one,
+    from its stored copy when the stage keeps that name."""
 
-    def __init__(self, rel: Relations, params: Params):
+    def __init__(self, rel: Relations, params: Params, stage: Stage | None = None):
         self.rel = rel
         self.params = params
-        self.base = Base(rel, params)
+        self.stage = stage or no_stage(rel.spark)
+        self.base = Base(rel, params, self.stage)
         self._known: dict[str, DataFrame] = {}
 
+    def build(self, name: str) -> DataFrame:
+        if name in PLATFORM_TABLES and name not in BUILDERS:
+            return self.rel[name]
+        return (BUILDERS.get(name) or HELPERS[name])(self)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._known:
-            if name in PLATFORM_TABLES and name not in BUILDERS:
-                self._known[name] = self.rel[name]
-            else:
-                self._known[name] = (BUILDERS.get(name) or HELPERS[name])(self)
+            self._known[name] = self.stage.keep(name, self.build(name))
         return self._known[name]
-
-    def put(self, name: str, df: DataFrame) -> None:
-        self._known[name] = df

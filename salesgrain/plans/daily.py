@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesgrain.functions import times
-from salesgrain.functions.numbers import ratio
+from salesgrain.functions.numbers import half_up, ratio
 
 TREE_UNITS = ("main", "bev", "bev_water", "bev_paid", "bev_premium", "side", "topping", "dessert")
 TREE_THB = ("main", "bev", "side", "topping", "dessert", "bev_paid", "bev_premium")
@@ -74,8 +74,8 @@ def dwell(t) -> DataFrame:
     )
     return sums.select(
         "location_id", "business_date", "daypart", "sessions",
-        F.round(ratio(F.col("minutes"), F.col("sessions")), 1).alias("avg_dwell_min"),
-        F.round(ratio(F.col("guests"), F.col("parties")), 2).alias("avg_party"),
+        half_up(ratio(F.col("minutes"), F.col("sessions")), 1).alias("avg_dwell_min"),
+        half_up(ratio(F.col("guests"), F.col("parties")), 2).alias("avg_party"),
     )
 
 
@@ -92,7 +92,7 @@ def pax_trust(t) -> DataFrame:
     inside = F.col("bowls").between(F.col("keyed_pax") * low, F.col("keyed_pax") * high)
     return sums.select(
         "location_id", "business_date", "bowls", "keyed_pax",
-        F.when(keyed, F.round(ratio(F.col("bowls"), F.col("keyed_pax")), 2)).alias("ratio"),
+        F.when(keyed, half_up(ratio(F.col("bowls"), F.col("keyed_pax")), 2)).alias("ratio"),
         F.coalesce(keyed & inside, F.lit(False)).alias("trusted"),
     )
 
@@ -113,7 +113,7 @@ def item_daily(t) -> DataFrame:
     return sums.join(vendor, "itemid", "left").select(
         "location_id", "business_date", "channel", F.col("itemid").alias("item_id"), "item_name",
         "main_category", "sub_category", "bev_tier", "units", "thb", "bills",
-        F.round(ratio(F.col("thb"), F.col("units")), 2).alias("avg_price"), "source",
+        half_up(ratio(F.col("thb"), F.col("units")), 2).alias("avg_price"), "source",
     )
 
 
@@ -156,7 +156,7 @@ def _with_baseline(t, days: DataFrame) -> DataFrame:
     count = F.count(usual).over(frame)
     mean = ratio(F.sum(usual).over(frame), count)
     return days.withColumn("comparables", count).withColumn(
-        "expected_thb", F.when(F.col("comparables") >= p.baseline_min_days, F.round(mean, 0))
+        "expected_thb", F.when(F.col("comparables") >= p.baseline_min_days, half_up(mean, 0))
     )
 
 
@@ -180,6 +180,6 @@ def calendar_daily(t) -> DataFrame:
         .select(
             "location_id", "business_date", "channel", "orders", "net_thb", "dow", "dom", "wom",
             "is_holiday", "rain_mm", "expected_thb",
-            F.when(expected > 0, F.round(gap, 1)).alias("gap_pct"),
+            F.when(expected > 0, half_up(gap, 1)).alias("gap_pct"),
         )
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesgrain.functions import text
-from salesgrain.functions.numbers import ratio, zero_if_null
+from salesgrain.functions.numbers import half_up, ratio, zero_if_null
 
 PLACE = ["location_id", "ym", "channel"]
 
@@ -149,7 +149,7 @@ def member_visits(t) -> DataFrame:
         F.md5(F.col("customerid").cast("string")).alias("member_key"),
         "last_location_id", "visits", "first_date", "last_date",
         F.datediff(F.lit(t.params.as_of), "last_date").alias("days_since"),
-        F.round(ratio(F.col("net"), F.col("visits")), 0).alias("avg_thb"),
+        half_up(ratio(F.col("net"), F.col("visits")), 0).alias("avg_thb"),
     )
 
 

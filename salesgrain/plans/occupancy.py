@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesgrain.functions.numbers import MONEY, ratio, zero_if_null
+from salesgrain.functions.numbers import MONEY, half_up, ratio, zero_if_null
 from salesgrain.functions.times import HOUR, MINUTE, clock_micros
 from salesgrain.operators.median import exact_percentile
 from salesgrain.operators.ranks import best_other, in_rolling_windows, second_best, smaller_target
@@ -63,6 +63,7 @@ def _intervals(t) -> DataFrame:
         .withColumn("dwell_us", F.col("end_us") - F.col("start_us"))
         .withColumn("start_hour", F.pmod(F.floor(F.col("start_us") / HOUR), F.lit(24)).cast("int"))
     )
+    recorded = base.stage.keep("recorded_stays", recorded)
     believable = F.col("dwell_us").between(p.dwell_min * MINUTE, p.dwell_max * MINUTE)
     measured = recorded.where(~F.col("late")).withColumn("sit", believable)
     normal = measured.where(F.col("sit") & base.since("business_date", p.impute_days))
@@ -162,7 +163,7 @@ def occupancy_hourly(t) -> DataFrame:
         peak_slot = F.when(slots[k] == peak, F.lit(k)).otherwise(peak_slot)
 
     def minutes(name: str):
-        return F.round(F.coalesce(ratio(F.col(name), F.lit(MINUTE)), F.lit(0.0)), 1)
+        return half_up(F.coalesce(ratio(F.col(name), F.lit(MINUTE)), F.lit(0.0)), 1)
 
     def count(name: str):
         return F.coalesce(name, F.lit(0).cast("bigint")).alias(name)
@@ -172,7 +173,7 @@ def occupancy_hourly(t) -> DataFrame:
         minutes("person_us").alias("seat_minutes"),
         count("bills_open"), count("turns"),
         minutes("opened_us").alias("dwell_min_sum"),
-        F.round(zero_if_null(F.col("persons_opened")), 0).cast("bigint").alias("persons_opened"),
+        half_up(zero_if_null(F.col("persons_opened")), 0).cast("bigint").alias("persons_opened"),
         count("imputed_bills"),
         peak.alias("peak_persons"),
         peak_slot.cast("smallint").alias("peak_slot"),
@@ -255,15 +256,15 @@ def dead_hours(t) -> DataFrame:
         .join(ticket, "location_id")
         .withColumn("target", smaller_target(F.col("occ"), peer, F.col("own_occ")))
         .select(
-            "location_id", "hour", F.round("occ", 4).alias("occ"),
-            F.round(peer, 4).alias("peer_target"),
+            "location_id", "hour", half_up("occ", 4).alias("occ"),
+            half_up(peer, 4).alias("peer_target"),
             F.coalesce("peer_who", "best_who").alias("peer_loc"),
-            F.round("own_occ", 4).alias("own_best"), "own_best_window",
-            F.round("target", 4).alias("target_used"),
-            F.round("dwell", 1).alias("dwell_min"),
-            F.round(persons, 2).alias("persons_day"),
-            F.round(persons * F.col("ticket"), 2).alias("thb_day"),
+            half_up("own_occ", 4).alias("own_best"), "own_best_window",
+            half_up("target", 4).alias("target_used"),
+            half_up("dwell", 1).alias("dwell_min"),
+            half_up(persons, 2).alias("persons_day"),
+            half_up(persons * F.col("ticket"), 2).alias("thb_day"),
             "open_days",
-            F.round("ticket", 2).alias("ticket_thb"),
+            half_up("ticket", 2).alias("ticket_thb"),
         )
     )

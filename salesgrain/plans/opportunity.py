@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesgrain.functions import fixed_values as fv
 from salesgrain.functions import text
-from salesgrain.functions.numbers import MONEY, ratio, zero_if_null
+from salesgrain.functions.numbers import MONEY, half_up, ratio, zero_if_null
 from salesgrain.operators.ranks import best_other, in_rolling_windows, second_best, smaller_target
 
 MEAL_LEVERS = ("side", "bev_paid", "bev_premium", "dessert", "topping", "set")
@@ -75,11 +75,11 @@ def set_incremental(t) -> DataFrame:
     value = F.try_divide(floored * F.coalesce(per_bill, F.lit(0.0)), sets_per_bill)
     return per_branch.select(
         "location_id", "set_bills", "nonset_bills",
-        F.round(value, 2).alias("incremental_thb_per_set"),
+        half_up(value, 2).alias("incremental_thb_per_set"),
         F.lit(fv.SET_VALUE_METHOD.format(days=p.set_inc_days)).alias("method"),
-        F.round(diff, 2).alias("diff_per_meal_thb"),
-        F.round(per_bill, 2).alias("persons_per_set_bill"),
-        F.round(sets_per_bill, 2).alias("sets_per_set_bill"),
+        half_up(diff, 2).alias("diff_per_meal_thb"),
+        half_up(per_bill, 2).alias("persons_per_set_bill"),
+        half_up(sets_per_bill, 2).alias("sets_per_set_bill"),
     )
 
 
@@ -101,18 +101,21 @@ def _loaded_families(t) -> DataFrame:
 
 def _variant_bowls(t, days: int) -> DataFrame:
     """In-store menu bowls per day, family and variant. Items are summed before names join."""
-    base = t.base
-    bowls = (
+    p, base = t.params, t.base
+    sold = (
         base.units.where(
-            F.col("channel").isin(*t.params.rules.in_store)
+            F.col("channel").isin(*p.rules.in_store)
             & (F.col("tree_category") == "main")
             & (F.col("source") == "menu")
-            & base.full_days("business_date", days)
+            & base.full_days("business_date", max(p.own_best_days, p.opp_days))
         )
         .groupBy("location_id", "channel", "business_date", "itemid")
         .agg(F.sum("qty").alias("qty"))
+        .join(_variant_names(t).select("itemid", "family", "variant"), "itemid")
+        .groupBy("location_id", "channel", "business_date", "family", "variant")
+        .agg(F.sum("qty").cast(MONEY).alias("qty"))
     )
-    return bowls.join(_variant_names(t).select("itemid", "family", "variant"), "itemid")
+    return base.stage.keep("variant_bowls", sold).where(base.full_days("business_date", days))
 
 
 def lever_daily(t) -> DataFrame:
@@ -188,7 +191,7 @@ def lever_value(t) -> DataFrame:
             ).alias(name)
             for name, v in (("top_price", rules.top_variant), ("base_price", rules.base_variant))
         ])
-        .select("family", F.round(F.col("top_price") - F.col("base_price"), 6).cast("decimal(18,6)").alias("step"))
+        .select("family", half_up(F.col("top_price") - F.col("base_price"), 6).cast("decimal(18,6)").alias("step"))
         .where(F.col("step").isNotNull())
     )
     stepped = (
@@ -262,23 +265,23 @@ def _calculator(t) -> DataFrame:
         .otherwise("")
     )
     prefix, suffix = fv.NOTE_BASE.format(n="|", variant=t.params.rules.top_variant).split("|")
-    bowls = F.round("base", 0).cast("bigint").cast("string")
+    bowls = half_up("base", 0).cast("bigint").cast("string")
     base_note = F.when(
         F.col("lever") == "tradeup",
         F.concat(F.when(no_target, fv.NOTE_SEPARATOR).otherwise(""), F.lit(prefix), bowls, F.lit(suffix)),
     ).otherwise("")
     return _lever_rows(t).select(
         "location_id", "channel", "lever",
-        F.round("rate", 4).alias("current_rate"),
-        F.round("peer", 4).alias("peer_target"),
+        half_up("rate", 4).alias("current_rate"),
+        half_up("peer", 4).alias("peer_target"),
         F.col("peer_loc").alias("peer_best_loc"),
-        F.round("own_rate", 4).alias("own_best"),
+        half_up("own_rate", 4).alias("own_best"),
         "own_best_window",
-        F.round("target", 4).alias("target_used"),
-        F.round(gap * 100, 2).alias("gap_pp"),
+        half_up("target", 4).alias("target_used"),
+        half_up(gap * 100, 2).alias("gap_pp"),
         F.col("base").cast("double").alias("meals_30d"),
-        F.round(value, 2).alias("value_per_unit_thb"),
-        F.round(gap * F.col("base").cast("double") * value, 0).alias("uplift_thb_month"),
+        half_up(value, 2).alias("value_per_unit_thb"),
+        half_up(gap * F.col("base").cast("double") * value, 0).alias("uplift_thb_month"),
         F.concat(status, base_note).alias("note"),
     )
 
@@ -293,7 +296,7 @@ def opportunity_notes(t) -> DataFrame:
         .groupBy("location_id", "channel")
         .agg(F.sum(F.when(info, F.col("qty"))).alias("n"), F.sum("qty").alias("d"))
         .select("location_id", "channel", F.lit("tradeup").alias("lever"),
-                F.round(ratio(F.col("n"), F.col("d")) * 100, 0).cast("bigint").alias("share"),
+                half_up(ratio(F.col("n"), F.col("d")) * 100, 0).cast("bigint").alias("share"),
                 F.lit(True).alias("has_share"))
     )
     rows = _calculator(t)
@@ -319,11 +322,11 @@ def dead_hours_rollup(t) -> DataFrame:
     gap = F.col("target_used").cast("decimal(18,4)") - F.col("occ").cast("decimal(18,4)")
     worth = F.when(F.col("thb_day") > 0, F.struct(F.col("hour"), hour.alias("text")))
     rolled = t["dead_hours"].groupBy("location_id").agg(
-        F.round(mean("occ"), 4).alias("current_rate"),
-        F.round(mean("peer_target"), 4).alias("peer_target"),
-        F.round(mean("own_best"), 4).alias("own_best"),
-        F.round(mean("target_used", has_target), 4).alias("target_used"),
-        F.round(ratio(F.sum(gap) * 100, F.count(gap)), 2).alias("gap_pp"),
+        half_up(mean("occ"), 4).alias("current_rate"),
+        half_up(mean("peer_target"), 4).alias("peer_target"),
+        half_up(mean("own_best"), 4).alias("own_best"),
+        half_up(mean("target_used", has_target), 4).alias("target_used"),
+        half_up(ratio(F.sum(gap) * 100, F.count(gap)), 2).alias("gap_pp"),
         F.sum(F.col("persons_day").cast("decimal(18,2)")).alias("persons"),
         F.sum(F.col("thb_day").cast("decimal(18,2)")).alias("thb"),
         F.max("open_days").alias("days"),
@@ -338,9 +341,9 @@ def dead_hours_rollup(t) -> DataFrame:
         "location_id", F.lit("dine_in").alias("channel"), F.lit("dead_hours").alias("lever"),
         "current_rate", "peer_target", F.lit(None).cast("string").alias("peer_best_loc"), "own_best",
         F.lit(None).cast("date").alias("own_best_window"), "target_used", "gap_pp",
-        F.round(F.col("persons") * F.col("days"), 0).cast("double").alias("meals_30d"),
+        half_up(F.col("persons") * F.col("days"), 0).cast("double").alias("meals_30d"),
         "value_per_unit_thb",
-        F.round(F.col("thb") * F.col("days"), 0).cast("double").alias("uplift_thb_month"),
+        half_up(F.col("thb") * F.col("days"), 0).cast("double").alias("uplift_thb_month"),
         F.concat(hours, F.lit(fv.NOTE_SEPARATOR), F.col("days").cast("string"), F.lit(fv.NOTE_OPEN_DAYS)).alias("note"),
     )
 

@@ -41,6 +41,7 @@ PARAMS = Params(
     as_of=AS_OF,
     window_days=HISTORY_DAYS,
     pair_days=HISTORY_DAYS,
+    pair_min_bills=5,
     opp_days=HISTORY_DAYS,
     own_best_days=HISTORY_DAYS,
     own_best_span=560,
