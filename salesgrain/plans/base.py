@@ -25,13 +25,22 @@ FACT_COLUMNS = (
 )
 
 
-def in_group(group: str) -> Column:
+def group_condition(group: str) -> str:
     """Does a unit row belong to a unit group: a category, all drinks, or one drink tier."""
     if group == "bev":
-        return F.col("tree_category") == "beverage"
+        return "tree_category = 'beverage'"
     if group.startswith("bev_"):
-        return F.col("bev_tier") == group.removeprefix("bev_")
-    return F.col("tree_category") == group
+        return f"bev_tier = '{group.removeprefix('bev_')}'"
+    return f"tree_category = '{group}'"
+
+
+def unit_column(column: str) -> str:
+    """The SQL value a fact column sums, e.g. side_set_thb: money of sides picked inside sets."""
+    group, measure = column.rsplit("_", 1)
+    condition = group_condition(group.removesuffix("_set"))
+    if group.endswith("_set"):
+        condition = f"source = 'set' AND {condition}"
+    return f"CASE WHEN {condition} THEN {'qty' if measure == 'units' else 'thb'} END"
 
 
 class Base:
@@ -97,7 +106,7 @@ class Base:
         if "item_code" not in kept.columns:
             codes = self.rel["items"].select("itemid", "item_code")
             kept = kept.join(codes, "itemid", "left")
-        return kept.select(
+        flagged = kept.select(
             "order_id", "line_id", "itemid", "item_code", "name_th", "tree_category", "qty",
             "gross_inc_vat_thb", "unit_price_inc_vat_thb", "base_price_thb", "discount_thb",
             F.when(
@@ -106,13 +115,14 @@ class Base:
             ).alias("bev_tier"),
             text.is_free_item(F.col("item_code"), F.col("name_th"), self.rules).alias("is_free"),
         )
+        return self.stage.keep("lines", flagged)
 
     # ---- B3 ------------------------------------------------------------------------------
     @cached_property
     def options(self) -> DataFrame:
         """Options that hang on a kept line; a pick forced by a set is no paid upsell."""
         forced = F.col("modifier_group").rlike(self.rules.set_mandatory_re)
-        return (
+        hanging = (
             self.rel["sold_options"]
             .join(self.lines.select("order_id", "line_id"), ["order_id", "line_id"], "left_semi")
             .select(
@@ -121,6 +131,7 @@ class Base:
                 (F.col("is_paid_option") & ~forced).alias("is_paid_upsell"),
             )
         )
+        return self.stage.keep("options", hanging)
 
     @cached_property
     def item_choices(self) -> DataFrame:
@@ -178,7 +189,9 @@ class Base:
     @cached_property
     def units(self) -> DataFrame:
         """Every unit sold: one row per menu line, item option or set pick of a kept order."""
-        place = self.orders.select("order_id", "location_id", "business_date", "daypart", "channel")
+        place = self.orders.select(
+            "order_id", "location_id", "business_date", "hr", "daypart", "channel"
+        )
         placed = (
             self.sold_rows.where(~F.col("is_free"))
             .drop("is_free", "is_gift")
@@ -186,35 +199,51 @@ class Base:
         )
         return self.stage.keep("units", placed)
 
-    # ---- B5, B6 --------------------------------------------------------------------------
     @cached_property
-    def order_facts(self) -> DataFrame:
-        """One row per order. Lines are summed to the order before they meet order scalars."""
-        forced = F.col("source") == "set"
+    def unit_hours(self) -> DataFrame:
+        """Units and money per branch, day, closing hour, channel, unit group and source.
+
+        Units meet their order once and are summed map-side right there, so what is shuffled
+        after the join is bounded by the cells and not by the lines.
+        """
+        cell = ["location_id", "business_date", "hr", "daypart", "channel"]
+        sums = self.units.groupBy(*cell, "tree_category", "bev_tier", "source").agg(
+            F.sum("qty").cast(MONEY).alias("qty"), F.sum("thb").cast(MONEY).alias("thb")
+        )
+        return self.stage.keep("unit_hours", sums)
 
-        def total(value: str, condition: Column, name: str) -> Column:
-            return F.sum(F.when(condition, F.col(value))).cast(MONEY).alias(name)
+    # ---- B5, B6 --------------------------------------------------------------------------
+    def _per_order(self, sums: list[str]) -> DataFrame:
+        """Kept orders with sums over their sold rows; an order without rows gets zeros.
 
-        sums = (
-            [total("qty", in_group(g), f"{g}_units") for g in UNIT_GROUPS]
-            + [total("thb", in_group(g), f"{g}_thb") for g in THB_GROUPS]
-            + [total("qty", forced & in_group(g), f"{g}_set_units") for g in (*SET_LAYER_GROUPS, "set")]
-            + [total("thb", forced & in_group(g), f"{g}_set_thb") for g in SET_LAYER_GROUPS]
+        Lines are summed to the order before they meet order scalars, so no scalar is ever
+        multiplied by a line count.
+        """
+        exact = "CAST(sum({value}) AS DECIMAL(18,4)) AS {name}"
+        per_order = self.sold_rows.groupBy("order_id").agg(
+            *[F.expr(exact.format(value=unit_column(c), name=c)) for c in sums],
+            F.bool_or("is_gift").alias("_gift"),
         )
-        per_order = self.sold_rows.groupBy("order_id").agg(*sums, F.bool_or("is_gift").alias("_gift"))
-        filled = [zero_if_null(F.col(c)).alias(c) for c in (*FACT_COLUMNS, "set_set_units")]
+        zeros = {c: 0 for c in sums}
         promo = F.when(F.col("_gift"), self.rules.buy2get1_promo).otherwise(self.rules.no_promo)
-        facts = self.orders.join(per_order, "order_id", "left").select(
-            *self.orders.columns, *filled, promo.alias("promo")
+        return (
+            self.orders.join(per_order, "order_id", "left")
+            .fillna(zeros)
+            .withColumn("promo", promo)
+            .drop("_gift")
         )
-        return self.stage.keep("order_facts", facts)
 
     @cached_property
-    def meal_facts(self) -> DataFrame:
-        """Order facts plus meals: main units and set units, the main occasions."""
-        return self.order_facts.withColumn(
-            "meals", (F.col("main_units") + F.col("set_units")).cast(MONEY)
-        )
+    def order_facts(self) -> DataFrame:
+        """One row per order with every unit group, the set layer and the promotion tag."""
+        return self._per_order(FACT_COLUMNS)
+
+    @cached_property
+    def order_meals(self) -> DataFrame:
+        """One row per order with its main and set units; meals are the two together."""
+        facts = self._per_order(["main_units", "set_units"])
+        meals = (F.col("main_units") + F.col("set_units")).cast(MONEY)
+        return self.stage.keep("order_meals", facts.withColumn("meals", meals))
 
     # ---- B7 ------------------------------------------------------------------------------
     @cached_property

@@ -7,53 +7,55 @@ from pyspark.sql import functions as F
 
 from salesgrain.functions import times
 from salesgrain.functions.numbers import half_up, ratio
+from salesgrain.plans.base import unit_column
 
 TREE_UNITS = ("main", "bev", "bev_water", "bev_paid", "bev_premium", "side", "topping", "dessert")
 TREE_THB = ("main", "bev", "side", "topping", "dessert", "bev_paid", "bev_premium")
 TREE_SET_LAYER = ("side", "bev_paid", "bev_premium", "dessert", "topping")
 
 
-def tree_daily(t) -> DataFrame:
-    """A1. Volume and ticket by branch, day, daypart and channel; column order is a contract."""
+def with_units(t, orders: DataFrame, grain: list[str], columns: list[str]) -> DataFrame:
+    """Order-side sums joined with unit sums of the same grain; both sides are already small."""
+    total = "sum({value}) AS {name}"
+    units = t.base.unit_hours.groupBy(*grain).agg(
+        *[F.expr(total.format(value=unit_column(c), name=c)) for c in columns]
+    )
+    matched = [orders[g].eqNullSafe(units[g]) for g in grain]
+    joined = orders.join(units, matched, "left").select(*[orders[c] for c in orders.columns], *columns)
+    return joined.fillna({c: 0 for c in columns})
 
-    def totals(names, suffix):
-        return [F.sum(f"{n}_{suffix}").alias(f"{n}_{suffix}") for n in names]
 
-    unused = F.lit(0)  # two columns kept as zeros so later columns never move
+def tree_daily(t) -> DataFrame:
+    """A1. Volume and ticket by branch, day, daypart and channel; column order is a contract."""
     grain = ["location_id", "business_date", "daypart", "channel"]
-    sums = t.base.order_facts.groupBy(*grain).agg(
+    units = [f"{g}_units" for g in TREE_UNITS]
+    money = [f"{g}_thb" for g in TREE_THB]
+    set_layer = [f"{g}_set_units" for g in TREE_SET_LAYER]
+    orders = t.base.orders.groupBy(*grain).agg(
         F.count("*").alias("orders"),
         F.sum("pax").alias("pax_keyed"),
-        *totals(TREE_UNITS, "units"),
         F.sum("total_thb").alias("net_thb"),
         F.sum("discount_thb").alias("discount_thb"),
-        *totals(TREE_THB, "thb"),
-        F.sum("set_units").alias("set_units"),
-        F.sum("set_thb").alias("set_thb"),
-        *totals(TREE_SET_LAYER, "set_units"),
     )
-    return sums.select(
-        *grain, "orders", "pax_keyed",
-        *[f"{n}_units" for n in TREE_UNITS],
+    columns = [*units, *money, "set_units", "set_thb", *set_layer]
+    unused = F.lit(0)  # two columns kept as zeros so later columns never move
+    return with_units(t, orders, grain, columns).select(
+        *grain, "orders", "pax_keyed", *units,
         unused.alias("paid_option_picks"), unused.cast("decimal(18,4)").alias("paid_option_thb"),
         (F.col("net_thb") + F.col("discount_thb")).alias("gross_thb"), "discount_thb", "net_thb",
-        *[f"{n}_thb" for n in TREE_THB],
-        "set_units", "set_thb",
-        *[f"{n}_set_units" for n in TREE_SET_LAYER],
+        *money, "set_units", "set_thb", *set_layer,
     )
 
 
 def hourly(t) -> DataFrame:
     """A2. Orders, keyed guests, net and mains by branch, day, closing hour and channel."""
-    return (
-        t.base.order_facts.groupBy("location_id", "business_date", F.col("hr").alias("hour"), "channel")
-        .agg(
-            F.count("*").alias("orders"),
-            F.sum("pax").alias("pax_keyed"),
-            F.sum("total_thb").alias("net_thb"),
-            F.sum("main_units").alias("main_units"),
-        )
+    grain = ["location_id", "business_date", "hr", "channel"]
+    orders = t.base.orders.groupBy(*grain).agg(
+        F.count("*").alias("orders"),
+        F.sum("pax").alias("pax_keyed"),
+        F.sum("total_thb").alias("net_thb"),
     )
+    return with_units(t, orders, grain, ["main_units"]).withColumnRenamed("hr", "hour")
 
 
 def dwell(t) -> DataFrame:
@@ -82,10 +84,12 @@ def dwell(t) -> DataFrame:
 def pax_trust(t) -> DataFrame:
     """A4. Bowls per keyed guest; outside the band the keyed count is not believed."""
     p = t.params
-    sums = (
-        t.base.meal_facts.where(F.col("channel") == "dine_in")
-        .groupBy("location_id", "business_date")
-        .agg(F.sum("meals").alias("bowls"), F.sum("pax").alias("keyed_pax"))
+    grain = ["location_id", "business_date", "channel"]
+    guests = (
+        t.base.orders.where(F.col("channel") == "dine_in").groupBy(*grain).agg(F.sum("pax").alias("keyed_pax"))
+    )
+    sums = with_units(t, guests, grain, ["main_units", "set_units"]).withColumn(
+        "bowls", F.col("main_units") + F.col("set_units")
     )
     keyed = F.col("keyed_pax") > 0
     low, high = (F.lit(x).cast("decimal(3,2)") for x in (p.trust_low, p.trust_high))
@@ -119,7 +123,7 @@ def item_daily(t) -> DataFrame:
 
 def promo_daily(t) -> DataFrame:
     """A14. Bills, mains and net with and without the derived promotion."""
-    return t.base.order_facts.groupBy("location_id", "business_date", "channel", "promo").agg(
+    return t.base.order_meals.groupBy("location_id", "business_date", "channel", "promo").agg(
         F.count("*").alias("bills"),
         F.sum("main_units").alias("main_units"),
         F.sum("total_thb").alias("net_thb"),

@@ -80,7 +80,7 @@ def party_size(t) -> DataFrame:
     """
     base = t.base
     place = ["location_id", "ym", "channel", "daypart"]
-    facts = base.meal_facts.select("order_id", *place, "total_thb", "main_units", "meals")
+    facts = base.order_meals.select("order_id", *place, "total_thb", "main_units", "meals")
     children = base.split_children
     parties = (
         facts.join(children, "order_id")

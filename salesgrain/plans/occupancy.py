@@ -83,7 +83,7 @@ def _intervals(t) -> DataFrame:
         .withColumn("start_us", F.col("end_us") - F.col("dwell_us"))
         .select(*columns, F.lit(True).alias("imputed"), F.lit(True).alias("sit"))
     )
-    persons = base.meal_facts.where(F.col("channel") == "dine_in").select(
+    persons = base.order_meals.where(F.col("channel") == "dine_in").select(
         "order_id", F.greatest(F.col("meals"), F.lit(1).cast(MONEY)).alias("persons")
     )
     return (
@@ -243,10 +243,13 @@ def dead_hours(t) -> DataFrame:
         .select("location_id", "hour", F.col("best.occ").alias("own_occ"),
                 F.col("best.window_start").alias("own_best_window"))
     )
+    window = (F.col("channel") == "dine_in") & base.full_days("business_date", p.opp_days)
+    net = base.orders.where(window).groupBy("location_id").agg(F.sum("total_thb").alias("net"))
     ticket = (
-        base.meal_facts.where((F.col("channel") == "dine_in") & base.full_days("business_date", p.opp_days))
+        base.unit_hours.where(window & F.col("tree_category").isin("main", "set"))
         .groupBy("location_id")
-        .agg(F.sum("total_thb").alias("net"), F.sum("meals").alias("meals"))
+        .agg(F.sum("qty").alias("meals"))
+        .join(net, "location_id", "right")
         .select("location_id", ratio(F.col("net"), F.col("meals")).alias("ticket"))
     )
     peer = F.coalesce("peer_rate", "best_rate")

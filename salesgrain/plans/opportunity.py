@@ -14,9 +14,13 @@ MEAL_LEVERS = ("side", "bev_paid", "bev_premium", "dessert", "topping", "set")
 PRICED_LEVERS = ("side", "dessert", "topping", "bev_paid", "bev_premium")
 
 
-def _upsell(group: str, measure: str) -> Column:
-    """Units or money of a group without what a set already includes."""
-    return F.col(f"{group}_{measure}") - F.col(f"{group}_set_{measure}")
+def _lever_of_units() -> Column:
+    """The lever a unit row counts for, NULL when none; picks inside a set count for none."""
+    category, tier = F.col("tree_category"), F.col("bev_tier")
+    lever = F.when(category.isin("side", "dessert", "topping", "set"), category).when(
+        tier.isin("paid", "premium"), F.concat(F.lit("bev_"), tier)
+    )
+    return F.when(F.col("source") != "set", lever)
 
 
 def set_incremental(t) -> DataFrame:
@@ -35,7 +39,7 @@ def set_incremental(t) -> DataFrame:
         ]
 
     per_bucket = (
-        base.meal_facts.where(
+        base.order_meals.where(
             base.full_days("business_date", p.set_inc_days)
             & F.col("channel").isin(*p.rules.in_store)
             & (persons > 0)
@@ -121,17 +125,20 @@ def _variant_bowls(t, days: int) -> DataFrame:
 def lever_daily(t) -> DataFrame:
     """A20. Daily numerator and denominator of every lever, the grain own-best windows need."""
     p, base = t.params, t.base
-    per_day = (
-        base.meal_facts.where(
-            F.col("channel").isin(*p.rules.in_store) & base.full_days("business_date", p.own_best_days)
-        )
-        .groupBy("location_id", "channel", "business_date")
-        .agg(F.sum("meals").alias("d"), *[F.sum(_upsell(g, "units")).alias(g) for g in MEAL_LEVERS])
+    day = ["location_id", "channel", "business_date"]
+    window = F.col("channel").isin(*p.rules.in_store) & base.full_days("business_date", p.own_best_days)
+    units = base.unit_hours.where(window).withColumn("lever", _lever_of_units())
+    per_day = units.groupBy(*day).agg(
+        F.sum(F.when(F.col("tree_category").isin("main", "set"), F.col("qty"))).alias("d"),
+        *[F.sum(F.when(F.col("lever") == g, F.col("qty"))).alias(g) for g in MEAL_LEVERS],
+    )
+    meal_levers = (
+        base.orders.where(window).select(*day).distinct()
+        .join(per_day, day, "left")
+        .fillna(0)
+        .unpivot([*day, "d"], list(MEAL_LEVERS), "lever", "n")
+        .select(*day, "lever", "n", "d")
     )
-    meal_levers = per_day.select(
-        "location_id", "channel", "business_date", "d",
-        F.explode(F.array(*[F.struct(F.lit(g).alias("lever"), F.col(g).alias("n")) for g in MEAL_LEVERS])).alias("l"),
-    ).select("location_id", "channel", "business_date", "l.lever", "l.n", "d")
     top = F.col("variant") == p.rules.top_variant
     trade_up = (
         _variant_bowls(t, p.own_best_days)
@@ -156,28 +163,19 @@ def _water_price(t) -> Column:
 def lever_value(t) -> DataFrame:
     """A21. What one more unit of a lever is worth to a branch."""
     p, base, rules = t.params, t.base, t.params.rules
-    sums = (
-        base.meal_facts.where(
-            F.col("channel").isin(*rules.in_store) & base.full_days("business_date", p.opp_days)
-        )
-        .groupBy("location_id")
-        .agg(*[
-            F.struct(
-                F.lit(g).alias("lever"),
-                F.sum(_upsell(g, "thb")).alias("thb"),
-                F.sum(_upsell(g, "units")).alias("units"),
-            ).alias(g)
-            for g in PRICED_LEVERS
-        ])
-    )
-    price = ratio(F.col("l.thb"), F.col("l.units"))
+    price = ratio(F.col("thb"), F.col("units"))
     from_water = F.greatest(price - _water_price(t), F.lit(0.0))
     priced = (
-        sums.select("location_id", F.explode(F.array(*PRICED_LEVERS)).alias("l"))
-        .where(F.col("l.units") != 0)
+        base.unit_hours.where(
+            F.col("channel").isin(*rules.in_store) & base.full_days("business_date", p.opp_days)
+        )
+        .withColumn("lever", _lever_of_units())
+        .where(F.col("lever").isin(*PRICED_LEVERS))
+        .groupBy("location_id", "lever")
+        .agg(F.sum("thb").alias("thb"), F.sum("qty").alias("units"))
         .select(
-            "location_id", F.col("l.lever").alias("lever"),
-            F.when(F.col("l.lever").startswith("bev_"), from_water).otherwise(price).alias("value"),
+            "location_id", "lever",
+            F.when(F.col("lever").startswith("bev_"), from_water).otherwise(price).alias("value"),
         )
     )
     listed = (

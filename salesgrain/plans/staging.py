@@ -7,9 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-FACTS = frozenset({"order_facts"})
 STAYS = frozenset({"recorded_stays"})
-DEAD_HOURS = FACTS | STAYS | {"occupancy_hourly"}
+DEAD_HOURS = STAYS | {"unit_hours", "occupancy_hourly"}
 CALCULATOR = DEAD_HOURS | {"variant_bowls", "lever_daily", "dead_hours"}
 
 

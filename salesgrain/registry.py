@@ -30,7 +30,7 @@ def base_options(t: Tables) -> DataFrame:
 
 
 def base_units(t: Tables) -> DataFrame:
-    return t.base.units
+    return t.base.units.drop("hr")
 
 
 def base_order_facts(t: Tables) -> DataFrame:
@@ -40,7 +40,7 @@ def base_order_facts(t: Tables) -> DataFrame:
 
 
 def base_promo(t: Tables) -> DataFrame:
-    return t.base.order_facts.groupBy("promo").agg(F.count("*").alias("orders"))
+    return t.base.order_meals.groupBy("promo").agg(F.count("*").alias("orders"))
 
 
 def base_party(t: Tables) -> DataFrame:

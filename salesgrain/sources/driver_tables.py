@@ -10,10 +10,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesgrain.functions.numbers import MONEY
 from salesgrain.params import Params, Rules
 from salesgrain.sources.relations import Relations
 
@@ -64,418 +63,320 @@ PARAMS = Params(
     rules=RULES,
 )
 
-NUMBERED_STATUS = ("ads", "adjustment", "other")
-
-
-def _case(pairs: list[tuple[Column, object]], otherwise: object = None) -> Column:
-    out = None
-    for condition, value in pairs:
-        out = F.when(condition, value) if out is None else out.when(condition, value)
-    return out.otherwise(otherwise)
-
-
-def _minutes(n: Column) -> Column:
-    return F.make_dt_interval(mins=n.cast("int"))
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": """c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
+        value double, props string""",
+}
+
+MIDNIGHT = "CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP_NTZ)"
+NOUN = "substring_index(p_name, ' ', -1)"
+# 'small ring' becomes 'R4 ring small': a menu code, the dish, its variant
+ITEM_NAME = (
+    f"concat(upper(substring({NOUN}, 1, 1)), length({NOUN}), ' ', {NOUN}, ' ', "
+    "substring_index(p_name, ' ', 1))"
+)
+CATEGORY = """CASE p_type WHEN 'STANDARD' THEN 'main' WHEN 'SMALL' THEN 'side'
+    WHEN 'MEDIUM' THEN 'beverage' WHEN 'LARGE' THEN 'topping' WHEN 'ECONOMY' THEN 'dessert'
+    WHEN 'PROMO' THEN 'set' END"""
+GIVEN_AWAY = "l_linenumber = 3 AND l_discount = 0.05"
+ONE_PER_MEAL = "CASE WHEN category IN ('main', 'set') THEN 1 ELSE l_quantity END"
+
+
+def money(expr: str) -> str:
+    return f"CAST({expr} AS DECIMAL(18,4))"
+
+
+def share(percent: str) -> str:
+    """A percentage of the bill, exact to four decimals."""
+    return money(f"total_thb * CAST({percent} AS DECIMAL(3,2))")
+
+
+def minutes(expr: str) -> str:
+    return f"make_dt_interval(0, 0, CAST({expr} AS INT))"
+
+
+BRANCH_ORDERS = [
+    "o_orderkey AS order_id",
+    "concat('R', n_regionkey) AS location_id",
+    "n_regionkey AS branchid",
+    "CAST(o_orderdate AS DATE) AS business_date",
+    f"{MIDNIGHT} AS midnight",
+    """CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'dine_in'
+            WHEN o_orderpriority = '5-LOW' THEN 'delivery' ELSE 'take_away' END AS channel""",
+    f"{money('o_totalprice')} AS total_thb",
+    "o_custkey",
+    "(o_orderkey % 14 + 9) * 60 + (o_orderkey div 14) % 60 AS closed_minute",
+    "CASE WHEN o_orderkey % 10 = 7 THEN 1 ELSE (o_orderkey * 37) % 257 END AS stay",
+    "o_totalprice >= 1000 AS is_finalized",
+    "o_orderstatus = 'P' AS is_voided",
+]
+ORDERS = [
+    "order_id", "location_id", "business_date", "channel",
+    f"CASE WHEN order_id % 17 <> 0 THEN {money('order_id % 2 + 1')} END AS pax",
+    "total_thb",
+    f"CASE WHEN order_id % 5 = 0 THEN {share('0.05')} ELSE {money('0')} END AS discount_thb",
+    "CASE order_id % 10 WHEN 3 THEN NULL WHEN 4 THEN 0 ELSE o_custkey END AS customerid",
+    f"CASE WHEN order_id % 23 <> 0 THEN midnight + {minutes('closed_minute - stay')} END AS opened_at",
+    f"CASE WHEN order_id % 101 <> 0 THEN midnight + {minutes('closed_minute')} END AS closed_at",
+    "is_finalized", "is_voided",
+]
+ITEMS = [
+    "p_partkey AS itemid", "concat('P', p_partkey) AS item_code", f"{ITEM_NAME} AS name_th",
+    f"{CATEGORY} AS tree_category", f"{money('p_retailprice')} AS retail_price_thb",
+    "p_brand AS vendor_category",
+]
+ORDER_LINES = [
+    "l_orderkey AS order_id", "l_orderkey * 8 + l_linenumber AS line_id", "l_partkey AS itemid",
+    "concat('P', l_partkey) AS item_code", "name_th",
+    "CASE WHEN p_size <> 50 THEN category END AS tree_category",
+    f"{money(ONE_PER_MEAL)} AS qty",
+    f"CASE WHEN {GIVEN_AWAY} THEN {money('0')} ELSE {money('l_extendedprice')} END AS gross_inc_vat_thb",
+    "price AS unit_price_inc_vat_thb", "price AS base_price_thb",
+    f"""CASE WHEN {GIVEN_AWAY} THEN {money('0')}
+        ELSE {money(f"{money('l_extendedprice')} * CAST(l_discount AS DECIMAL(4,2))")} END AS discount_thb""",
+    "l_tax < 0.08 AS is_active", "l_quantity = 50 AS is_special_line",
+    "CASE WHEN l_tax <> 0.02 THEN l_returnflag = 'R' END AS is_take_home",
+]
+SOLD_OPTIONS = [
+    "l_orderkey AS order_id", "l_orderkey * 8 + l_linenumber - 5 AS line_id",
+    "concat('dish ', l_suppkey % 10) AS dish_th",
+    """concat(p_brand, CASE WHEN category = 'topping' THEN ' topping' ELSE '' END,
+        CASE WHEN l_linenumber = 7 THEN ' set' ELSE ' add' END) AS modifier_group""",
+    "concat(name_th, CASE WHEN l_returnflag = 'A' THEN ' **' ELSE '' END) AS choice_th",
+    f"{money('CAST(l_quantity AS INT) % 3 + 1')} AS choice_qty",
+    f"""CASE WHEN l_discount > 0 THEN {money('price * CAST(0.01 AS DECIMAL(3,2))')}
+        ELSE {money('0')} END AS paid_price_thb""",
+    "l_discount > 0 AS is_paid_option",
+]
+DIGITS_3 = "lpad(CAST(order_id % 900 AS STRING), 3, '0')"
+DIGITS_4 = "lpad(CAST(order_id % 9000 AS STRING), 4, '0')"
+TABS = [
+    "order_id", "branchid", "(order_id div 2) % 2 AS fbtableid",
+    "CASE WHEN channel = 'dine_in' THEN order_id % 2 ELSE 0 END AS parentsaletabid",
+    "CASE WHEN channel = 'dine_in' THEN concat('Split#', order_id % 2 + 1) END AS splittabname",
+    f"""midnight + CASE channel
+        WHEN 'dine_in' THEN make_dt_interval(0, 0, 0, (order_id * 7919) % 86400)
+        WHEN 'delivery' THEN {minutes('(order_id % 14 + 9) * 60 + order_id % 50 + order_id % 31')}
+        ELSE {minutes('(order_id % 14 + 9) * 60')} END AS starttime""",
+    f"""CASE WHEN channel <> 'delivery' THEN NULL
+        WHEN order_id % 4 = 0 THEN concat('GF-', {DIGITS_3})
+        WHEN order_id % 4 = 1 THEN concat(' gf ', CASE WHEN (order_id div 4) % 2 = 0 THEN {DIGITS_4}
+            ELSE right({DIGITS_4}, 3) END) END AS refdeliveryorder""",
+    f"""CASE WHEN channel = 'delivery' AND order_id % 4 = 2 THEN {DIGITS_3}
+        WHEN channel <> 'dine_in' THEN 'TakeAway1' END AS takehomename""",
+]
+SESSIONS = [
+    "event_id AS order_id", f"{money('user_id % 4 + 1')} AS pax", f"{money('value')} AS dwell_minutes",
+    "seated_at", "seated_at + make_dt_interval(0, 0, 0, round(value * 60, 0)) AS left_at",
+    "CASE event_type WHEN 'error' THEN true WHEN 'signup' THEN false END AS is_cancelled",
+]
+PLATFORM_ROWS = [
+    "order_id", "concat('T', order_id) AS row_id", "concat('B', order_id) AS booking_id", "location_id",
+    "business_date",
+    f"midnight + {minutes('(order_id % 14 + 9) * 60 + order_id % 50')} AS created_at",
+    f"CASE WHEN order_id % 4 = 1 THEN {DIGITS_4} ELSE {DIGITS_3} END AS gf_no",
+    """CASE (order_id div 16) % 12 WHEN 0 THEN 'ads' WHEN 1 THEN 'adjustment' WHEN 2 THEN 'other'
+        ELSE 'payment' END AS category""",
+    f"""CASE WHEN (order_id div 16) % 12 = 2 THEN '{RULES.cancelled_status}'
+        WHEN (order_id div 32) % 9 = 0 THEN '{RULES.unpaid_status}' ELSE 'paid' END AS status""",
+    "'delivery' AS order_type", "total_thb AS gross_thb", f"{share('0.10')} AS merchant_discount_thb",
+    f"{money('total_thb - ' + share('0.10'))} AS net_thb", f"{money('-' + share('0.20'))} AS commission_thb",
+    f"{money('-' + share('0.02'))} AS marketing_fee_thb",
+    f"""{money('CASE WHEN (order_id div 16) % 12 < 2 THEN -' + share('0.01')
+        + ' ELSE total_thb - ' + share('0.32') + ' END')} AS payout_thb""",
+    "CASE WHEN (order_id div 16) % 12 = 2 THEN concat('reason ', order_id % 3) END AS cancel_reason",
+    """CASE WHEN (order_id div 16) % 12 <> 2 THEN NULL WHEN order_id % 2 = 0 THEN 'customer'
+        ELSE 'shop' END AS cancelled_by""",
+]
+EVENT_SUMS = [
+    f"sum({money('value')}) AS spend_thb",
+    "CAST(count(*) AS INT) AS impressions",
+    "CAST(count_if(event_type = 'click') AS INT) AS clicks",
+    "CAST(count_if(event_type = 'view') AS INT) AS menu_visits",
+    "CAST(count_if(event_type = 'signup') AS INT) AS add_to_cart",
+    "CAST(count_if(event_type = 'purchase') AS INT) AS orders",
+    f"coalesce(sum(CASE WHEN event_type = 'purchase' THEN {money('value')} * 10 END), 0) AS sales_thb",
+]
+REVIEWS = [
+    "md5(CAST(event_id AS STRING)) AS review_key", "concat('R', user_id % 5) AS location_id",
+    "CAST(ts AS DATE) AS review_date", "CAST(event_id % 5 + 1 AS INT) AS rating", "props AS review",
+    "user_id % 3 = 0 AS replied", "'delivery' AS service_type",
+]
+
+
+def _sums(df: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    named = [F.expr(k) for k in keys]
+    return df.groupBy(*named).agg(*[F.expr(x) for x in sums])
 
 
 def driver_relations(spark: SparkSession, sf_dir: str) -> Relations:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    k = F.col("o_orderkey")
+        return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     def branch_orders() -> DataFrame:
         """Orders with their region and their clock times."""
-        customer = table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-        nation = table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
-        midnight = F.date_trunc("day", "o_orderdate").cast("timestamp_ntz")
-        closed_minute = (k % 14 + 9) * 60 + F.expr("o_orderkey div 14") % 60
-        stay = F.when(k % 10 == 7, F.lit(1)).otherwise((k * 37) % 257)
+        customer = table("customer").selectExpr("c_custkey AS o_custkey", "c_nationkey AS n_nationkey")
         return (
-            table("orders")
-            .join(customer, "o_custkey")
-            .join(nation, "c_nationkey")
-            .select(
-                k.alias("order_id"),
-                F.concat(F.lit("R"), "n_regionkey").alias("location_id"),
-                F.col("n_regionkey").alias("branchid"),
-                F.col("o_orderdate").cast("date").alias("business_date"),
-                midnight.alias("midnight"),
-                _case(
-                    [
-                        (F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "dine_in"),
-                        (F.col("o_orderpriority") == "5-LOW", "delivery"),
-                    ],
-                    "take_away",
-                ).alias("channel"),
-                F.when(k % 17 != 0, k % 2 + 1).cast(MONEY).alias("pax"),
-                F.col("o_totalprice").cast(MONEY).alias("total_thb"),
-                (k % 5 == 0).alias("has_discount"),
-                _case(
-                    [(k % 10 == 3, F.lit(None).cast("bigint")), (k % 10 == 4, F.lit(0).cast("bigint"))],
-                    F.col("o_custkey"),
-                ).alias("customerid"),
-                F.when(k % 23 != 0, midnight + _minutes(closed_minute - stay)).alias("opened_at"),
-                F.when(k % 101 != 0, midnight + _minutes(closed_minute)).alias("closed_at"),
-                (F.col("o_totalprice") >= 1000).alias("is_finalized"),
-                (F.col("o_orderstatus") == "P").alias("is_voided"),
-            )
+            table("orders").join(customer, "o_custkey").join(table("nation"), "n_nationkey")
+            .selectExpr(*BRANCH_ORDERS)
         )
 
-    def orders() -> DataFrame:
-        tenth = (F.col("total_thb") * F.lit("0.05").cast("decimal(3,2)")).cast(MONEY)
-        return branch_orders().select(
-            "order_id", "location_id", "business_date", "channel", "pax", "total_thb",
-            F.when(F.col("has_discount"), tenth).otherwise(F.lit(0).cast(MONEY)).alias("discount_thb"),
-            "customerid", "opened_at", "closed_at", "is_finalized", "is_voided",
+    def named_parts() -> DataFrame:
+        return table("part").selectExpr(
+            "p_partkey AS l_partkey", "p_brand", "p_size", f"{ITEM_NAME} AS name_th",
+            f"{CATEGORY} AS category", f"{money('p_retailprice')} AS price",
         )
 
-    def locations() -> DataFrame:
-        r = F.col("r_regionkey")
-        return table("region").select(
-            F.concat(F.lit("R"), r).alias("location_id"),
-            r.alias("branchid"),
-            F.lit("branch").alias("location_type"),
-            F.lit(True).alias("is_confirmed_live"),
-            F.lit(True).alias("is_active"),
-            (r == 4).alias("is_suspected_test"),
-            (r % 3 + 9).alias("open_hour"),
-            (r + 17).alias("close_hour"),
-        )
+    def lines_of(slots: str) -> DataFrame:
+        return table("lineitem").where(slots).join(named_parts(), "l_partkey")
 
-    def seats() -> DataFrame:
-        r = F.col("r_regionkey")
-        return table("region").select(
-            F.concat(F.lit("R"), r).alias("location_id"),
-            F.when(r != 3, r * 2 + 1).cast("int").alias("seats"),
-            F.when(r != 2, r % 3 + 9).cast("int").alias("open_hour"),
-            F.when(r != 1, r + 16).cast("int").alias("close_hour"),
-        )
+    def orders() -> DataFrame:
+        return branch_orders().selectExpr(*ORDERS)
 
-    def item_name() -> Column:
-        """'small ring' becomes 'R4 ring small': a menu code, the dish, its variant."""
-        noun = F.substring_index("p_name", " ", -1)
-        return F.concat(
-            F.upper(F.substring(noun, 1, 1)), F.length(noun), F.lit(" "), noun, F.lit(" "),
-            F.substring_index("p_name", " ", 1),
+    def locations() -> DataFrame:
+        return table("region").selectExpr(
+            "concat('R', r_regionkey) AS location_id", "r_regionkey AS branchid",
+            "'branch' AS location_type", "true AS is_confirmed_live", "true AS is_active",
+            "r_regionkey = 4 AS is_suspected_test", "r_regionkey % 3 + 9 AS open_hour",
+            "r_regionkey + 17 AS close_hour",
         )
 
-    def category() -> Column:
-        p = F.col("p_type")
-        return _case(
-            [
-                (p == "STANDARD", "main"), (p == "SMALL", "side"), (p == "MEDIUM", "beverage"),
-                (p == "LARGE", "topping"), (p == "ECONOMY", "dessert"), (p == "PROMO", "set"),
-            ]
+    def seats() -> DataFrame:
+        return table("region").selectExpr(
+            "concat('R', r_regionkey) AS location_id",
+            "CASE WHEN r_regionkey <> 3 THEN r_regionkey * 2 + 1 END AS seats",
+            "CASE WHEN r_regionkey <> 2 THEN r_regionkey % 3 + 9 END AS open_hour",
+            "CASE WHEN r_regionkey <> 1 THEN r_regionkey + 16 END AS close_hour",
         )
 
     def items() -> DataFrame:
-        return table("part").select(
-            F.col("p_partkey").alias("itemid"),
-            F.concat(F.lit("P"), "p_partkey").alias("item_code"),
-            item_name().alias("name_th"),
-            category().alias("tree_category"),
-            F.col("p_retailprice").cast(MONEY).alias("retail_price_thb"),
-            F.col("p_brand").alias("vendor_category"),
-        )
-
-    def line_parts(columns: list[str], slots: Column) -> DataFrame:
-        parts = table("part").select(F.col("p_partkey").alias("l_partkey"), *columns)
-        return table("lineitem").where(slots).join(parts, "l_partkey")
+        return table("part").selectExpr(*ITEMS)
 
     def order_lines() -> DataFrame:
-        given = (F.col("l_linenumber") == 3) & (F.col("l_discount") == 0.05)
-        gross = F.col("l_extendedprice").cast(MONEY)
-        zero = F.lit(0).cast(MONEY)
-        meal = F.col("p_type").isin("STANDARD", "PROMO")
-        return line_parts(
-            ["p_name", "p_type", "p_size", "p_retailprice"], F.col("l_linenumber") <= 5
-        ).select(
-            F.col("l_orderkey").alias("order_id"),
-            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_id"),
-            F.col("l_partkey").alias("itemid"),
-            F.concat(F.lit("P"), "l_partkey").alias("item_code"),
-            item_name().alias("name_th"),
-            F.when(F.col("p_size") != 50, category()).alias("tree_category"),
-            F.when(meal, F.lit(1)).otherwise(F.col("l_quantity")).cast(MONEY).alias("qty"),
-            F.when(given, zero).otherwise(gross).alias("gross_inc_vat_thb"),
-            F.col("p_retailprice").cast(MONEY).alias("unit_price_inc_vat_thb"),
-            F.col("p_retailprice").cast(MONEY).alias("base_price_thb"),
-            F.when(given, zero)
-            .otherwise((gross * F.col("l_discount").cast("decimal(4,2)")).cast(MONEY))
-            .alias("discount_thb"),
-            (F.col("l_tax") < 0.08).alias("is_active"),
-            (F.col("l_quantity") == 50).alias("is_special_line"),
-            F.when(F.col("l_tax") != 0.02, F.col("l_returnflag") == "R").alias("is_take_home"),
-        )
+        return lines_of("l_linenumber <= 5").selectExpr(*ORDER_LINES)
 
     def sold_options() -> DataFrame:
-        paid = F.col("l_discount") > 0
-        price = (F.col("p_retailprice").cast(MONEY) * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY)
-        return line_parts(
-            ["p_name", "p_type", "p_brand", "p_retailprice"], F.col("l_linenumber") >= 6
-        ).select(
-            F.col("l_orderkey").alias("order_id"),
-            (F.col("l_orderkey") * 8 + F.col("l_linenumber") - 5).alias("line_id"),
-            F.concat(F.lit("dish "), F.col("l_suppkey") % 10).alias("dish_th"),
-            F.concat(
-                "p_brand",
-                F.when(F.col("p_type") == "LARGE", " topping").otherwise(""),
-                F.when(F.col("l_linenumber") == 7, " set").otherwise(" add"),
-            ).alias("modifier_group"),
-            F.concat(
-                item_name(), F.when(F.col("l_returnflag") == "A", " **").otherwise("")
-            ).alias("choice_th"),
-            (F.col("l_quantity").cast("int") % 3 + 1).cast(MONEY).alias("choice_qty"),
-            F.when(paid, price).otherwise(F.lit(0).cast(MONEY)).alias("paid_price_thb"),
-            paid.alias("is_paid_option"),
-        )
+        return lines_of("l_linenumber >= 6").selectExpr(*SOLD_OPTIONS)
 
     def map_option_item() -> DataFrame:
-        return (
-            table("part")
-            .where(~F.col("p_name").endswith(" gear"))
-            .groupBy("p_name")
-            .agg(F.min("p_partkey").alias("first_part"))
-            .select(
-                item_name().alias("choice_key"),
-                F.concat(F.lit("P"), "first_part").alias("item_code"),
-                F.when(F.col("p_name").startswith("new "), 2).otherwise(1).cast(MONEY).alias("qty_mult"),
-            )
+        named = table("part").where("NOT p_name LIKE '% gear'")
+        return _sums(named, ["p_name"], ["min(p_partkey) AS first_part"]).selectExpr(
+            f"{ITEM_NAME} AS choice_key", "concat('P', first_part) AS item_code",
+            f"CASE WHEN p_name LIKE 'new %' THEN {money('2')} ELSE {money('1')} END AS qty_mult",
         )
 
     def split_dupe_lines() -> DataFrame:
         """A split copy sits on a late line and carries neither tax nor discount."""
-        return (
-            table("lineitem")
-            .where((F.col("l_tax") == 0) & (F.col("l_discount") == 0) & F.col("l_linenumber").isin(4, 5))
-            .select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_id"))
-        )
+        copies = table("lineitem").where("l_tax = 0 AND l_discount = 0 AND l_linenumber IN (4, 5)")
+        return copies.selectExpr("l_orderkey * 8 + l_linenumber AS line_id")
 
     def table_sessions() -> DataFrame:
-        time_of_day = F.col("ts") - F.date_trunc("day", "ts").cast("timestamp_ntz")
-        order_days = table("orders").select(
-            k.alias("order_id"), F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("midnight")
-        )
-        seated = F.col("midnight") + time_of_day
-        stay = F.make_dt_interval(secs=F.round(F.col("value") * 60, 0).cast("decimal(18,6)"))
-        return (
-            table("events")
-            .withColumn("order_id", F.col("event_id"))
-            .join(order_days, "order_id")
-            .select(
-                "order_id",
-                (F.col("user_id") % 4 + 1).cast(MONEY).alias("pax"),
-                F.col("value").cast(MONEY).alias("dwell_minutes"),
-                seated.alias("seated_at"),
-                (seated + stay).alias("left_at"),
-                _case(
-                    [(F.col("event_type") == "error", True), (F.col("event_type") == "signup", False)]
-                ).alias("is_cancelled"),
-            )
-        )
+        days = table("orders").selectExpr("o_orderkey AS event_id", f"{MIDNIGHT} AS midnight")
+        time_of_day = "ts - CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ)"
+        seated = table("events").join(days, "event_id").withColumn("seated_at", F.expr(f"midnight + ({time_of_day})"))
+        return seated.selectExpr(*SESSIONS)
 
     def pos_sale_tabs() -> DataFrame:
-        n = F.col("order_id")
-        dine_in, delivery = F.col("channel") == "dine_in", F.col("channel") == "delivery"
-        digits3 = F.lpad((n % 900).cast("string"), 3, "0")
-        digits4 = F.lpad((n % 9000).cast("string"), 4, "0")
-        half = F.expr("order_id div 4") % 2 == 0
-        typed4 = F.when(half, digits4).otherwise(F.right(digits4, F.lit(3)))
-        started = _case(
-            [
-                (dine_in, F.col("midnight") + F.make_dt_interval(secs=((n * 7919) % 86400).cast(MONEY))),
-                (delivery, F.col("midnight") + _minutes((n % 14 + 9) * 60 + n % 50 + n % 31)),
-            ],
-            F.col("midnight") + _minutes((n % 14 + 9) * 60),
-        )
-        return branch_orders().select(
-            "order_id",
-            "branchid",
-            (F.expr("order_id div 2") % 2).alias("fbtableid"),
-            F.when(dine_in, n % 2).otherwise(F.lit(0)).alias("parentsaletabid"),
-            F.when(dine_in, F.concat(F.lit("Split#"), n % 2 + 1)).alias("splittabname"),
-            started.alias("starttime"),
-            F.when(
-                delivery,
-                _case([
-                    (n % 4 == 0, F.concat(F.lit("GF-"), digits3)),
-                    (n % 4 == 1, F.concat(F.lit(" gf "), typed4)),
-                ]),
-            ).alias("refdeliveryorder"),
-            F.when(delivery & (n % 4 == 2), digits3).when(~dine_in, "TakeAway1").alias("takehomename"),
-        )
+        return branch_orders().selectExpr(*TABS)
 
     def holidays() -> DataFrame:
-        years = [AS_OF.year - i for i in range(AS_OF.year - FIRST_DAY.year + 1)]
+        years = range(FIRST_DAY.year, AS_OF.year + 1)
         rows = [(dt.date(y, m, d), name) for y in years
                 for m, d, name in ((1, 1, "new year"), (5, 1, "labour day"), (12, 5, "fathers day"))]
         return spark.createDataFrame(rows, "d date, name_th string")
 
     def weather_daily() -> DataFrame:
-        n = F.col("id")
-        d = F.date_add(F.lit(FIRST_DAY), n.cast("int"))
-        return spark.range(HISTORY_DAYS + 1).where(F.dayofmonth(d) != 13).select(
-            d.alias("d"),
-            (F.greatest(n % 11 - 5, F.lit(0)) * F.lit("0.5").cast("decimal(2,1)")).cast(MONEY).alias("rain_mm"),
-            (n % 8 + 28).cast(MONEY).alias("tmax_c"),
+        day = f"date_add(DATE '{FIRST_DAY}', CAST(id AS INT))"
+        return spark.range(HISTORY_DAYS + 1).where(f"day({day}) <> 13").selectExpr(
+            f"{day} AS d",
+            f"{money('greatest(id % 11 - 5, 0) * CAST(0.5 AS DECIMAL(2,1))')} AS rain_mm",
+            f"{money('id % 8 + 28')} AS tmax_c",
         )
 
     # ---- the delivery platform's side of low-priority orders ----
     def platform_rows() -> DataFrame:
-        n = F.col("order_id")
-        bucket = F.expr("order_id div 16") % 12
-        total = F.col("total_thb")
-
-        def share(text: str) -> Column:
-            return (total * F.lit(text).cast("decimal(3,2)")).cast(MONEY)
-
-        kind = _case([(bucket == i, name) for i, name in enumerate(NUMBERED_STATUS)], "payment")
-        fee_row = bucket < 2
-        return branch_orders().where(F.col("channel") == "delivery").select(
-            F.concat(F.lit("T"), n).alias("row_id"),
-            F.concat(F.lit("B"), n).alias("booking_id"),
-            "location_id",
-            "business_date",
-            (F.col("midnight") + _minutes((n % 14 + 9) * 60 + n % 50)).alias("created_at"),
-            F.when(n % 4 == 1, F.lpad((n % 9000).cast("string"), 4, "0"))
-            .otherwise(F.lpad((n % 900).cast("string"), 3, "0")).alias("gf_no"),
-            kind.alias("category"),
-            _case([
-                (bucket == 2, RULES.cancelled_status),
-                (F.expr("order_id div 32") % 9 == 0, RULES.unpaid_status),
-            ], "paid").alias("status"),
-            F.lit("delivery").alias("order_type"),
-            total.alias("gross_thb"),
-            share("0.10").alias("merchant_discount_thb"),
-            (total - share("0.10")).cast(MONEY).alias("net_thb"),
-            (-share("0.20")).cast(MONEY).alias("commission_thb"),
-            (-share("0.02")).cast(MONEY).alias("marketing_fee_thb"),
-            F.when(fee_row, -share("0.01")).otherwise(total - share("0.32")).cast(MONEY).alias("payout_thb"),
-            F.when(bucket == 2, F.concat(F.lit("reason "), n % 3)).alias("cancel_reason"),
-            F.when(bucket == 2, _case([(n % 2 == 0, "customer")], "shop")).alias("cancelled_by"),
-            n.alias("order_id"),
-        )
+        return branch_orders().where("channel = 'delivery'").selectExpr(*PLATFORM_ROWS)
+
+    def paid_rows() -> DataFrame:
+        return platform_rows().where("category = 'payment'")
 
     def grab_orders() -> DataFrame:
         return platform_rows().drop("order_id")
 
-    def paid_rows() -> DataFrame:
-        return platform_rows().where(F.col("category") == "payment")
+    branch_day = ["location_id", "business_date"]
+    order_count = "CAST(count(*) AS INT) AS orders"
 
     def grab_daily() -> DataFrame:
-        dom = F.dayofmonth("business_date")
-        return (
-            paid_rows()
-            .groupBy("location_id", "business_date")
-            .agg(
-                F.sum("gross_thb").cast(MONEY).alias("gross_thb"),
-                F.sum("net_thb").cast(MONEY).alias("net_thb"),
-                F.count("*").cast("int").alias("orders"),
-            )
-            .withColumn("rating", F.when(dom % 7 != 0, dom % 3 + 3).cast(MONEY))
+        sums = _sums(paid_rows(), branch_day, [
+            f"{money('sum(gross_thb)')} AS gross_thb", f"{money('sum(net_thb)')} AS net_thb", order_count,
+        ])
+        return sums.selectExpr(
+            "*", f"{money('CAST(gross_thb AS DOUBLE) / orders')} AS avg_order_thb",
+            f"CASE WHEN day(business_date) % 7 <> 0 THEN {money('day(business_date) % 3 + 3')} END AS rating",
         )
 
     def grab_menu_daily() -> DataFrame:
-        lines = line_parts(["p_name"], F.col("l_linenumber") <= 5).select(
-            F.col("l_orderkey").alias("order_id"), item_name().alias("item"),
-            F.col("l_quantity").cast(MONEY).alias("units"),
-            F.col("l_extendedprice").cast(MONEY).alias("thb"),
-        )
-        return (
-            paid_rows().select("order_id", "location_id", "business_date").join(lines, "order_id")
-            .groupBy("location_id", "business_date", "item")
-            .agg(F.sum("units").alias("units"), F.sum("thb").alias("thb"))
+        lines = lines_of("l_linenumber <= 5").selectExpr(
+            "l_orderkey AS order_id", "name_th AS item", f"{money('l_quantity')} AS units",
+            f"{money('l_extendedprice')} AS thb",
         )
+        placed = paid_rows().select("order_id", *branch_day).join(lines, "order_id")
+        return _sums(placed, [*branch_day, "item"], ["sum(units) AS units", "sum(thb) AS thb"])
 
     def grab_offers() -> DataFrame:
-        return (
-            paid_rows()
-            .where(F.col("gross_thb") >= 250000)
-            .groupBy("location_id", "business_date",
-                     F.concat(F.lit("offer "), F.col("order_id") % 5).alias("campaign"))
-            .agg(
-                F.sum("gross_thb").alias("gross_thb"),
-                F.sum("net_thb").alias("net_thb"),
-                F.count("*").cast("int").alias("orders"),
-                F.sum("merchant_discount_thb").alias("spend_thb"),
-            )
+        return _sums(
+            paid_rows().where("gross_thb >= 250000"),
+            [*branch_day, "concat('offer ', order_id % 5) AS campaign"],
+            ["sum(gross_thb) AS gross_thb", "sum(net_thb) AS net_thb", order_count,
+             "sum(merchant_discount_thb) AS spend_thb"],
         )
 
     def grab_peak() -> DataFrame:
-        return (
-            paid_rows()
-            .groupBy("location_id", "business_date", F.hour("created_at").alias("hour"))
-            .agg(F.count("*").cast("int").alias("orders"))
-        )
-
-    def event_is(name: str) -> Column:
-        return F.col("event_type") == name
-
-    def event_sums() -> list[Column]:
-        value = F.col("value").cast(MONEY)
-        return [
-            F.sum(value).alias("spend_thb"),
-            F.count("*").cast("int").alias("impressions"),
-            F.count_if(event_is("click")).cast("int").alias("clicks"),
-            F.count_if(event_is("view")).cast("int").alias("menu_visits"),
-            F.count_if(event_is("signup")).cast("int").alias("add_to_cart"),
-            F.count_if(event_is("purchase")).cast("int").alias("orders"),
-            F.coalesce(F.sum(F.when(event_is("purchase"), value * 10)), F.lit(0)).alias("sales_thb"),
-        ]
+        return _sums(paid_rows(), [*branch_day, "hour(created_at) AS hour"], [order_count])
 
     def grab_ads_hourly() -> DataFrame:
-        return (
-            table("events")
-            .groupBy(F.col("ts").cast("date").alias("d"), F.hour("ts").alias("hour"),
-                     F.concat(F.lit("ads "), F.col("user_id") % 4).alias("campaign"))
-            .agg(*event_sums())
+        return _sums(
+            table("events"),
+            ["CAST(ts AS DATE) AS d", "hour(ts) AS hour", "concat('ads ', user_id % 4) AS campaign"],
+            EVENT_SUMS,
         )
 
     def grab_keywords() -> DataFrame:
-        word = F.col("keyword")
-        brand = F.lit(False)
-        for w in RULES.brand_words:
-            brand = brand | word.contains(w)
-        return (
-            table("events")
-            .groupBy(F.date_format("ts", "yyyy-MM").alias("ym"),
-                     F.concat(F.lit("kw"), F.col("user_id") % 20).alias("keyword"))
-            .agg(*event_sums())
-            .withColumn("is_brand", brand)
-            .drop("menu_visits", "add_to_cart")
+        brand = " OR ".join(f"contains(keyword, '{w}')" for w in RULES.brand_words)
+        words = _sums(
+            table("events"),
+            ["date_format(ts, 'yyyy-MM') AS ym", "concat('kw', user_id % 20) AS keyword"],
+            EVENT_SUMS,
         )
+        return words.withColumn("is_brand", F.expr(brand)).drop("menu_visits", "add_to_cart")
 
     def grab_miwi_daily() -> DataFrame:
-        n = F.col("order_id")
-        return (
-            paid_rows()
-            .groupBy("location_id", "business_date")
-            .agg(
-                F.count_if(n % 37 == 0).cast("int").alias("wrong"),
-                F.count_if(n % 29 == 0).cast("int").alias("missing"),
-                F.count("*").cast("int").alias("completed_orders"),
-            )
-            .withColumn("total_reported", F.col("wrong") + F.col("missing"))
-        )
+        return _sums(paid_rows(), branch_day, [
+            "CAST(count_if(order_id % 37 = 0) AS INT) AS wrong",
+            "CAST(count_if(order_id % 29 = 0) AS INT) AS missing",
+            "CAST(count_if(order_id % 37 = 0) + count_if(order_id % 29 = 0) AS INT) AS total_reported",
+            "CAST(count(*) AS INT) AS completed_orders",
+        ])
 
     def grab_reviews() -> DataFrame:
-        return table("events").where(event_is("view")).select(
-            F.md5(F.col("event_id").cast("string")).alias("review_key"),
-            F.concat(F.lit("R"), F.col("user_id") % 5).alias("location_id"),
-            F.col("ts").cast("date").alias("review_date"),
-            (F.col("event_id") % 5 + 1).cast("int").alias("rating"),
-            F.col("props").alias("review"),
-            (F.col("user_id") % 3 == 0).alias("replied"),
-            F.lit("delivery").alias("service_type"),
-        )
+        return table("events").where("event_type = 'view'").selectExpr(*REVIEWS)
 
     def grab_combos() -> DataFrame:
-        return (
-            paid_rows()
-            .groupBy("location_id", F.last_day("business_date").alias("as_of"),
-                     F.concat(F.lit("combo "), F.col("order_id") % 6).alias("combo"))
-            .agg(F.count("*").cast("int").alias("n"))
+        return _sums(
+            paid_rows(),
+            ["location_id", "last_day(business_date) AS as_of", "concat('combo ', order_id % 6) AS combo"],
+            ["CAST(count(*) AS INT) AS n"],
         )
 
     builders: dict[str, Callable[[], DataFrame]] = {
