@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from salesgrain.functions.numbers import plain_numbers
 from salesgrain.plans.base import FACT_COLUMNS
 from salesgrain.plans.catalog import BUILDERS, HELPERS, Tables
+from salesgrain.plans.feeds import FEEDS, today_partial
+from salesgrain.plans.insights import INSIGHTS
 from salesgrain.plans.staging import CALCULATOR, DEAD_HOURS, STAYS, Stage
 from salesgrain.sources.driver_tables import PARAMS, driver_relations
 
@@ -79,8 +81,27 @@ def _table(name: str) -> Callable[[Tables], DataFrame]:
     return lambda t: t.build(name)
 
 
+_shared: dict[tuple[str, str], Tables] = {}
+
+
+def shared_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """Feeds and insights read derived tables; a session writes each table they need once."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _shared:
+        _shared[key] = driver_tables(spark, sf_dir, staged=None)
+    return _shared[key]
+
+
+def _read_side(build: Callable[[Tables], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain_numbers(build(shared_tables(spark, sf_dir)))
+
+
 def all_queries() -> dict[str, Query]:
     out = {f.__name__: _query(f.__name__, f) for f in BASE}
     out |= {name: _query(name, _table(name)) for name in (*BUILDERS, *HELPERS)}
     out["lever_value"] = _query("lever_value", lever_value)
+    out["unmapped_choices"] = _query("unmapped_choices", lambda t: t.base.unmapped_choices())
+    out |= {f"feed_{name.replace('.', '_')}": _read_side(f) for name, f in FEEDS.items()}
+    out["feed_today_partial"] = _read_side(today_partial)
+    out |= {f"insight_{name}": _read_side(f) for name, f in INSIGHTS.items()}
     return out

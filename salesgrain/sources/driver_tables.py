@@ -56,7 +56,8 @@ PARAMS = Params(
     feed_days=HISTORY_DAYS,
     feed_months=80,
     script_weeks_days=HISTORY_DAYS,
-    script_min_bills=3,
+    script_min_bills=1,
+    dish_min_picks=0,
     script_top_items=10,
     script_compare_min_bills=30,
     winback_min_visits=2,
