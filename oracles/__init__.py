@@ -1,10 +1,10 @@
 """DuckDB SQL that states each registered query a second time, for checking values."""
 
-from oracles import base, inputs, tables
+from oracles import base, feeds, inputs, insights, tables
 from oracles.build import with_parts
 
-PARTS = {**inputs.PARTS, **base.PARTS, **tables.PARTS}
-QUERIES = {**base.QUERIES, **tables.QUERIES}
+PARTS = {**inputs.PARTS, **base.PARTS, **tables.PARTS, **feeds.PARTS, **insights.PARTS}
+QUERIES = {**base.QUERIES, **tables.QUERIES, **feeds.QUERIES, **insights.QUERIES}
 
 
 def all_sql() -> dict[str, str]:

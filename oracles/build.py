@@ -37,4 +37,7 @@ def with_parts(parts: dict[str, str], query: str) -> str:
     if not names:
         return query
     body = ",\n".join(f"{n} AS MATERIALIZED ({parts[n].strip()})" for n in names)
-    return f"WITH {body}\n{query.strip()}"
+    query = query.strip()
+    if query.startswith("WITH "):
+        return f"WITH {body},\n{query.removeprefix('WITH ')}"
+    return f"WITH {body}\n{query}"

@@ -128,9 +128,9 @@ PARTS = {
                count(*) orders, sum(disc) spend_thb
         FROM x_paid WHERE gross_thb >= 250000 GROUP BY ALL""",
     "x_ppeak": """
-        SELECT location_id, business_date, hour(created_at) hour, count(*) orders FROM x_paid GROUP BY ALL""",
+        SELECT location_id, business_date, hour(created_at) AS hour, count(*) orders FROM x_paid GROUP BY ALL""",
     "x_pads": f"""
-        SELECT CAST(ts AS DATE) d, hour(ts) hour, 'ads ' || (user_id % 4) campaign, {EVENT_SUMS} FROM events GROUP BY ALL""",
+        SELECT CAST(ts AS DATE) d, hour(ts) AS hour, 'ads ' || (user_id % 4) campaign, {EVENT_SUMS} FROM events GROUP BY ALL""",
     "x_pwords": f"""
         SELECT strftime(ts, '%Y-%m') ym, 'kw' || (user_id % 20) keyword, {EVENT_SUMS},
                keyword LIKE '%kw1%' OR keyword LIKE '%kw7%' is_brand FROM events GROUP BY 1, 2""",
