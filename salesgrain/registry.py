@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from salesgrain.functions.numbers import plain_numbers
 from salesgrain.plans.base import FACT_COLUMNS
 from salesgrain.plans.catalog import BUILDERS, HELPERS, Tables
+from salesgrain.plans.checks import quality_checks
 from salesgrain.plans.feeds import FEEDS, today_partial
 from salesgrain.plans.insights import INSIGHTS
 from salesgrain.plans.staging import CALCULATOR, DEAD_HOURS, STAYS, Stage
@@ -102,6 +103,7 @@ def all_queries() -> dict[str, Query]:
     out["lever_value"] = _query("lever_value", lever_value)
     out["unmapped_choices"] = _query("unmapped_choices", lambda t: t.base.unmapped_choices())
     out |= {f"feed_{name.replace('.', '_')}": _read_side(f) for name, f in FEEDS.items()}
+    out["quality_checks"] = _read_side(quality_checks)
     out["feed_today_partial"] = _read_side(today_partial)
     out |= {f"insight_{name}": _read_side(f) for name, f in INSIGHTS.items()}
     return out
