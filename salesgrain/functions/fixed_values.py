@@ -89,3 +89,55 @@ TRANSACTION_FIELDS = {
     "cancel_reason": 59, "cancelled_by": 60,
 }
 TRANSACTION_MIN_FIELDS = 61
+
+# ---- fixed values: hand-kept inputs ---------------------------------------------------------
+# platform store name part -> location
+STORE_NAMES = {
+    "พระราม 9": "rama9",
+    "One City Centre": "occ",
+    "Park Silom": "silom",
+    "Gaysorn Tower": "gaysorn",
+    "sathorn square": "sathorn-square",
+    "All Season": "all-seasons",
+}
+BRANCH_LABELS = {
+    "gaysorn": "เกษร",
+    "silom": "สีลม",
+    "occ": "OCC",
+    "sathorn-square": "สาทร",
+    "all-seasons": "ออลซีซั่นส์",
+    "rama9": "พระราม 9",
+}
+# location, seats, open hour, close hour, tables, bar seats, stool seats
+SEATS = (
+    ("rama9", 16, 10, 16, 6, 0, 0),
+    ("gaysorn", 54, 10, 20, 27, 0, 0),
+    ("occ", 66, 10, 20, 27, 12, 0),
+    ("all-seasons", 60, 10, 20, 26, 0, 8),
+    ("sathorn-square", 64, 10, 20, 33, 0, 0),
+    ("silom", 73, 10, 20, 34, 0, 6),
+)
+# Thai public holidays of 2026
+HOLIDAYS = (
+    ("2026-01-01", "วันขึ้นปีใหม่"),
+    ("2026-01-02", "วันหยุดพิเศษ (ธปท.)"),
+    ("2026-03-03", "วันมาฆบูชา"),
+    ("2026-04-06", "วันจักรี"),
+    ("2026-04-13", "วันสงกรานต์"),
+    ("2026-04-14", "วันสงกรานต์"),
+    ("2026-04-15", "วันสงกรานต์"),
+    ("2026-05-01", "วันแรงงานแห่งชาติ"),
+    ("2026-05-04", "วันฉัตรมงคล"),
+    ("2026-05-31", "วันวิสาขบูชา"),
+    ("2026-06-01", "วันหยุดชดเชยวันวิสาขบูชา"),
+    ("2026-06-03", "วันเฉลิมพระชนมพรรษาสมเด็จพระราชินี"),
+    ("2026-07-28", "วันเฉลิมพระชนมพรรษา ร.10"),
+    ("2026-07-29", "วันอาสาฬหบูชา"),
+    ("2026-08-12", "วันแม่แห่งชาติ"),
+    ("2026-10-13", "วันนวมินทรมหาราช"),
+    ("2026-10-23", "วันปิยมหาราช"),
+    ("2026-12-05", "วันพ่อแห่งชาติ"),
+    ("2026-12-07", "วันหยุดชดเชยวันพ่อแห่งชาติ"),
+    ("2026-12-10", "วันรัฐธรรมนูญ"),
+    ("2026-12-31", "วันสิ้นปี"),
+)

@@ -7,35 +7,45 @@ from pyspark.sql import functions as F
 
 
 def exact_percentile(
-    df: DataFrame, keys: list[str], value: str, share: float, out: str, count: str
+    df: DataFrame, keys: list[str], value: str, share: float, out: str, count: str, bin_width: int = 1_000_000
 ) -> DataFrame:
     """percentile_cont(share) of an integer column, and the number of rows, per group.
 
-    Rows are first counted per distinct value, with map-side combine, so what reaches the window
-    is one row per distinct value and not one row per input row; the window sorts and spills.
+    Rows are counted per distinct value, with map-side combine, and values are counted per bin.
+    Running counts over the bins, at most value range / bin width per group, tell which one or
+    two bins hold the wanted ranks; only the values of those bins are ranked. No task ever sees
+    all rows, or all distinct values, of a large group.
     """
-    w = Window.partitionBy(*keys)
-    hist = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
-    upto = w.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = hist.withColumn("_upto", F.sum("_c").over(upto)).withColumn("_n", F.sum("_c").over(w))
+    hist = (
+        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
+        .withColumn("_bin", F.floor(F.col(value) / bin_width))
+    )
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     spot = (F.col("_n") - 1) * F.lit(share)
-    below, above = F.floor(spot), F.ceil(spot)
+    bins = (
+        hist.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_in"))
+        .withColumn("_before", F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
+        .withColumn("_n", F.sum("_in").over(group))
+        .withColumn("_low", F.floor(spot))
+        .withColumn("_high", F.ceil(spot))
+    )
+
+    def holds(rank: str) -> Column:
+        return (F.col(rank) >= F.col("_before")) & (F.col(rank) < F.col("_before") + F.col("_in"))
+
+    wanted = bins.where(holds("_low") | holds("_high")).drop("_in")
+    upto = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = hist.join(wanted, [*keys, "_bin"]).withColumn("_upto", F.col("_before") + F.sum("_c").over(upto))
 
-    def at(rank: Column) -> Column:
+    def at(rank: str) -> Column:
         """Smallest value whose running count goes past a zero-based rank."""
-        return F.min(F.when(F.col("_upto") > rank, F.col(value)))
+        return F.min(F.when((F.col("_upto") > F.col(rank)) & (F.col("_before") <= F.col(rank)), F.col(value)))
 
     return (
         ranked.groupBy(*keys)
-        .agg(
-            at(below).alias("_lo"),
-            at(above).alias("_hi"),
-            F.max("_n").alias(count),
-        )
+        .agg(at("_low").alias("_lo"), at("_high").alias("_hi"), F.max("_n").alias(count))
         .withColumn("_spot", (F.col(count) - 1) * F.lit(share))
-        .withColumn(
-            out,
-            F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_spot") - F.floor("_spot")),
-        )
+        .withColumn(out, F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_spot") - F.floor("_spot")))
         .drop("_lo", "_hi", "_spot")
     )

@@ -39,8 +39,8 @@ class Rules:
     unpaid_status: str = fv.UNPAID_STATUS
     # words that mark a search keyword as the chain's own brand; a caller must supply them
     brand_words: tuple[str, ...] = ()
-    # platform store name part -> location id; a caller must supply them
-    store_names: dict[str, str] = field(default_factory=dict)
+    store_names: dict[str, str] = field(default_factory=lambda: dict(fv.STORE_NAMES))
+    branch_labels: dict[str, str] = field(default_factory=lambda: dict(fv.BRANCH_LABELS))
 
 
 @dataclass(frozen=True)

@@ -52,3 +52,7 @@ class Tables:
         if name not in self._known:
             self._known[name] = self.stage.keep(name, self.build(name))
         return self._known[name]
+
+    def put(self, name: str, df: DataFrame) -> None:
+        """Read a table from a stored copy, e.g. of a published run."""
+        self._known[name] = df

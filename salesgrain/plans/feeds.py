@@ -200,8 +200,11 @@ def branches(t) -> DataFrame:
     seats = t.rel["seats"].select(
         "location_id", "seats", F.col("open_hour").alias("_open"), F.col("close_hour").alias("_close")
     )
+    label = F.col("location_id")
+    for location, shown in t.params.rules.branch_labels.items():
+        label = F.when(F.col("location_id") == location, shown).otherwise(label)
     return real.join(seats, "location_id", "left").orderBy("branchid").select(
-        F.col("location_id").alias("id"), "seats",
+        F.col("location_id").alias("id"), label.alias("th"), "seats",
         F.coalesce("_open", "open_hour").alias("open"), F.coalesce("_close", "close_hour").alias("close"),
     )
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesgrain.plans.feeds import FEEDS, today_partial
+from salesgrain.plans.feeds import DAILY_FEEDS, FEEDS
+from salesgrain.plans.publish import JOBS_AT_ONCE
+from salesgrain.plans.staging import side_by_side
 
 # fixed values: feed columns that hold money and are shown with two decimals
 MONEY_COLUMNS = frozenset((
@@ -39,36 +41,42 @@ def json_cell(field: T.StructField) -> Column:
     return F.coalesce(value, F.lit("null"))
 
 
-def json_rows(feed: DataFrame) -> DataFrame:
-    """F18. A feed as one JSON array text per row."""
+def json_row(feed: DataFrame) -> Column:
+    """F18. A row of a feed as one JSON array text."""
     cells = [json_cell(f) for f in feed.schema.fields]
-    return feed.select(F.concat(F.lit("["), F.concat_ws(",", *cells), F.lit("]")).alias("value"))
+    return F.concat(F.lit("["), F.concat_ws(",", *cells), F.lit("]"))
 
 
 def write_payload(t, out: str, generated_at: dt.datetime) -> dict:
     """S21. Each feed as lines of JSON arrays under out/feeds, then out/meta with columns and sizes.
 
-    Feeds are written by the executors in feed order; only the sizes, one row per feed, come to
-    the driver. Being over budget is reported, never cut.
+    Feeds are written by the executors in feed order, several at once; only sizes and the latest
+    day, observed while a feed is written, come to the driver. Being over budget is reported,
+    never cut.
     """
     spark, p = t.rel.spark, t.params
-    columns, sizes = {}, {}
-    for key, build in FEEDS.items():
-        feed = build(t)
-        columns[key] = feed.columns
-        path = f"{out}/feeds/{key}"
-        json_rows(feed).write.mode("overwrite").text(path)
-        size = spark.read.text(path).agg(
-            F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0)).alias("bytes")
-        ).first()
-        sizes[key] = {"rows": size["rows"], "bytes": size["bytes"]}
+
+    def write(key: str) -> tuple[list[str], dict]:
+        feed = FEEDS[key](t)
+        size = Observation(f"size of {key}")
+        latest = F.max("d") if key in DAILY_FEEDS else F.max(F.lit(None).cast("string"))
+        lines = feed.select(json_row(feed).alias("value"), *(["d"] if key in DAILY_FEEDS else []))
+        lines.observe(
+            size, F.count("*").alias("rows"),
+            F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0)).alias("bytes"), latest.alias("latest"),
+        ).select("value").write.mode("overwrite").text(f"{out}/feeds/{key}")
+        return feed.columns, size.get
+
+    written = side_by_side(write, FEEDS, JOBS_AT_ONCE)
+    sizes = {key: {"rows": s["rows"], "bytes": s["bytes"]} for key, (_, s) in written.items()}
+    through = p.data_through.isoformat()
     total_mb = sum(s["bytes"] for s in sizes.values()) / 1e6
     meta = {
         "generated_at": f"{generated_at:%Y-%m-%d %H:%M}",
         "tz": "Asia/Bangkok",
-        "data_through": p.data_through.isoformat(),
-        "today_partial": today_partial(t).first()["today_partial"],
-        "cols": columns,
+        "data_through": through,
+        "today_partial": any((s["latest"] or "") > through for _, s in written.values()),
+        "cols": {key: columns for key, (columns, _) in written.items()},
         "sizes": sizes,
         "over_budget": total_mb > p.payload_budget_mb,
     }

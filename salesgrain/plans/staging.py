@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,18 +38,34 @@ class Stage:
         self.names = names
         self.folder = folder
         self._kept: dict[str, DataFrame] = {}
+        self._guard = threading.Lock()
+        self._writing: dict[str, threading.Lock] = {}
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """The stored copy of a named intermediate; concurrent callers wait for the first write."""
         if self.names is not None and name not in self.names:
             return df
-        if name not in self._kept:
+        with self._guard:
             if self.folder is None:
                 self.folder = f"{checkpoint_root(self.spark)}/stage-{uuid.uuid4().hex}"
-            path = f"{self.folder}/{name}"
-            df.write.parquet(path)
-            self._kept[name] = self.spark.read.schema(df.schema).parquet(path)
+            one_writer = self._writing.setdefault(name, threading.Lock())
+        with one_writer:
+            if name not in self._kept:
+                path = f"{self.folder}/{name}"
+                df.write.parquet(path)
+                self._kept[name] = self.spark.read.schema(df.schema).parquet(path)
         return self._kept[name]
 
 
 def no_stage(spark: SparkSession) -> Stage:
     return Stage(spark, frozenset())
+
+
+T = TypeVar("T")
+
+
+def side_by_side(work: Callable[[str], T], names: Iterable[str], at_once: int) -> dict[str, T]:
+    """Run independent jobs concurrently, so the tail of one does not leave the cluster idle."""
+    names = list(names)
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return dict(zip(names, pool.map(work, names)))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from salesgrain.functions import fixed_values as fv
+
 
 def upsert(stored: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """New rows replace stored rows of the same key."""
@@ -31,6 +33,20 @@ def seat_seed(locations: DataFrame) -> DataFrame:
     )
 
 
+def seat_list(spark: SparkSession) -> DataFrame:
+    """S19. The seats as counted; upsert them over the seed."""
+    return spark.createDataFrame(
+        fv.SEATS,
+        "location_id string, seats int, open_hour int, close_hour int, tables int, bar_seats int, stool_seats int",
+    )
+
+
+def holiday_list(spark: SparkSession) -> DataFrame:
+    """S19. The public holidays; upsert them by day."""
+    days = spark.createDataFrame(fv.HOLIDAYS, "d string, name_th string")
+    return days.withColumn("d", F.to_date("d"))
+
+
 def merge_weather(stored: DataFrame, archive: DataFrame, forecast: DataFrame, as_of: dt.date) -> DataFrame:
     """S18. Days with rain known: archive before forecast, no forecast of the future, upserted."""
     today = F.lit(as_of)

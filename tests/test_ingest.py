@@ -192,3 +192,14 @@ def test_seats_seed_then_update(spark, shop):
     assert kept["silom"]["seats"] == 73 and kept["rama9"]["seats"] is None
     updated = rows(small_inputs.upsert(seed, known, ["location_id"]), "location_id")
     assert updated["silom"]["seats"] == 73 and len(updated) == 2
+
+
+def test_hand_kept_lists_merge_by_key(spark, shop):
+    seats = small_inputs.seat_list(spark)
+    assert rows(seats, "location_id")["silom"]["seats"] == 73
+    seeded = small_inputs.seat_seed(shop.rel["locations"])
+    merged = small_inputs.upsert(seeded, seats, ["location_id"])
+    assert rows(merged, "location_id")["rama9"]["close_hour"] == 16 and merged.count() == 6
+    holidays = small_inputs.holiday_list(spark)
+    again = small_inputs.upsert(holidays, small_inputs.holiday_list(spark), ["d"])
+    assert again.count() == 21 and rows(again, "d")[dt.date(2026, 12, 5)]["name_th"] == "วันพ่อแห่งชาติ"

@@ -43,8 +43,8 @@ def test_percentile_matches_numpy(spark):
     df = spark.createDataFrame(data, "g int, v bigint").unionByName(
         spark.createDataFrame([(1, None)], "g int, v bigint")
     )
-    for share in (0.5, 0.9):
-        got = rows(exact_percentile(df, ["g"], "v", share, "p", "n"), "g")
+    for share, width in ((0.5, 1), (0.9, 7), (0.5, 1000), (0.0, 10), (1.0, 10)):
+        got = rows(exact_percentile(df, ["g"], "v", share, "p", "n", width), "g")
         for g in (1, 2, 3):
             values = [v for k, v in data if k == g]
             assert got[g]["n"] == len(values)

@@ -60,7 +60,7 @@ def test_payload(spark, staged, tmp_path):
     lines = [json.loads(r["value"]) for r in spark.read.text(f"{out}/feeds/tree").collect()]
     assert len(lines) == meta["sizes"]["tree"]["rows"] and all(len(x) == 33 for x in lines)
     lunch = next(x for x in lines if x[:4] == ["silom", "2026-10-07", "lunch", "dine_in"])
-    assert lunch[4] == 5 and lunch[18] == 535 and lunch[24] == 80.01
+    assert lunch[4] == 5 and lunch[18] == 535 and lunch[24] == 60.01
     assert json.loads(spark.read.text(f"{out}/meta").first()["value"])["tz"] == "Asia/Bangkok"
 
 
@@ -69,7 +69,7 @@ def test_json_cells(spark):
         "SELECT 'a\"b' s, CAST(NULL AS STRING) n, 10 i, true b, 12.345678D x, 100.0D whole, 2.505D net, "
         "-0.00001D z, CAST(7.5000 AS DECIMAL(18,4)) d"
     )
-    assert payload.json_rows(df).first()["value"] == '["a\\"b",null,10,true,12.3457,100,2.51,0,7.5]'
+    assert df.select(payload.json_row(df)).first()[0] == '["a\\"b",null,10,true,12.3457,100,2.51,0,7.5]'
 
 
 def test_view_filters(staged):
@@ -85,7 +85,7 @@ def test_view_filters(staged):
 
 def test_feeds_read_hours_from_the_seat_list_first(staged):
     got = rows(feeds.branches(staged), "id")
-    assert got["silom"] == {"id": "silom", "seats": 10, "open": 10, "close": 22}
+    assert got["silom"] == {"id": "silom", "th": "สีลม", "seats": 10, "open": 10, "close": 22}
     assert set(got) == {"silom", "rama9"}
 
 
