@@ -24,6 +24,7 @@ def pair_lift(t) -> DataFrame:
         .join(recent, "order_id")
         .distinct()
     )
+    bought = base.stage.keep("baskets", bought)
     bills = bought.groupBy("location_id").agg(F.count_distinct("order_id").alias("total_bills"))
     common = (
         bought.groupBy("location_id", "item").agg(F.count("*").alias("n"))

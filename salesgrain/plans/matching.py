@@ -23,7 +23,7 @@ def numbered_tabs(t) -> DataFrame:
     )
     branch = t.rel["locations"].select("branchid", "location_id")
     bills = t.rel["orders"].select("order_id", (F.col("is_finalized") & ~F.col("is_voided")).alias("stands"))
-    return (
+    numbered = (
         tabs.join(branch, "branchid")
         .join(bills, "order_id", "left")
         .select(
@@ -32,6 +32,7 @@ def numbered_tabs(t) -> DataFrame:
             F.coalesce("stands", F.lit(False)).alias("ok"),
         )
     )
+    return t.base.stage.keep("numbered_tabs", numbered)
 
 
 def grab_match(t) -> DataFrame:
@@ -46,6 +47,7 @@ def grab_match(t) -> DataFrame:
     tabs = numbered_tabs(t)
     place = ["location_id", "business_date", "num"]
     exact = booked.withColumn("num", F.col("gf_no")).join(tabs, place)
+    exact = t.base.stage.keep("exact_matches", exact)
     longer = booked.where(F.length("gf_no") > 3).withColumn("num", F.right("gf_no", F.lit(3)))
     fallback = (
         longer.join(exact.select("booking_id"), "booking_id", "left_anti")

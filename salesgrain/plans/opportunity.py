@@ -9,6 +9,7 @@ from salesgrain.functions import fixed_values as fv
 from salesgrain.functions import text
 from salesgrain.functions.numbers import MONEY, half_up, ratio, zero_if_null
 from salesgrain.operators.ranks import best_other, in_rolling_windows, second_best, smaller_target
+from salesgrain.plans.staging import side_by_side
 
 MEAL_LEVERS = ("side", "bev_paid", "bev_premium", "dessert", "topping", "set")
 PRICED_LEVERS = ("side", "dessert", "topping", "bev_paid", "bev_premium")
@@ -347,5 +348,6 @@ def dead_hours_rollup(t) -> DataFrame:
 
 
 def opportunity(t) -> DataFrame:
-    """A22. The full calculator table."""
+    """A22. The full calculator table. Its inputs are independent, so they are staged side by side."""
+    side_by_side(t.__getitem__, ("lever_daily", "lever_value", "occupancy_hourly"), 3)
     return t["opportunity_notes"].unionByName(t["dead_hours_rollup"])

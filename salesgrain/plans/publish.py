@@ -17,7 +17,8 @@ from salesgrain.sources.relations import Relations
 
 SHARED = frozenset({
     "orders", "lines", "options", "units", "unit_hours", "order_meals", "split_children",
-    "recorded_stays", "variant_bowls", "lever_daily", "lever_value",
+    "recorded_stays", "variant_bowls", "lever_daily", "lever_value", "baskets", "numbered_tabs",
+    "exact_matches",
 })
 
 

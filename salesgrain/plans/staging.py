@@ -11,9 +11,13 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+BASKETS = frozenset({"baskets"})
+PARTIES = frozenset({"order_meals", "split_children"})
+MATCHES = frozenset({"numbered_tabs", "exact_matches"})
 STAYS = frozenset({"recorded_stays"})
 DEAD_HOURS = STAYS | {"unit_hours", "occupancy_hourly"}
-CALCULATOR = DEAD_HOURS | {"variant_bowls", "lever_daily", "dead_hours"}
+LEVERS = frozenset({"units", "variant_bowls"})
+CALCULATOR = DEAD_HOURS | LEVERS | {"lever_daily", "dead_hours"}
 
 
 def checkpoint_root(spark: SparkSession) -> str:

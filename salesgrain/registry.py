@@ -13,7 +13,16 @@ from salesgrain.plans.catalog import BUILDERS, HELPERS, Tables
 from salesgrain.plans.checks import quality_checks
 from salesgrain.plans.feeds import FEEDS, today_partial
 from salesgrain.plans.insights import INSIGHTS
-from salesgrain.plans.staging import CALCULATOR, DEAD_HOURS, STAYS, Stage
+from salesgrain.plans.staging import (
+    BASKETS,
+    CALCULATOR,
+    DEAD_HOURS,
+    LEVERS,
+    MATCHES,
+    PARTIES,
+    STAYS,
+    Stage,
+)
 from salesgrain.sources.driver_tables import PARAMS, driver_relations
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +68,10 @@ BASE = (base_orders, base_lines, base_options, base_units, base_order_facts, bas
 
 # intermediates a query reads more than once are staged; all other queries stay one lazy plan
 STAGED = {
+    "pair_lift": BASKETS,
+    "party_size": PARTIES,
+    "grab_match": MATCHES,
+    "lever_daily": LEVERS,
     "bill_intervals": STAYS,
     "occupancy_hourly": STAYS,
     "dead_hours": DEAD_HOURS,
