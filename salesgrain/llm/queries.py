@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesgrain.llm import exact_dedup, line_dedup, secret_scan, source_mix, token_count
+from salesgrain.llm import (
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    quality_model,
+    secret_scan,
+    source_mix,
+    substring_dedup,
+    token_count,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +30,18 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_units(table(spark, sf_dir, "documents")).drop("row")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -29,6 +52,10 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -38,6 +65,14 @@ def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_classes(table(spark, sf_dir, "documents")).drop("row")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op5_line_dedup, op6_source_mix, op8_exact_dedup, op9_token_count)
-}
+    f.__name__: f
+    for f in (
+        op1_secret_scan, op2_decontaminate, op3_license_scan, op4_substring_dedup, op5_line_dedup,
+        op6_source_mix, op7_quality_model, op8_exact_dedup, op9_token_count, op10_jaccard_join,
+    )
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from salesgrain.llm import license_scan as lic
 from salesgrain.llm import secret_scan as scan
 
 SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -110,4 +111,48 @@ select d.doc_id, count(*) filter (rank = 0) as n_assign, count(*) filter (rank =
 from docs d left join spans s on d.doc_id = s.doc_id group by d.doc_id
 """
 
-SQL: dict[str, str] = {"op1_secret_scan": OP1, "op5_line_dedup": OP5, "op6_source_mix": OP6, "op8_exact_dedup": OP8}
+_TEMPLATES = ", ".join(f"({n}, '{label}', {words})" for n, label, words in lic.template_sets())
+_AT = {
+    label: " and ".join(f"list_extract(ws, i::int + {k}) = '{word}'" for k, word in enumerate(phrase.split()))
+    for label, phrase in lic.PHRASES.items()
+}
+_PLACES = " union all ".join(
+    f"select doc_id, '{label}' as label, i - 1 as place from (select doc_id, ws, unnest(generate_series(1, len(ws))) as i "
+    f"from words) where {test}"
+    for label, test in _AT.items()
+)
+
+OP3 = rf"""
+with words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '{lic.WORD}') as ws from documents),
+places as ({_PLACES}),
+templates(template, label, t_words) as (values {_TEMPLATES}),
+blocks as (
+  select doc_id, list_distinct(ws[b * {lic.STEP} + 1 : b * {lic.STEP} + {lic.BLOCK_WORDS}]) as b_words
+  from (select doc_id, ws, unnest(generate_series(0, greatest(len(ws) - 1, 0) // {lic.STEP})) as b from words)),
+shared as (
+  select b.doc_id, t.label, len(list_intersect(b.b_words, t.t_words)) as overlap, len(t.t_words) as size
+  from blocks b, templates t),
+met as (select doc_id, label, overlap / size as containment from shared where overlap >= ceil(round({lic.THRESHOLD} * size, 9))),
+base as (
+  select doc_id, count(*) as n_base, min(place) as first_word, max(place) as last_word,
+    string_agg(distinct label, ',' order by label) as base_labels
+  from places group by doc_id),
+labels as (
+  select doc_id, string_agg(distinct label, ',' order by label) as labels
+  from (select doc_id, label from places union all select doc_id, label from met) group by doc_id),
+best as (select doc_id, max(containment) as containment from met group by doc_id)
+select w.doc_id, len(w.ws)::bigint as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+  case when n_base > 0 then 1.0 else coalesce(containment, 0.0) end::double as score
+from words w left join base using (doc_id) left join labels using (doc_id) left join best using (doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op1_secret_scan": OP1,
+    "op3_license_scan": OP3,
+    "op5_line_dedup": OP5,
+    "op6_source_mix": OP6,
+    "op8_exact_dedup": OP8,
+}
