@@ -1 +1 @@
-"""Sales-driver analytics for multi-branch food service, written as Spark DataFrame plans."""
+"""Revenue-driver analytics for multi-branch food service, written as Spark DataFrame plans."""

@@ -67,7 +67,7 @@ COL_SERVICE = "ประเภทบริการ"
 
 # header names that identify each kind of export
 SIGNATURES = {
-    "sales": (COL_DATE, COL_STORE, COL_GROSS, COL_ORDERS, COL_AVG_RATING),
+    "turnover": (COL_DATE, COL_STORE, COL_GROSS, COL_ORDERS, COL_AVG_RATING),
     "menu": (COL_DATE, COL_STORE, COL_ITEM, COL_UNITS),
     "combo": (COL_STORE, COL_COMBO),
     "peak": (COL_DATE, COL_STORE, "01", "13", "00"),
@@ -80,7 +80,7 @@ SIGNATURES = {
 }
 # most specific first
 DETECTION_ORDER = ("transactions", "ads_campaign", "keywords", "miwi_store", "menu", "offers",
-                   "peak", "sales", "reviews", "combo")
+                   "peak", "turnover", "reviews", "combo")
 # zero-based positions in a transactions row (its header repeats names)
 TRANSACTION_FIELDS = {
     "store": 2, "created": 5, "category": 7, "status": 9, "transaction": 10, "short_no": 15,

@@ -34,19 +34,16 @@ def drink_tier(price: Column, rules: Rules) -> Column:
 
 
 def topping_key(name: Column, rules: Rules) -> Column:
-    """One key for a topping, whether picked as an option or ordered from the menu."""
-    grams = "|".join(fv.TOPPING_GRAM_WORDS)
-    removals = (
-        r"^\s*[A-Z]\d+\s*",  # menu code
-        rf"^\s*{fv.TOPPING_ADD_WORD}\s*",  # the word "add"
-        r"\([^)]*\)",  # bracketed remarks
-        r"\*+",  # markers
-        rf"\s*\d+\s*({grams})?\s*$",  # weight
-        r"\s+",  # white space
-    )
-    key = name
-    for pattern in removals:
-        key = F.regexp_replace(key, pattern, "")
+    """One key for a topping, whether picked as an option or ordered from the menu.
+
+    Of the words without remarks and markers, what stands between a menu code or the word for "add"
+    in front and a weight at the end.
+    """
+    plain = F.regexp_replace(name, r"\([^)]*\)|\*", "")
+    front = rf"(?:\s*[A-Z]\d+)?\s*(?:{fv.TOPPING_ADD_WORD})?"
+    weight = rf"(?:\d+\s*(?:{'|'.join(fv.TOPPING_GRAM_WORDS)})?)?"
+    words = F.regexp_extract(plain, rf"(?s)^{front}(.*?){weight}\s*$", 1)
+    key = F.array_join(F.split(words, r"\s+"), "")
     aliased = key
     for short, full in rules.topping_aliases.items():
         aliased = F.when(key == short, F.lit(full)).otherwise(aliased)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import json
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,45 +10,49 @@ from pyspark.sql import functions as F
 
 from salesgrain.params import Params
 from salesgrain.plans.catalog import BUILDERS, Tables
-from salesgrain.plans.staging import Stage, side_by_side
+from salesgrain.plans.staging import Stage, new_run_id, remove, side_by_side, write_line
 from salesgrain.sources.relations import Relations
 
 SHARED = frozenset({
     "orders", "lines", "options", "units", "unit_hours", "order_meals", "split_children",
     "recorded_stays", "variant_bowls", "lever_daily", "lever_value", "baskets", "numbered_tabs",
-    "exact_matches",
 })
 
 
-def new_run_id() -> str:
-    """Sorts by time, so the latest manifest is the current run."""
-    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-
-
 JOBS_AT_ONCE = 8
+KEEP_RUNS = 3
 
 
-def rebuild(rel: Relations, params: Params, root: str, run_id: str | None = None) -> str:
+def rebuild(rel: Relations, params: Params, root: str, run_id: str | None = None, keep_runs: int = KEEP_RUNS) -> str:
     """S16, S17, S20. Write all tables of a run; the manifest, written last, makes it visible.
 
     A run that fails on the way leaves no manifest, so readers keep the run before it. Shared
-    intermediates and finished tables are Parquet under the run folder: a table that reads
-    another one reads the stored copy, and lost executors only cost the tasks they held.
-    Tables do not depend on the order they are started in, so several are written at once.
+    intermediates lie in a work folder of the run that is removed at its end; of finished runs the
+    last keep_runs stay. Tables and intermediates are Parquet: one that reads another reads the
+    stored copy, and lost executors only cost the tasks they held. Tables do not depend on the order
+    they are started in, so several are written at once.
     """
     spark, run_id = rel.spark, run_id or new_run_id()
-    run = f"{root}/runs/{run_id}"
-    stage = Stage(spark, SHARED | frozenset(BUILDERS), folder=run)
+    run, work = f"{root}/runs/{run_id}", f"{root}/work/{run_id}"
+    stage = Stage(spark, SHARED | frozenset(BUILDERS), lambda name: run if name in BUILDERS else work)
     tables = Tables(rel, params, stage)
-    counts = side_by_side(lambda name: tables[name].count(), BUILDERS, JOBS_AT_ONCE)
+    try:
+        counts = side_by_side(lambda name: tables[name].count(), BUILDERS, JOBS_AT_ONCE)
+    except BaseException:
+        remove(spark, run)
+        raise
+    finally:
+        remove(spark, work)
     manifest = {
         "run_id": run_id,
         "as_of": params.as_of.isoformat(),
         "data_through": params.data_through.isoformat(),
         "tables": counts,
     }
-    line = spark.createDataFrame([(json.dumps(manifest),)], "value string")
-    line.coalesce(1).write.text(f"{root}/manifests/{run_id}")
+    write_line(spark, manifest, f"{root}/manifests/{run_id}")
+    for old in manifests(spark, root).select("run_id").offset(keep_runs).collect():  # a few names
+        remove(spark, f"{root}/manifests/{old.run_id}")
+        remove(spark, f"{root}/runs/{old.run_id}")
     return run_id
 
 

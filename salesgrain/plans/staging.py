@@ -1,8 +1,9 @@
-"""Shared intermediates written once to the cluster's checkpoint folder and read back."""
+"""Shared intermediates of a rebuild, written once below its own folder and read back."""
 
 from __future__ import annotations
 
-import tempfile
+import datetime as dt
+import json
 import threading
 import uuid
 from collections.abc import Callable, Iterable
@@ -11,36 +12,35 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASKETS = frozenset({"baskets"})
-PARTIES = frozenset({"order_meals", "split_children"})
-MATCHES = frozenset({"numbered_tabs", "exact_matches"})
-STAYS = frozenset({"recorded_stays"})
-DEAD_HOURS = STAYS | {"unit_hours", "occupancy_hourly"}
-LEVERS = frozenset({"units", "variant_bowls"})
-CALCULATOR = DEAD_HOURS | LEVERS | {"lever_daily", "dead_hours"}
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever store it lies; one that isn't there is fine."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; a private one only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="salesgrain-")
+
+def new_run_id() -> str:
+    """Sorts by time, so the latest manifest is the current run."""
+    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+def write_line(spark: SparkSession, content: dict, path: str) -> None:
+    """A small JSON file: it is there as a whole or not at all."""
+    spark.createDataFrame([(json.dumps(content),)], "value string").coalesce(1).write.text(path)
 
 
 class Stage:
     """Keeps the named intermediates as Parquet; lets every other one stay a lazy plan.
 
     A written table outlives lost executors, carries its real size for the choice of join, and
-    is read with pruned columns, so one intermediate can serve several consumers.
+    is read with pruned columns, so one intermediate can serve several consumers. Whoever makes a
+    stage names a shared folder for it, and removes what is not a result.
     """
 
-    def __init__(self, spark: SparkSession, names: frozenset[str] | None, folder: str | None = None):
+    def __init__(self, spark: SparkSession, names: frozenset[str] | None, folder: str | Callable[[str], str] = ""):
         self.spark = spark
         self.names = names
-        self.folder = folder
+        self.folder = folder if callable(folder) else lambda name: folder
         self._kept: dict[str, DataFrame] = {}
         self._guard = threading.Lock()
         self._writing: dict[str, threading.Lock] = {}
@@ -50,13 +50,11 @@ class Stage:
         if self.names is not None and name not in self.names:
             return df
         with self._guard:
-            if self.folder is None:
-                self.folder = f"{checkpoint_root(self.spark)}/stage-{uuid.uuid4().hex}"
             one_writer = self._writing.setdefault(name, threading.Lock())
         with one_writer:
             if name not in self._kept:
-                path = f"{self.folder}/{name}"
-                df.write.parquet(path)
+                path = f"{self.folder(name)}/{name}"
+                df.write.mode("overwrite").parquet(path)  # over what a failed attempt left
                 self._kept[name] = self.spark.read.schema(df.schema).parquet(path)
         return self._kept[name]
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,34 +14,53 @@ from salesgrain.functions import fixed_values as fv
 from salesgrain.functions import text
 from salesgrain.functions.times import wall_clock
 from salesgrain.params import Rules
-from salesgrain.plans.staging import Stage
+from salesgrain.plans.staging import new_run_id, remove, side_by_side, write_line
 from salesgrain.sources.relations import SCHEMAS
 
-WIDTH = 128  # more columns than any export has
+CSV_NAMES = "*.[cC][sS][vV]"
 MONTH = "_ym"
 
 
 # ---- S2, S3: find files, recognise them ---------------------------------------------------
+def _reader(spark: SparkSession, folder: str, width: int) -> DataFrame:
+    """Records with `width` cells; `raw` is the text of each record that has another number of fields."""
+    cells = ", ".join(f"c{i} string" for i in range(width))
+    return (
+        spark.read.schema(f"{cells}, raw string")
+        .option("recursiveFileLookup", True).option("pathGlobFilter", CSV_NAMES)
+        .option("multiLine", True).option("escape", '"').option("columnNameOfCorruptRecord", "raw")
+        .csv(folder)
+    )
+
+
+def _n_fields(raw: Column) -> Column:
+    """Fields of a record's text; a record that fits its schema has no text."""
+    unquoted = F.regexp_replace(F.coalesce(raw, F.lit("")), '"[^"]*"', "")
+    return F.length(F.regexp_replace(unquoted, "[^,]", "")) + 1
+
+
+def _path(column: str) -> Column:
+    """A file's name as listed or as its rows carry it, in one spelling."""
+    return F.regexp_replace(F.url_decode(F.regexp_replace(column, r"\+", "%2B")), "^file:/+", "file:/")
+
+
 def read_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Every record of every *.csv below a folder as an array of texts, with where it came from.
 
-    Folders starting with "." or "_" are skipped by the file listing. Quoted line breaks need
-    whole-file parsing, so a file is one task; the work spreads over the files.
+    The widest record of the load is measured first, and records are read with one cell more, so
+    none fits: each one's text is there to count its fields, and nothing is cut off. Folders
+    starting with "." or "_" are skipped by the file listing. Quoted line breaks need whole-file
+    parsing, so a file is one task; the work spreads over the files.
     """
-    cells = [f"c{i}" for i in range(WIDTH)]
-    raw = (
-        spark.read.schema(", ".join(f"{c} string" for c in cells) + ", raw string")
-        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]")
-        .option("multiLine", True).option("escape", '"').option("columnNameOfCorruptRecord", "raw")
-        .csv(folder)
-    )
-    path = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+    fields = F.greatest(_n_fields(F.col("raw")), F.when(F.col("c0").isNull(), 0).otherwise(1))
+    widest = _reader(spark, folder, 1).agg(F.max(fields)).first()[0] or 1
+    cells = [f"c{i}" for i in range(widest + 1)]
+    path = _path("_metadata.file_path")
     parts = F.split(path, "/")
     outer = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda x: F.concat(F.lit("1"), x))
-    unquoted = F.regexp_replace(F.coalesce("raw", F.lit("")), '"[^"]*"', "")
-    return raw.select(
+    return _reader(spark, folder, widest + 1).select(
         F.array(*[F.coalesce(c, F.lit("")) for c in cells]).alias("cells"),
-        (F.length(F.regexp_replace(unquoted, "[^,]", "")) + 1).alias("n_fields"),
+        _n_fields(F.col("raw")).alias("n_fields"),
         path.alias("file"),
         # files of a folder come before its subfolders, names in order
         F.concat(outer, F.array(F.concat(F.lit("0"), F.element_at(parts, -1)))).alias("file_order"),
@@ -49,6 +69,12 @@ def read_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def found_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All *.csv files below a folder, as listed; a scan passes over those without a byte."""
+    listed = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", CSV_NAMES).text(folder).inputFiles()
+    return spark.createDataFrame([(name,) for name in listed], "name string").select(_path("name").alias("file"))
+
+
 def kind_of(header: Column) -> Column:
     """The first kind, most specific first, whose signature the header contains."""
     found = F.lit(None).cast("string")
@@ -58,16 +84,35 @@ def kind_of(header: Column) -> Column:
     return found
 
 
-def tag_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Data records with their file's header and kind, and one row per file with its kind."""
-    first = rows.groupBy("file").agg(F.min("position").alias("position"))
-    headers = rows.join(first, ["file", "position"]).select(
-        "file", F.col("position").alias("first"),
-        F.transform("cells", lambda x: F.trim(F.regexp_replace(x, "﻿", ""))).alias("header"),
-    ).withColumn("kind", kind_of(F.col("header")))
-    known = headers.where(F.col("kind").isNotNull())
-    data = rows.join(known, "file").where(F.col("position") > F.col("first")).drop("first")
-    return data, headers.select("file", "kind")
+def tag_rows(rows: DataFrame) -> DataFrame:
+    """Every record with its file's header and kind, its place in the file (the header is at 1), and
+    whether it counts: a record that is neither header nor too short nor blank.
+
+    A file lies in one task already, so its first record is found there, within one scan.
+    """
+    file = Window.partitionBy("file").orderBy("position")
+    header = F.transform(F.first("cells").over(file), lambda x: F.trim(F.regexp_replace(x, "\ufeff", "")))
+    tagged = (
+        rows.withColumn("header", header).withColumn("place", F.row_number().over(file))
+        .withColumn("kind", kind_of(F.col("header")))
+    )
+    counts = F.lit(False)
+    for kind in fv.SIGNATURES:
+        counts = counts | ((F.col("kind") == kind) & is_usable(kind))
+    return tagged.withColumn("counts", F.coalesce(counts, F.lit(False)) & (F.col("place") > 1))
+
+
+def file_report(tagged: DataFrame, files: DataFrame) -> DataFrame:
+    """Per file its kind (NULL: not recognised), its records, and those too short or blank to count.
+
+    A file without any record is listed with none.
+    """
+    is_record = F.col("place") > 1
+    sums = tagged.groupBy("file").agg(
+        F.first("kind").alias("kind"), F.count_if(is_record).alias("records"),
+        F.count_if(is_record & F.col("kind").isNotNull() & ~F.col("counts")).alias("ignored"),
+    )
+    return files.join(sums, "file", "left").fillna(0, ["records", "ignored"])
 
 
 def field(name: str) -> Column:
@@ -139,7 +184,7 @@ def _transactions(rows: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
-def _sales(rows: DataFrame, rules: Rules) -> DataFrame:
+def _turnover(rows: DataFrame, rules: Rules) -> DataFrame:
     return rows.select(
         "*", day_month_year(fv.COL_DATE).alias("business_date"), number(fv.COL_GROSS).alias("gross_thb"),
         number(fv.COL_NET).alias("net_thb"), integer(fv.COL_ORDERS).alias("orders"),
@@ -246,7 +291,7 @@ def exports() -> dict[str, Export]:
 
     return {
         "transactions": branch_export("grab_orders", _transactions, ("row_id",), at=first_store),
-        "sales": branch_export("grab_daily", _sales, branch_day),
+        "turnover": branch_export("grab_daily", _turnover, branch_day),
         "menu": branch_export("grab_menu_daily", _menu, (*branch_day, "item"), "sum"),
         "offers": branch_export("grab_offers", _offers, (*branch_day, "campaign"), "sum"),
         "peak": branch_export("grab_peak", _peak, (*branch_day, "hour"), "sum"),
@@ -272,17 +317,17 @@ def with_location(rows: DataFrame, export: Export, rules: Rules) -> DataFrame:
     )
 
 
-def usable(rows: DataFrame, kind: str) -> DataFrame:
+def is_usable(kind: str) -> Column:
     """Too short transaction rows and entirely blank rows of the other kinds do not count."""
     if kind == "transactions":
-        return rows.where(F.col("n_fields") >= fv.TRANSACTION_MIN_FIELDS)
-    return rows.where(F.exists("cells", lambda x: F.trim(x) != ""))
+        return F.col("n_fields") >= fv.TRANSACTION_MIN_FIELDS
+    return F.exists("cells", lambda x: F.trim(x) != "")
 
 
 def unknown_stores(rows: DataFrame, kind: str, rules: Rules) -> DataFrame:
     """Quarantine report: store names no branch is known for, with their rows."""
     export = exports()[kind]
-    placed = with_location(usable(rows, kind), export, rules)
+    placed = with_location(rows, export, rules)
     if export.by_store is None:
         return placed.select(F.lit(None).cast("string").alias("store"), F.lit(0).cast("bigint").alias("rows")).limit(0)
     return placed.where(F.col("location_id").isNull()).groupBy("store").agg(F.count("*").alias("rows"))
@@ -295,7 +340,7 @@ def to_table(rows: DataFrame, kind: str, rules: Rules) -> DataFrame:
     loaded one after the other.
     """
     export = exports()[kind]
-    placed = with_location(usable(rows, kind), export, rules)
+    placed = with_location(rows, export, rules)
     if export.by_store is not None:
         placed = placed.where(F.col("location_id").isNotNull())
     parsed = export.parse(placed, rules)
@@ -324,51 +369,108 @@ def to_table(rows: DataFrame, kind: str, rules: Rules) -> DataFrame:
 
 
 # ---- S15: load ----------------------------------------------------------------------------
-def replace_slices(table: DataFrame, export: Export, path: str) -> None:
-    """Overwrite exactly the slices the rows cover. A large slice is split over several files."""
+KINDS_AT_ONCE = 4
+KEEP_LOADS = 3
+
+
+def current_load(spark: SparkSession, root: str) -> dict[str, str]:
+    """Which load holds each table; the newest manifest counts, and without one there is no table."""
+    jvm = spark.sparkContext._jvm
+    there = jvm.org.apache.hadoop.fs.Path(f"{root}/manifests")
+    if not there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there):
+        return {}
+    newest = load_manifests(spark, root).first()
+    return json.loads(newest["value"])["tables"] if newest else {}
+
+
+def load_manifests(spark: SparkSession, root: str) -> DataFrame:
+    """One small JSON line per finished load, newest first."""
+    lines = spark.read.option("recursiveFileLookup", True).text(f"{root}/manifests")
+    return lines.select("value", F.get_json_object("value", "$.load").alias("load")).orderBy(F.desc("load"))
+
+
+def _stored(spark: SparkSession, root: str, load: str, export: Export) -> DataFrame:
+    """A table as a load wrote it, with its slice columns."""
+    columns = table_schema(export.table).names
+    extra = "".join(f", {c} string" for c in export.slice_by if c not in columns)
+    return spark.read.schema(SCHEMAS[export.table] + extra).parquet(f"{root}/loads/{load}/{export.table}")
+
+
+def replace_slices(table: DataFrame, before: DataFrame | None, export: Export, path: str) -> None:
+    """Writes the table anew: exactly the slices the rows cover come from them, the others from before."""
     slices = list(export.slice_by)
-    (
-        table.hint("rebalance", *[F.col(c) for c in slices])
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*slices).parquet(path)
-    )
+    if before is not None:
+        covered = table.select(*slices).distinct()
+        table = table.unionByName(before.join(covered, slices, "left_anti"))
+    # a large slice is split over several files
+    table.hint("rebalance", *[F.col(c) for c in slices]).write.partitionBy(*slices).parquet(path)
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A loaded table in contract column order."""
-    columns = table_schema(table).names
+    """A loaded table, as of the last finished load, in contract column order."""
     export = next(e for e in exports().values() if e.table == table)
-    extra = "".join(f", {c} string" for c in export.slice_by if c not in columns)
-    return spark.read.schema(SCHEMAS[table] + extra).parquet(f"{root}/{table}").select(*columns)
+    return _stored(spark, root, current_load(spark, root)[table], export).select(*table_schema(table).names)
 
 
 @dataclass(frozen=True)
 class LoadReport:
-    files: DataFrame  # file, kind (NULL: skipped)
+    files: DataFrame  # file, kind (NULL: skipped), records, ignored
     unknown: DataFrame  # kind, store, rows
     categories: DataFrame | None  # S24: category, rows
 
 
-def load_exports(spark: SparkSession, folder: str, root: str, rules: Rules, stage: Stage | None = None) -> LoadReport:
-    """Load every recognised export below a folder into `root`; running it again changes nothing."""
-    data, files = tag_rows(read_rows(spark, folder))
-    stage = stage or Stage(spark, None)
-    data, files = stage.keep("export_rows", data), stage.keep("export_files", files)
-    unknown = None
-    categories = None
-    kinds = {r.kind for r in files.where("kind IS NOT NULL").select("kind").distinct().collect()}  # ten at most
-    for kind, export in exports().items():
-        if kind not in kinds:
-            continue
-        rows = data.where(F.col("kind") == kind)
-        replace_slices(to_table(rows, kind, rules), export, f"{root}/{export.table}")
-        lost = unknown_stores(rows, kind, rules).select(F.lit(kind).alias("kind"), "store", "rows")
-        unknown = lost if unknown is None else unknown.unionByName(lost)
-        if kind == "transactions":
-            categories = category_tally(read_table(spark, root, export.table))
-    if unknown is None:
-        unknown = spark.createDataFrame([], "kind string, store string, rows bigint")
-    return LoadReport(files, unknown, categories)
+def load_exports(spark: SparkSession, folder: str, root: str, rules: Rules, load: str | None = None) -> LoadReport:
+    """Load every recognised export below a folder into `root`; running it again changes nothing.
+
+    Tables of a load are written side by side into its own folder, and a manifest, written last, makes
+    them visible together: a load that fails leaves the tables as they were. Rows are parsed once
+    and laid out by kind; that copy goes at the end. Of finished loads the last KEEP_LOADS stay.
+    """
+    load = load or new_run_id()
+    out, work = f"{root}/loads/{load}", f"{root}/work/{load}"
+    known = exports()
+    before = current_load(spark, root)
+    try:
+        tagged = tag_rows(read_rows(spark, folder))
+        # what doesn't count lies apart: no later plan can meet a header where it expects a date
+        tagged.write.partitionBy("kind", "counts").parquet(f"{work}/records")
+        rows = spark.read.schema(tagged.schema).parquet(f"{work}/records")
+        files = file_report(rows, found_files(spark, folder))
+        files.write.parquet(f"{out}/files")
+        files = spark.read.schema(files.schema).parquet(f"{out}/files")
+        kinds = [r.kind for r in files.where("kind IS NOT NULL").select("kind").distinct().collect()]  # ten at most
+        data = rows.where("counts")
+
+        def write(kind: str) -> None:
+            export, own = known[kind], data.where(F.col("kind") == kind)
+            old = _stored(spark, root, before[export.table], export) if export.table in before else None
+            replace_slices(to_table(own, kind, rules), old, export, f"{out}/{export.table}")
+            lost = unknown_stores(own, kind, rules).select("store", "rows")
+            lost.write.parquet(f"{out}/unknown/kind={kind}")
+
+        side_by_side(write, kinds, KINDS_AT_ONCE)
+    except BaseException:
+        remove(spark, out)
+        raise
+    finally:
+        remove(spark, work)
+    tables = before | {known[kind].table: load for kind in kinds}
+    write_line(spark, {"load": load, "tables": tables}, f"{root}/manifests/{load}")
+    _forget_old_loads(spark, root)
+    schema = "store string, rows bigint, kind string"
+    unknown = spark.read.schema(schema).parquet(f"{out}/unknown") if kinds else spark.createDataFrame([], schema)
+    categories = category_tally(read_table(spark, root, "grab_orders")) if "transactions" in kinds else None
+    return LoadReport(files, unknown.select("kind", "store", "rows"), categories)
+
+
+def _forget_old_loads(spark: SparkSession, root: str) -> None:
+    """Manifests beyond the last KEEP_LOADS go, with the loads that no kept manifest names."""
+    lines = [json.loads(r["value"]) for r in load_manifests(spark, root).select("value").collect()]  # a few names
+    needed = {name for line in lines[:KEEP_LOADS] for name in (line["load"], *line["tables"].values())}
+    for line in lines[KEEP_LOADS:]:
+        remove(spark, f"{root}/manifests/{line['load']}")
+    for name in {x for line in lines for x in (line["load"], *line["tables"].values())} - needed:
+        remove(spark, f"{root}/loads/{name}")
 
 
 def category_tally(orders: DataFrame) -> DataFrame:

@@ -32,12 +32,11 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def shop(spark):
     """The hand-made noodle-chain fixture as tables."""
-    from domain import PARAMS, frames
+    from domain import PARAMS, frames, stage
     from salesgrain.plans.catalog import Tables
-    from salesgrain.plans.staging import STAYS, Stage
     from salesgrain.sources.relations import frame_relations
 
-    return Tables(frame_relations(spark, frames(spark)), PARAMS, Stage(spark, STAYS))
+    return Tables(frame_relations(spark, frames(spark)), PARAMS, stage(spark, "recorded_stays"))
 
 
 def rows(df, *keys):

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from salesgrain.params import Params
+from salesgrain.plans.staging import Stage
 from salesgrain.sources.relations import SCHEMAS
 
 TODAY = dt.date(2026, 10, 9)  # a Friday
@@ -158,3 +160,8 @@ def frames(spark):
         "split_dupe_lines": spark.createDataFrame([(10,)], "line_id bigint"),
     }
     return {name: df.withColumn("_", F.lit(1)).drop("_") for name, df in out.items()}
+
+
+def stage(spark, *names) -> Stage:
+    """Keeps the named intermediates (all, when none is named) in a folder of the test's own."""
+    return Stage(spark, frozenset(names) or None, tempfile.mkdtemp(prefix="stage-"))

@@ -42,11 +42,11 @@ def header(kind, *more):
 TRANSACTION_HEADER = ["หมวดหมู่", "ยอดขายสุทธิ", "ทั้งหมด", "Transaction ID", *["ชื่อร้าน"] * 60]
 
 
-def sales(day, store=SILOM, gross="1,000", orders="4", rating="4.5"):
+def day_row(day, store=SILOM, gross="1,000", orders="4", rating="4.5"):
     return [day, store, gross, orders, rating, "900", "250"]
 
 
-SALES_HEADER = header("sales", fv.COL_NET, fv.COL_AVG)
+DAY_HEADER = header("turnover", fv.COL_NET, fv.COL_AVG)
 
 
 @pytest.fixture()
@@ -69,14 +69,68 @@ def test_kinds_are_recognised_by_their_header_set(spark, loader):
         names = list(fv.SIGNATURES[kind])[::-1] + ["extra"]
         write(folder, f"deep/er/{kind}.CSV", [names, ["x"] * len(names)])
     write(folder, "unknown.csv", [["a", "b"], ["1", "2"]])
-    write(folder, "_skipped/sales.csv", [SALES_HEADER, sales("01/08/2026")])
+    write(folder, "_skipped/turnover.csv", [DAY_HEADER, day_row("01/08/2026")])
     write(folder, "empty.csv", [], bom=False)
-    write(folder, "note.txt", [SALES_HEADER])
-    data, files = platform_csv.tag_rows(platform_csv.read_rows(spark, folder))
-    kinds = {os.path.basename(r["file"]): r["kind"] for r in files.collect()}
-    assert kinds.pop("unknown.csv") is None
-    assert kinds == {f"{kind}.CSV": kind for kind in fv.SIGNATURES}
-    assert data.count() == len(fv.SIGNATURES)
+    write(folder, "note.txt", [DAY_HEADER])
+    tagged = platform_csv.tag_rows(platform_csv.read_rows(spark, folder))
+    files = rows(platform_csv.file_report(tagged, platform_csv.found_files(spark, folder)))
+    kinds = {os.path.basename(r["file"]): (r["kind"], r["records"]) for r in files}
+    assert kinds.pop("unknown.csv") == (None, 1) and kinds.pop("empty.csv") == (None, 0)
+    assert kinds == {f"{kind}.CSV": (kind, 1) for kind in fv.SIGNATURES}
+
+
+@pytest.mark.parametrize("width", [61, 127, 128, 129, 300])
+def test_records_of_any_width_load(loader, width):
+    folder, load, read = loader
+    more = [""] * (width - 64) if width > 64 else []
+    row = transaction(store=SILOM, transaction="T1", created="5 Aug 2026 1:07 PM", category="x", gross="5")
+    write(folder, "t.csv", [(TRANSACTION_HEADER + more)[:width], (row + more)[:width]])
+    # signature columns that lie far to the right
+    write(folder, "s.csv", [[f"x{i}" for i in range(width)] + DAY_HEADER, [""] * width + day_row("01/08/2026")])
+    report = load()
+    assert [r["row_id"] for r in read("grab_orders")] == ["T1"] and len(read("grab_daily")) == 1
+    assert all(r["kind"] and r["records"] == 1 and r["ignored"] == 0 for r in rows(report.files))
+
+
+def test_the_report_names_what_was_not_loaded(loader):
+    folder, load, _ = loader
+    row = transaction(store=SILOM, transaction="T", created="5 Aug 2026 1:07 PM")
+    write(folder, "t.csv", [TRANSACTION_HEADER, row[:40], row])
+    write(folder, "blank.csv", [DAY_HEADER, ["", " "], day_row("01/08/2026")])
+    write(folder, "empty.csv", [], bom=False)
+    write(folder, "odd.csv", [["a"], ["b"]])
+    got = {os.path.basename(r["file"]): (r["kind"], r["records"], r["ignored"]) for r in rows(load().files)}
+    assert got == {"t.csv": ("transactions", 2, 1), "blank.csv": ("turnover", 2, 1), "empty.csv": (None, 0, 0), "odd.csv": (None, 1, 0)}
+
+
+def test_a_load_is_visible_as_a_whole_or_not_at_all(spark, loader, monkeypatch):
+    folder, load, read = loader
+    hours = [f"{h:02d}" for h in range(24)]
+    write(folder, "s.csv", [DAY_HEADER, day_row("01/08/2026", gross="1")])
+    write(folder, "p.csv", [[fv.COL_DATE, fv.COL_STORE, *hours], ["01/08/2026", SILOM, *["1"] * 24]])
+    load()
+    write(folder, "s.csv", [DAY_HEADER, day_row("01/08/2026", gross="2")])
+    write(folder, "m.csv", [header("menu", fv.COL_ITEM_THB), ["01/08/2026", SILOM, "A", "2", "100"]])
+    whole = platform_csv.replace_slices
+
+    def failing(table, before, export, path):
+        if export.table == "grab_peak":
+            raise RuntimeError("lost")
+        whole(table, before, export, path)
+
+    monkeypatch.setattr(platform_csv, "replace_slices", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        load()
+    assert [r["gross_thb"] for r in read("grab_daily")] == [1] and len(read("grab_peak")) == 24
+    with pytest.raises(KeyError):
+        read("grab_menu_daily")
+    monkeypatch.setattr(platform_csv, "replace_slices", whole)
+    for _ in range(platform_csv.KEEP_LOADS + 1):
+        load()
+    assert [r["gross_thb"] for r in read("grab_daily")] == [2] and len(read("grab_menu_daily")) == 1
+    root = os.path.join(os.path.dirname(folder), "out")
+    assert len(os.listdir(os.path.join(root, "loads"))) == platform_csv.KEEP_LOADS
+    assert not os.path.isdir(os.path.join(root, "work")) or not os.listdir(os.path.join(root, "work"))
 
 
 def test_transactions(loader):
@@ -106,7 +160,7 @@ def test_transactions(loader):
 
 def test_last_row_wins_and_rating_zero_is_unknown(loader):
     folder, load, read = loader
-    write(folder, "s.csv", [SALES_HEADER, sales("01/08/2026", gross="5"), sales("01/08/2026", rating="0"), ["", " "]])
+    write(folder, "s.csv", [DAY_HEADER, day_row("01/08/2026", gross="5"), day_row("01/08/2026", rating="0"), ["", " "]])
     load()
     (got,) = read("grab_daily")
     assert got["gross_thb"] == 1000 and got["net_thb"] == 900 and got["orders"] == 4 and got["rating"] is None
@@ -159,14 +213,14 @@ def test_ads_keywords_missing_items_reviews(loader):
 
 def test_a_file_replaces_exactly_its_slices_and_a_rerun_changes_nothing(loader):
     folder, load, read = loader
-    write(folder, "1.csv", [SALES_HEADER, sales("01/08/2026", gross="1"), sales("01/08/2026", GAYSORN, gross="2"),
-                            sales("01/09/2026", gross="3")])
+    write(folder, "1.csv", [DAY_HEADER, day_row("01/08/2026", gross="1"), day_row("01/08/2026", GAYSORN, gross="2"),
+                            day_row("01/09/2026", gross="3")])
     load()
     before = read("grab_daily", "location_id", "business_date")
     load()
     assert read("grab_daily", "location_id", "business_date") == before
     # a later file for one branch-month drops that month's other days, and nothing else
-    write(folder, "sub/0.csv", [SALES_HEADER, sales("02/08/2026", gross="9")])
+    write(folder, "sub/0.csv", [DAY_HEADER, day_row("02/08/2026", gross="9")])
     load()
     got = {k: r["gross_thb"] for k, r in read("grab_daily", "location_id", "business_date").items()}
     assert got == {

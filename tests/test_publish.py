@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import domain
 import pytest
@@ -12,7 +13,6 @@ from conftest import rows
 from salesgrain.plans import feeds, insights, payload, publish
 from salesgrain.plans.catalog import BUILDERS, Tables
 from salesgrain.plans.checks import quality_checks
-from salesgrain.plans.staging import Stage
 from salesgrain.sources.relations import frame_relations
 
 
@@ -32,6 +32,16 @@ def test_manifest_lists_every_table(spark, root):
     assert run["ticket_hist"].count() == counts["ticket_hist"]["rows"]
 
 
+def test_only_tables_and_manifests_are_left_and_old_runs_go(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    rel = frame_relations(spark, domain.frames(spark))
+    for name in ("run-1", "run-2", "run-3"):
+        publish.rebuild(rel, domain.PARAMS, root, name, keep_runs=2)
+    assert sorted(os.listdir(f"{root}/runs")) == ["run-2", "run-3"] == sorted(os.listdir(f"{root}/manifests"))
+    assert set(os.listdir(f"{root}/runs/run-3")) == set(BUILDERS)
+    assert not os.path.isdir(f"{root}/work") or not os.listdir(f"{root}/work")
+
+
 def test_a_failed_run_stays_invisible(spark, root):
     data = domain.frames(spark)
     data["table_sessions"] = data["table_sessions"].drop("pax")
@@ -42,7 +52,7 @@ def test_a_failed_run_stays_invisible(spark, root):
 
 @pytest.fixture(scope="module")
 def staged(spark):
-    return Tables(frame_relations(spark, domain.frames(spark)), domain.PARAMS, Stage(spark, None))
+    return Tables(frame_relations(spark, domain.frames(spark)), domain.PARAMS, domain.stage(spark))
 
 
 def test_invariants_hold(staged):
