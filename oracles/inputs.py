@@ -90,8 +90,9 @@ PARTS = {
                CASE WHEN r_regionkey <> 2 THEN r_regionkey % 3 + 9 END open_hour,
                CASE WHEN r_regionkey <> 1 THEN r_regionkey + 16 END close_hour FROM region""",
     "x_holidays": """
-        SELECT make_date(y, m, dd) d, name FROM range(1995, 2002) t(y),
-               (VALUES (1, 1, 'new year'), (5, 1, 'labour day'), (12, 5, 'fathers day')) h(m, dd, name)""",
+        SELECT DISTINCT CAST(o_orderdate AS DATE) d, name
+        FROM orders JOIN (VALUES (1, 1, 'new year'), (5, 1, 'labour day'), (12, 5, 'fathers day')) h(m, dd, name)
+          ON month(o_orderdate) = m AND day(o_orderdate) = dd""",
     "x_weather": f"""
         SELECT DATE '1995-01-01' + CAST(n AS INT) d, CAST(greatest(n % 11 - 5, 0) * CAST(0.5 AS DECIMAL(2,1)) AS DECIMAL(18,4)) rain_mm
         FROM range({HISTORY + 1}) t(n) WHERE day(DATE '1995-01-01' + CAST(n AS INT)) <> 13""",

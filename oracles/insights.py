@@ -32,14 +32,15 @@ LAYER_CELLS = "\n        UNION ALL ".join(
     f"SELECT location_id, channel, '{g}_{layer}' cell, meals, {value.format(g=g)} units FROM i_layers"
     for g in ATTACH
     for layer, value in (("all", "{g}"), ("upsell", "{g} - {g}_s"), ("in_set", "{g}_s"))
-)
+) + "\n        UNION ALL SELECT location_id, channel, 'bev_water_all' cell, meals, bev_water units FROM i_layers"
 
 PARTS = {
     "i_tree": f"""
         SELECT f.*, gross, coalesce(t.trusted, false) AND f.channel = 'dine_in' believed FROM (
             SELECT location_id, business_date, daypart, channel, count(*) orders, sum(pax) pax, sum(total_thb) net,
                    sum(discount_thb) disc, sum(total_thb + discount_thb) gross, sum(main_units) main_units, sum(set_units) set_units,
-                   sum(meals) meals, {', '.join(f'sum({g}_units) {g}, sum({g}_set_units) {g}_s' for g in ATTACH)}
+                   sum(meals) meals, sum(bev_water_units) bev_water,
+                   {', '.join(f'sum({g}_units) {g}, sum({g}_set_units) {g}_s' for g in ATTACH)}
             FROM x_facts GROUP BY 1, 2, 3, 4) f LEFT JOIN q_pax_trust t USING (location_id, business_date)""",
     "i_days": "SELECT location_id, count(DISTINCT business_date) n FROM x_kept GROUP BY 1",
     "i_open": "SELECT location_id, count(DISTINCT business_date) n FROM x_kept WHERE channel = 'dine_in' GROUP BY 1",
@@ -53,7 +54,8 @@ PARTS = {
     "i_ticket": f"""
         SELECT location_id, {div('sum(total_thb)', 'sum(meals)')} ticket FROM x_facts WHERE channel = 'dine_in' GROUP BY 1""",
     "i_layers": f"""
-        SELECT location_id, channel, sum(meals) meals, {', '.join(f'sum({g}) {g}, sum({g}_s) {g}_s' for g in ATTACH)}
+        SELECT location_id, channel, sum(meals) meals, sum(bev_water) bev_water,
+               {', '.join(f'sum({g}) {g}, sum({g}_s) {g}_s' for g in ATTACH)}
         FROM i_tree GROUP BY 1, 2""",
     "i_cells": LAYER_CELLS,
     "i_mains": """
@@ -135,7 +137,7 @@ QUERIES = {
         worth AS (SELECT vs.*, {rnd('(q.r - rate) * bills_main * coalesce(q.p, price) * 30 / n')} m FROM vs, span WHERE q.r > rate)
         SELECT location_id, main_family, item, {big('bills_main')} bills_main, {rnd('rate * 100', 2)} rate_pct,
                q.l best_location, {rnd('q.r * 100', 2)} best_pct, m thb_per_month
-        FROM worth QUALIFY row_number() OVER (PARTITION BY location_id ORDER BY m DESC NULLS LAST, main_family, item) <= 10""",
+        FROM worth ORDER BY m DESC NULLS LAST, location_id, main_family, item LIMIT 10""",
     "party_mix": share("q_party_size", "location_id", "pax_bucket", "bills", "channel = 'dine_in'"),
     "ticket_mix": share("q_ticket_hist", "location_id", "thb_bucket", "bills"),
     "choice_share": "SELECT *, share_pct < 2 unpopular FROM ("
@@ -156,13 +158,13 @@ QUERIES = {
                CASE WHEN units_quartile > 2 THEN CASE WHEN price_quartile > 2 THEN 'star' ELSE 'plowhorse' END
                     WHEN price_quartile > 2 THEN 'puzzle' ELSE 'dog' END menu_class FROM n""",
     "item_trend": f"""
-        SELECT item_name, ym, channel, {dbl('u')} units, {dbl('b')} thb,
-               {pct('u', 'sum(u) OVER (PARTITION BY item_name, ym)', 4)} channel_share_pct
-        FROM (SELECT item_name, strftime(business_date, '%Y-%m') ym, channel, sum(qty) u, sum(thb) b FROM x_units GROUP BY 1, 2, 3)""",
+        SELECT item_name, business_date, channel, {dbl('u')} units, {dbl('b')} thb,
+               {pct('u', 'sum(u) OVER (PARTITION BY item_name, business_date)', 4)} channel_share_pct
+        FROM (SELECT item_name, business_date, channel, sum(qty) u, sum(thb) b FROM x_units GROUP BY 1, 2, 3)""",
     "item_partners": """
         SELECT *, CAST(row_number() OVER (PARTITION BY location_id, item ORDER BY lift DESC, bills_ab DESC, partner) AS INT) place
         FROM (SELECT location_id, item_a item, item_b partner, bills_ab, lift FROM t_pairs
-              UNION ALL SELECT location_id, item_b, item_a, bills_ab, lift FROM t_pairs) QUALIFY place <= 5""",
+              UNION ALL SELECT location_id, item_b, item_a, bills_ab, lift FROM t_pairs)""",
     "set_uptake": f"""
         SELECT location_id, strftime(business_date, '%Y-%m') ym, {dbl('sum(set_units)')} set_units, {dbl('sum(main_units)')} main_units,
                {pct('sum(set_units)', MEALS)} set_uptake_pct,
@@ -199,6 +201,8 @@ QUERIES = {
         (SELECT 'opportunity' kind, location_id, channel, lever what, uplift_thb_month AS value FROM t_notes
          ORDER BY uplift_thb_month DESC NULLS LAST, location_id, channel, lever LIMIT 3)
         UNION ALL
+        SELECT lever, location_id, channel, lever, uplift_thb_month FROM t_rollup
+        UNION ALL
         (SELECT 'gap', location_id, channel, strftime(business_date, '%Y-%m-%d'), gap FROM t_calendar
          WHERE business_date >= DATE '2001-07-26' AND business_date <= DATE '2001-08-01' AND gap IS NOT NULL
          ORDER BY gap, location_id, channel, business_date LIMIT 3)""",
@@ -249,6 +253,8 @@ QUERIES = {
         SELECT location_id, ym, rating, {big('coalesce(n, 0)')} reviews, {big('coalesce(u, 0)')} unanswered, {rnd('r', 2)} missing_pct,
                coalesce(r > 1, false) missing_alert
         FROM a FULL JOIN b USING (location_id, ym) FULL JOIN c USING (location_id, ym)""",
+    "unanswered_reviews": """
+        SELECT review_date, location_id, CAST(rating AS INT) rating, review FROM x_previews WHERE NOT replied""",
     "hour_curves": f"""
         WITH s AS (SELECT location_id, CAST(hr AS INT) AS hour, count(*) n FROM x_kept WHERE {IN_STORE} AND hr IS NOT NULL GROUP BY 1, 2),
         p AS (SELECT location_id, CAST(hour AS INT) AS hour, sum(orders) n FROM x_ppeak GROUP BY 1, 2),
