@@ -54,8 +54,7 @@ def main() -> None:
         timed(name, lambda: queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
     rel = driver_relations(spark, sf_dir)
     timed("full_rebuild", lambda: publish.rebuild(rel, PARAMS, f"{scratch}/published", "bench"))
-    run = f"{scratch}/published/runs/bench"
-    tables = Tables(rel, PARAMS, Stage(spark, None, folder=run + "-feeds"))
+    tables = Tables(rel, PARAMS, Stage(spark, None, f"{scratch}/feeds"))
     current = publish.published(spark, f"{scratch}/published")
     for name in current.manifest["tables"]:
         tables.put(name, current[name])

@@ -47,22 +47,23 @@ def second_best(pool: DataFrame, keys: list[str], who: str, rate: str, at_least:
 
 
 def in_rolling_windows(
-    df: DataFrame, day: str, as_of: dt.date, span: int, step: int, last_window: int
+    df: DataFrame, day: str, as_of: dt.date, span: int, step: int, last_window: int, also: Column | None = None
 ) -> DataFrame:
     """One row per window a day falls into, with the window's first day as `window_start`.
 
     Window k runs from as_of - span - step*k to as_of - 1 - step*k. The few windows of a day are
-    computed from its age, so nothing is joined.
+    computed from its age, so nothing is joined. Days that meet the condition `also` get one more
+    row, with a NULL window_start.
     """
     age = F.datediff(F.lit(as_of), F.col(day))
     first = F.greatest(F.lit(0), F.ceil((age - span) / step)).cast("int")
     last = F.least(F.lit(last_window), F.floor((age - 1) / step)).cast("int")
-    return (
-        df.where((age >= 1) & (first <= last))
-        .withColumn("_k", F.explode(F.sequence(first, last)))
-        .withColumn("window_start", F.date_sub(F.lit(as_of), F.lit(span) + F.col("_k") * step))
-        .drop("_k")
-    )
+    none = F.array().cast("array<int>")
+    numbers = F.when((age >= 1) & (first <= last), F.sequence(first, F.greatest(first, last))).otherwise(none)
+    starts = F.transform(numbers, lambda k: F.date_sub(F.lit(as_of), F.lit(span) + k * step))
+    if also is not None:
+        starts = F.concat(starts, F.when(also, F.array(F.lit(None).cast("date"))).otherwise(F.array().cast("array<date>")))
+    return df.withColumn("window_start", F.explode(starts))
 
 
 def smaller_target(current: Column, *targets: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesgrain.functions import text, times
@@ -25,6 +25,11 @@ FACT_COLUMNS = (
 )
 
 
+def on_line(value: Column) -> Column:
+    """The largest value over all rows of a line."""
+    return F.max(value).over(Window.partitionBy("order_id", "line_id"))
+
+
 def group_condition(group: str) -> str:
     """Does a unit row belong to a unit group: a category, all drinks, or one drink tier."""
     if group == "bev":
@@ -89,49 +94,84 @@ class Base:
         )
         return self.stage.keep("orders", kept)
 
+    def windowed(self, name: str, extra_days: int = 0) -> DataFrame:
+        """A relation cut to the window by its partition column, where it carries one."""
+        df = self.rel[name]
+        if "business_date" not in df.columns:
+            return df
+        return df.where(self.since("business_date", self.params.window_days + extra_days))
+
     # ---- B2 ------------------------------------------------------------------------------
     @cached_property
     def counted_lines(self) -> DataFrame:
-        """Active, non-special lines of any order; partition-pruned when lines carry a date."""
-        lines = self.rel["order_lines"]
-        if "business_date" in lines.columns:
-            lines = lines.where(self.since("business_date", self.params.window_days))
-        return lines.where(F.col("is_active") & ~F.col("is_special_line"))
+        """Active, non-special lines of any order."""
+        return self.windowed("order_lines").where(F.col("is_active") & ~F.col("is_special_line"))
+
+    def _described(self, lines: DataFrame) -> DataFrame:
+        """Lines with item code, drink tier and give-away flag."""
+        if "item_code" not in lines.columns:
+            lines = lines.join(self.rel["items"].select("itemid", "item_code"), "itemid", "left")
+        tier = F.when(
+            F.col("tree_category") == "beverage", text.drink_tier(F.col("unit_price_inc_vat_thb"), self.rules)
+        )
+        free = text.is_free_item(F.col("item_code"), F.col("name_th"), self.rules)
+        return lines.withColumns({"bev_tier": tier, "is_free": free})
+
+    @cached_property
+    def flagged_lines(self) -> DataFrame:
+        """Counted lines, described, with is_split_copy: listed as made when a bill was split.
+
+        A relation that flags its copies itself spares the join with their list.
+        """
+        lines = self._described(self.counted_lines)
+        if "is_split_copy" in lines.columns:
+            return lines
+        copies = self.rel["split_dupe_lines"].select("line_id").distinct().withColumn("is_split_copy", F.lit(True))
+        return lines.join(copies, "line_id", "left")
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Counted lines without split-bill copies, with drink tier and give-away flag."""
-        dupes = self.rel["split_dupe_lines"].select("line_id")
-        kept = self.counted_lines.join(dupes, "line_id", "left_anti")
-        if "item_code" not in kept.columns:
-            codes = self.rel["items"].select("itemid", "item_code")
-            kept = kept.join(codes, "itemid", "left")
-        flagged = kept.select(
+        """Counted lines without split-bill copies, with drink tier and give-away flag.
+
+        A line is a copy when any row of its id is. Rows lie by order afterwards.
+        """
+        is_copy = on_line(F.coalesce("is_split_copy", F.lit(False)))
+        dealt = self.flagged_lines.repartition("order_id").withColumn("is_copy", is_copy)
+        kept = dealt.where(~F.col("is_copy")).select(
             "order_id", "line_id", "itemid", "item_code", "name_th", "tree_category", "qty",
-            "gross_inc_vat_thb", "unit_price_inc_vat_thb", "base_price_thb", "discount_thb",
-            F.when(
-                F.col("tree_category") == "beverage",
-                text.drink_tier(F.col("unit_price_inc_vat_thb"), self.rules),
-            ).alias("bev_tier"),
-            text.is_free_item(F.col("item_code"), F.col("name_th"), self.rules).alias("is_free"),
+            "gross_inc_vat_thb", "unit_price_inc_vat_thb", "base_price_thb", "discount_thb", "bev_tier", "is_free",
         )
-        return self.stage.keep("lines", flagged)
+        return self.stage.keep("lines", kept)
 
     # ---- B3 ------------------------------------------------------------------------------
     @cached_property
-    def options(self) -> DataFrame:
-        """Options that hang on a kept line; a pick forced by a set is no paid upsell."""
+    def sold_options(self) -> DataFrame:
+        """Options of any line; a pick forced by a set is no paid upsell."""
         forced = F.col("modifier_group").rlike(self.rules.set_mandatory_re)
-        hanging = (
-            self.rel["sold_options"]
-            .join(self.lines.select("order_id", "line_id"), ["order_id", "line_id"], "left_semi")
-            .select(
-                "order_id", "line_id", "dish_th", "modifier_group", "choice_th", "choice_qty",
-                "paid_price_thb", "is_paid_option",
-                (F.col("is_paid_option") & ~forced).alias("is_paid_upsell"),
-            )
+        return self.windowed("sold_options").select(
+            "order_id", "line_id", "dish_th", "modifier_group", "choice_th", "choice_qty",
+            "paid_price_thb", "is_paid_option",
+            (F.col("is_paid_option") & ~forced).alias("is_paid_upsell"),
         )
-        return self.stage.keep("options", hanging)
+
+    def hanging(self, options: DataFrame) -> DataFrame:
+        """Those options whose line is a kept one.
+
+        Lines and options are dealt by order once, which also serves the join with orders, and meet
+        there in a window per line; no join of facts with facts is needed.
+        """
+        lines = self.flagged_lines.select(
+            "order_id", "line_id", F.lit(True).alias("is_line"), F.coalesce("is_split_copy", F.lit(False)).alias("is_copy")
+        )
+        marked = options.withColumn("is_line", F.lit(False)).withColumn("is_copy", F.lit(False))
+        both = marked.unionByName(lines, allowMissingColumns=True).repartition("order_id")
+        hangs = on_line(F.col("is_line")) & ~on_line(F.col("is_copy"))
+        return both.withColumn("hangs", hangs).where(F.col("hangs") & ~F.col("is_line")).select(*options.columns)
+
+    @cached_property
+    def options(self) -> DataFrame:
+        """Options that hang on a kept line."""
+        return self.stage.keep("options", self.hanging(self.sold_options))
 
     @cached_property
     def item_choices(self) -> DataFrame:
@@ -144,36 +184,37 @@ class Base:
         )
         return self.rel["map_option_item"].join(one_per_code, "item_code")
 
-    @cached_property
-    def item_options(self) -> DataFrame:
+    def item_options(self, options: DataFrame) -> DataFrame:
         """Options of the groups whose choices are menu items, with the map key."""
-        return self.options.where(
+        return options.where(
             F.col("modifier_group").rlike(self.rules.option_item_groups_re)
         ).withColumn("choice_key", text.choice_key(F.col("choice_th")))
 
     # ---- B4 ------------------------------------------------------------------------------
     @cached_property
     def sold_rows(self) -> DataFrame:
-        """Menu lines and item options, without order attributes.
+        """Menu lines and the item options that hang on a kept one, dealt by order, in one pass.
 
-        Give-away lines stay, with NULL units, because the promotion tag reads them too.
+        Give-away lines and split copies stay, with NULL units: the promotion tag reads the first,
+        the take-home flag both.
         """
-        counted = ~F.col("is_free")
         gifted = (
             (F.col("base_price_thb") >= F.lit(self.rules.buy2get1_min_price))
             & (F.col("gross_inc_vat_thb") <= F.lit(self.rules.near_zero).cast(MONEY))
             & (zero_if_null(F.col("discount_thb")) <= F.lit(self.rules.near_zero).cast(MONEY))
         )
-        menu = self.lines.select(
-            "order_id", "itemid", "item_code", F.col("name_th").alias("item_name"),
-            "tree_category", "bev_tier", F.lit("menu").alias("source"),
-            F.when(counted, F.col("qty")).alias("qty"),
-            F.when(counted, F.col("gross_inc_vat_thb")).alias("thb"),
+        dish = F.col("tree_category").isin("main", "set")
+        menu = self.flagged_lines.select(
+            "order_id", "line_id", "itemid", "item_code", F.col("name_th").alias("item_name"),
+            "tree_category", "bev_tier", F.lit("menu").alias("source"), "qty",
+            F.col("gross_inc_vat_thb").alias("thb"),
             "is_free", gifted.alias("is_gift"),
+            F.when(dish, F.coalesce("is_take_home", F.lit(False))).alias("is_taken"),
+            F.coalesce("is_split_copy", F.lit(False)).alias("is_copy"),
         )
         forced = F.col("modifier_group").rlike(self.rules.set_mandatory_re)
-        picks = self.item_options.join(self.item_choices, "choice_key").select(
-            "order_id", "itemid", "item_code", F.col("name_th").alias("item_name"),
+        picks = self.item_options(self.sold_options).join(self.item_choices, "choice_key").select(
+            "order_id", "line_id", "itemid", "item_code", F.col("name_th").alias("item_name"),
             "tree_category",
             F.when(
                 F.col("tree_category") == "beverage",
@@ -183,8 +224,19 @@ class Base:
             (F.col("choice_qty") * F.col("qty_mult")).cast(MONEY).alias("qty"),
             (zero_if_null(F.col("paid_price_thb")) * F.col("choice_qty")).cast(MONEY).alias("thb"),
             F.lit(False).alias("is_free"), F.lit(False).alias("is_gift"),
+            F.lit(None).cast("boolean").alias("is_taken"), F.lit(False).alias("is_copy"),
+        )
+        is_menu = F.col("source") == "menu"
+        met = menu.unionByName(picks).repartition("order_id").withColumns(
+            {"on_menu": on_line(is_menu), "on_copy": on_line(F.col("is_copy"))}
+        )
+        rows = met.where(is_menu | (F.col("on_menu") & ~F.col("on_copy")))
+        is_unit = ~F.col("on_copy") & ~F.col("is_free")
+        return rows.select(
+            "order_id", "itemid", "item_code", "item_name", "tree_category", "bev_tier", "source",
+            F.when(is_unit, F.col("qty")).alias("qty"), F.when(is_unit, F.col("thb")).alias("thb"),
+            is_unit.alias("is_unit"), (F.col("is_gift") & ~F.col("on_copy")).alias("is_gift"), "is_taken",
         )
-        return menu.unionByName(picks)
 
     @cached_property
     def units(self) -> DataFrame:
@@ -193,8 +245,8 @@ class Base:
             "order_id", "location_id", "business_date", "hr", "daypart", "channel"
         )
         placed = (
-            self.sold_rows.where(~F.col("is_free"))
-            .drop("is_free", "is_gift")
+            self.sold_rows.where("is_unit")
+            .drop("is_unit", "is_gift", "is_taken")
             .join(place, "order_id")
         )
         return self.stage.keep("units", placed)
@@ -217,12 +269,14 @@ class Base:
         """Kept orders with sums over their sold rows; an order without rows gets zeros.
 
         Lines are summed to the order before they meet order scalars, so no scalar is ever
-        multiplied by a line count.
+        multiplied by a line count. They already lie by order, so the sums shuffle nothing.
+        taken_home: every main and set on the bill was.
         """
         exact = "CAST(sum({value}) AS DECIMAL(18,4)) AS {name}"
         per_order = self.sold_rows.groupBy("order_id").agg(
             *[F.expr(exact.format(value=unit_column(c), name=c)) for c in sums],
             F.bool_or("is_gift").alias("_gift"),
+            F.bool_and("is_taken").alias("_taken"),
         )
         zeros = {c: 0 for c in sums}
         promo = F.when(F.col("_gift"), self.rules.buy2get1_promo).otherwise(self.rules.no_promo)
@@ -230,13 +284,18 @@ class Base:
             self.orders.join(per_order, "order_id", "left")
             .fillna(zeros)
             .withColumn("promo", promo)
-            .drop("_gift")
+            .withColumn("taken_home", F.coalesce("_taken", F.lit(False)))
+            .drop("_gift", "_taken")
         )
 
+    def facts(self, columns: list[str]) -> DataFrame:
+        """Kept orders with some of the fact columns; what nobody reads is not summed."""
+        return self._per_order(columns)
+
     @cached_property
     def order_facts(self) -> DataFrame:
         """One row per order with every unit group, the set layer and the promotion tag."""
-        return self._per_order(FACT_COLUMNS)
+        return self.facts(FACT_COLUMNS)
 
     @cached_property
     def order_meals(self) -> DataFrame:
@@ -287,7 +346,7 @@ class Base:
     # ---- S23 -----------------------------------------------------------------------------
     def unmapped_choices(self) -> DataFrame:
         """Choices of covered option groups that no item stands for, most frequent first."""
-        kept = self.item_options.join(self.orders.select("order_id"), "order_id", "left_semi")
+        kept = self.item_options(self.options).join(self.orders.select("order_id"), "order_id", "left_semi")
         return (
             kept.join(self.item_choices.select("choice_key"), "choice_key", "left_anti")
             .groupBy("modifier_group", "choice_th")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesgrain.functions import text, times
@@ -74,17 +74,31 @@ def pair_attach(t) -> DataFrame:
     upsell = F.col("tree_category").isin("side", "dessert") | (
         (F.col("tree_category") == "beverage") & F.col("bev_tier").isin("paid", "premium")
     )
-    mains = (
-        sold.where(F.col("tree_category") == "main")
-        .select("order_id", "location_id", "channel",
-                times.week_start(F.col("business_date")).alias("week_start"),
-                F.col("family").alias("main_family"))
-        .distinct()
+    is_main = F.col("tree_category") == "main"
+    bill = ["order_id", "location_id", "channel", "business_date"]
+    # rows lie by order already: families of a bill, then the bill's mains beside its extras
+    families = sold.where(is_main | upsell).groupBy(*bill, "family").agg(
+        F.bool_or(is_main).alias("is_main"),
+        F.bool_or(upsell).alias("is_extra"),
+        F.sum(F.when(upsell, F.col("thb"))).alias("thb"),
+    )
+    no_extra = F.array(F.struct(F.lit(None).cast("string").alias("item"), F.lit(None).cast("decimal(28,4)").alias("thb")))
+    extra = F.struct(F.col("family").alias("item"), F.col("thb").cast("decimal(28,4)").alias("thb"))
+    bills = families.groupBy(*bill).agg(
+        F.collect_list(F.when(F.col("is_main"), F.col("family"))).alias("mains"),
+        F.concat(no_extra, F.collect_list(F.when(F.col("is_extra"), extra))).alias("extras"),
     )
-    extras = sold.where(upsell).groupBy("order_id", F.col("family").alias("item")).agg(F.sum("thb").alias("thb"))
     grain = ["location_id", "channel", "week_start", "main_family"]
-    main_bills = mains.groupBy(*grain).agg(F.count("*").alias("bills_main"))
-    both = mains.join(extras, "order_id").groupBy(*grain, "item").agg(
-        F.count("*").alias("bills_both"), half_up(F.sum("thb"), 2).alias("thb_both")
+    week = times.week_start(F.col("business_date")).alias("week_start")
+    pairs = bills.select("location_id", "channel", week, F.explode("mains").alias("main_family"), "extras").select(
+        *grain, F.explode("extras").alias("extra")
+    )
+    # the row without an item counts the bills that hold the main at all
+    counted = pairs.groupBy(*grain, F.col("extra.item").alias("item")).agg(
+        F.count("*").alias("bills_both"), half_up(F.sum("extra.thb"), 2).alias("thb_both")
+    )
+    all_bills = F.max(F.when(F.col("item").isNull(), F.col("bills_both"))).over(Window.partitionBy(*grain))
+    return (
+        counted.withColumn("bills_main", all_bills).where(F.col("item").isNotNull())
+        .select(*grain, "item", "bills_main", "bills_both", "thb_both")
     )
-    return both.join(main_bills, grain).select(*grain, "item", "bills_main", "bills_both", "thb_both")

@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesgrain.functions import times
 from salesgrain.functions.numbers import half_up, ratio
-from salesgrain.plans.base import unit_column
 
 TREE_UNITS = ("main", "bev", "bev_water", "bev_paid", "bev_premium", "side", "topping", "dessert")
 TREE_THB = ("main", "bev", "side", "topping", "dessert", "bev_paid", "bev_premium")
 TREE_SET_LAYER = ("side", "bev_paid", "bev_premium", "dessert", "topping")
 
 
-def with_units(t, orders: DataFrame, grain: list[str], columns: list[str]) -> DataFrame:
-    """Order-side sums joined with unit sums of the same grain; both sides are already small."""
-    total = "sum({value}) AS {name}"
-    units = t.base.unit_hours.groupBy(*grain).agg(
-        *[F.expr(total.format(value=unit_column(c), name=c)) for c in columns]
-    )
-    matched = [orders[g].eqNullSafe(units[g]) for g in grain]
-    joined = orders.join(units, matched, "left").select(*[orders[c] for c in orders.columns], *columns)
-    return joined.fillna({c: 0 for c in columns})
+def totals(columns: list[str]) -> list[Column]:
+    return [F.sum(c).alias(c) for c in columns]
 
 
 def tree_daily(t) -> DataFrame:
@@ -31,15 +23,16 @@ def tree_daily(t) -> DataFrame:
     units = [f"{g}_units" for g in TREE_UNITS]
     money = [f"{g}_thb" for g in TREE_THB]
     set_layer = [f"{g}_set_units" for g in TREE_SET_LAYER]
-    orders = t.base.orders.groupBy(*grain).agg(
+    columns = [*units, *money, "set_units", "set_thb", *set_layer]
+    sums = t.base.facts(columns).groupBy(*grain).agg(
         F.count("*").alias("orders"),
         F.sum("pax").alias("pax_keyed"),
         F.sum("total_thb").alias("net_thb"),
         F.sum("discount_thb").alias("discount_thb"),
+        *totals(columns),
     )
-    columns = [*units, *money, "set_units", "set_thb", *set_layer]
     unused = F.lit(0)  # two columns kept as zeros so later columns never move
-    return with_units(t, orders, grain, columns).select(
+    return sums.select(
         *grain, "orders", "pax_keyed", *units,
         unused.alias("paid_option_picks"), unused.cast("decimal(18,4)").alias("paid_option_thb"),
         (F.col("net_thb") + F.col("discount_thb")).alias("gross_thb"), "discount_thb", "net_thb",
@@ -49,19 +42,18 @@ def tree_daily(t) -> DataFrame:
 
 def hourly(t) -> DataFrame:
     """A2. Orders, keyed guests, net and mains by branch, day, closing hour and channel."""
-    grain = ["location_id", "business_date", "hr", "channel"]
-    orders = t.base.orders.groupBy(*grain).agg(
+    return t.base.facts(["main_units"]).groupBy("location_id", "business_date", F.col("hr").alias("hour"), "channel").agg(
         F.count("*").alias("orders"),
         F.sum("pax").alias("pax_keyed"),
         F.sum("total_thb").alias("net_thb"),
+        *totals(["main_units"]),
     )
-    return with_units(t, orders, grain, ["main_units"]).withColumnRenamed("hr", "hour")
 
 
 def dwell(t) -> DataFrame:
     """A3. Dine-in sessions of believable length; an unset cancel flag means not cancelled."""
     p = t.params
-    sessions = t.rel["table_sessions"].where(
+    sessions = t.base.windowed("table_sessions").where(
         ~F.coalesce("is_cancelled", F.lit(False))
         & F.col("dwell_minutes").between(p.dwell_min, p.dwell_max)
     ).select("order_id", "dwell_minutes", F.col("pax").alias("party"))
@@ -84,13 +76,11 @@ def dwell(t) -> DataFrame:
 def pax_trust(t) -> DataFrame:
     """A4. Bowls per keyed guest; outside the band the keyed count is not believed."""
     p = t.params
-    grain = ["location_id", "business_date", "channel"]
-    guests = (
-        t.base.orders.where(F.col("channel") == "dine_in").groupBy(*grain).agg(F.sum("pax").alias("keyed_pax"))
-    )
-    sums = with_units(t, guests, grain, ["main_units", "set_units"]).withColumn(
-        "bowls", F.col("main_units") + F.col("set_units")
-    )
+    columns = ["main_units", "set_units"]
+    dine_in = t.base.facts(columns).where(F.col("channel") == "dine_in")
+    sums = dine_in.groupBy("location_id", "business_date").agg(
+        F.sum("pax").alias("keyed_pax"), *totals(columns)
+    ).withColumn("bowls", F.col("main_units") + F.col("set_units"))
     keyed = F.col("keyed_pax") > 0
     low, high = (F.lit(x).cast("decimal(3,2)") for x in (p.trust_low, p.trust_high))
     inside = F.col("bowls").between(F.col("keyed_pax") * low, F.col("keyed_pax") * high)

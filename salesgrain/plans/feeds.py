@@ -329,7 +329,7 @@ def _recent_matches(t) -> DataFrame:
 
 def platform_options(t) -> DataFrame:
     """P36. Option picks on matched bills."""
-    picks = t.rel["sold_options"].select(F.col("order_id").alias("bill_id"), "modifier_group", "choice_th")
+    picks = t.base.windowed("sold_options").select(F.col("order_id").alias("bill_id"), "modifier_group", "choice_th")
     return (
         _recent_matches(t).join(picks, "bill_id")
         .groupBy(F.col("location_id").alias("loc"), "ym", F.col("modifier_group").alias("group"),
@@ -366,7 +366,7 @@ def platform_basket(t) -> DataFrame:
     )
     on_lines = lines.select("order_id", "line_id", "location_id", "ym").distinct()
     picked = (
-        t.rel["sold_options"].where(F.col("modifier_group").rlike(rules.option_item_groups_re))
+        t.base.windowed("sold_options").where(F.col("modifier_group").rlike(rules.option_item_groups_re))
         .withColumn("choice_key", text.choice_key(F.col("choice_th")))
         .join(on_lines, ["order_id", "line_id"])
         .join(base.item_choices, "choice_key")

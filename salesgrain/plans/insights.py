@@ -27,6 +27,7 @@ RAIN_MM = 1
 QUIET_BAND = (16, 20)
 CEILINGS = (40, 50, 60)
 SCRIPTS_SHOWN = 10
+TOP_ITEMS = 10
 DIGEST_ROWS = 3
 MONTH_DAYS = 30
 
@@ -254,9 +255,10 @@ def gap_days(t, view: View = EVERYTHING) -> DataFrame:
 
 # ---- section 3: ticket ---------------------------------------------------------------------------
 def attach_layers(t, view: View = EVERYTHING) -> DataFrame:
-    """D11. Attach per main occasion in three layers, against the best branch."""
+    """D11. Attach per main occasion in three layers, against the best branch; water has no layers."""
     sums = view.of(t, t["tree_daily"]).groupBy("location_id", "channel").agg(
         F.sum(_meals()).alias("meals"),
+        F.sum("bev_water_units").alias("bev_water_all"),
         *[F.sum(f"{g}_units").alias(f"{g}_all") for g in ATTACH],
         *[F.sum(f"{g}_set_units").alias(f"{g}_in_set") for g in ATTACH],
     )
@@ -264,7 +266,7 @@ def attach_layers(t, view: View = EVERYTHING) -> DataFrame:
         sums = sums.withColumn(f"{g}_upsell", _c(f"{g}_all") - _c(f"{g}_in_set"))
     cells = sums.unpivot(
         ["location_id", "channel", "meals"],
-        [f"{g}_{layer}" for g in ATTACH for layer in ("all", "upsell", "in_set")], "cell", "units",
+        ["bev_water_all", *(f"{g}_{layer}" for g in ATTACH for layer in ("all", "upsell", "in_set"))], "cell", "units",
     )
     best = Window.partitionBy("channel", "cell")
     rate = ratio(_c("units"), _c("meals"))
@@ -276,7 +278,7 @@ def attach_layers(t, view: View = EVERYTHING) -> DataFrame:
 
 
 def menu_scripts(t, view: View = EVERYTHING) -> DataFrame:
-    """D12. The ten most valuable gaps to the best other branch in menu-pair attach, per branch."""
+    """D12. The ten most valuable gaps to the best other branch in menu-pair attach, over all branches."""
     p = t.params
     rows = view.of(t, t["pair_attach"], "week_start")
     days = rows.agg(
@@ -314,8 +316,8 @@ def menu_scripts(t, view: View = EVERYTHING) -> DataFrame:
             ),
         )
     )
-    order = [F.desc_nulls_last("thb_per_month"), F.asc("main_family"), F.asc("item")]
-    return top_rows(gaps, ["location_id"], order, SCRIPTS_SHOWN).select(
+    order = [F.desc_nulls_last("thb_per_month"), F.asc("location_id"), F.asc("main_family"), F.asc("item")]
+    return gaps.orderBy(*order).limit(SCRIPTS_SHOWN).select(
         "location_id", "main_family", "item", "bills_main",
         half_up(_c("rate") * 100, 2).alias("rate_pct"), F.col("best_who").alias("best_location"),
         half_up(_c("best_rate") * 100, 2).alias("best_pct"), "thb_per_month",
@@ -392,22 +394,23 @@ def menu_matrix(t, view: View = EVERYTHING) -> DataFrame:
 
 
 def item_trend(t, view: View = EVERYTHING) -> DataFrame:
-    """D19. An item month by month: units, money, and the split over channels."""
-    sums = view.of(t, t["item_daily"]).groupBy(
-        "item_name", F.date_format("business_date", "yyyy-MM").alias("ym"), "channel"
-    ).agg(F.sum("units").alias("units"), F.sum("thb").alias("thb"))
-    whole = F.sum("units").over(Window.partitionBy("item_name", "ym"))
+    """D19. An item day by day over the feed window: units, money, and the split over channels."""
+    recent = t["item_daily"].where(_c("business_date") >= F.lit(t.params.days_ago(t.params.feed_days)))
+    sums = view.of(t, recent).groupBy("item_name", "business_date", "channel").agg(
+        F.sum("units").alias("units"), F.sum("thb").alias("thb")
+    )
+    whole = F.sum("units").over(Window.partitionBy("item_name", "business_date"))
     return sums.select("*", percent(_c("units"), whole, 4).alias("channel_share_pct"))
 
 
 def item_partners(t) -> DataFrame:
-    """D19. The five items with the highest lift next to an item, whatever side of the pair it is on."""
+    """D19. All pairs an item appears in, whatever side of the pair it is on, the highest lift first."""
     sides = t["pair_lift"].select("location_id", F.explode(F.array(
         F.struct(_c("item_a").alias("item"), _c("item_b").alias("partner")),
         F.struct(_c("item_b").alias("item"), _c("item_a").alias("partner")),
     )).alias("p"), "bills_ab", "lift").select("location_id", "p.*", "bills_ab", "lift")
-    order = [F.desc("lift"), F.desc("bills_ab"), F.asc("partner")]
-    return top_rows(sides, ["location_id", "item"], order, 5).withColumnRenamed("_rank", "place")
+    best_first = Window.partitionBy("location_id", "item").orderBy(F.desc("lift"), F.desc("bills_ab"), F.asc("partner"))
+    return sides.withColumn("place", F.row_number().over(best_first))
 
 
 def set_uptake(t, view: View = EVERYTHING) -> DataFrame:
@@ -495,18 +498,20 @@ def context_attach(t) -> DataFrame:
 
 # ---- section 8: digest -----------------------------------------------------------------------------
 def digest(t) -> DataFrame:
-    """D25. The three best opportunities and the three worst gaps of the last seven days."""
+    """D25. The three best opportunities, a line per branch for its dead hours, and the three worst gaps
+    of the last seven days."""
     p = t.params
-    best = t["opportunity"].where(_c("lever") != "dead_hours").orderBy(
-        F.desc_nulls_last("uplift_thb_month"), "location_id", "channel", "lever"
+    levers = t["opportunity"].select(
+        F.when(_c("lever") == "dead_hours", "dead_hours").otherwise("opportunity").alias("kind"),
+        "location_id", "channel", _c("lever").alias("what"), _c("uplift_thb_month").alias("value"),
+    )
+    best = levers.where(_c("kind") == "opportunity").orderBy(
+        F.desc_nulls_last("value"), "location_id", "channel", "what"
     ).limit(DIGEST_ROWS)
     worst = t["calendar_daily"].where(
         _c("business_date").between(F.lit(p.days_ago(7)), F.lit(p.data_through)) & _c("gap_pct").isNotNull()
     ).orderBy("gap_pct", "location_id", "channel", "business_date").limit(DIGEST_ROWS)
-    return best.select(
-        F.lit("opportunity").alias("kind"), "location_id", "channel", _c("lever").alias("what"),
-        _c("uplift_thb_month").alias("value"),
-    ).unionByName(worst.select(
+    return best.unionByName(levers.where(_c("kind") == "dead_hours")).unionByName(worst.select(
         F.lit("gap").alias("kind"), "location_id", "channel",
         F.date_format("business_date", "yyyy-MM-dd").alias("what"), _c("gap_pct").alias("value"),
     ))
@@ -525,7 +530,7 @@ def day_types(t) -> DataFrame:
 
 # ---- section 9: the delivery platform ----------------------------------------------------------------
 def payout(t) -> DataFrame:
-    """D26. From sales to what is kept, per branch."""
+    """D26. From gross to what is kept, per branch."""
     orders = t["grab_orders"]
     paid = orders.where(_c("category") == "payment").groupBy("location_id").agg(
         *[F.sum(c).alias(c) for c in (
@@ -632,6 +637,14 @@ def rating_risk(t) -> DataFrame:
     )
 
 
+def unanswered_reviews(t) -> DataFrame:
+    """D30. The reviews nobody has replied to, newest first."""
+    open_ = t["grab_reviews"].where(~F.coalesce("replied", F.lit(False)))
+    return open_.select("review_date", "location_id", "rating", "review").orderBy(
+        F.desc("review_date"), "location_id", "rating", "review"
+    )
+
+
 def hour_curves(t) -> DataFrame:
     """D31. Share of orders by hour, platform next to in-store."""
     store = t["hourly"].where(_c("channel").isin(*t.params.rules.in_store)).where("hour IS NOT NULL")
@@ -644,15 +657,15 @@ def hour_curves(t) -> DataFrame:
     return sides[0].join(sides[1], ["location_id", "hour"], "full_outer")
 
 
-def top_items(t) -> DataFrame:
-    """D31. The ten best-selling items of each side, place by place."""
+def top_items(t, places: int = TOP_ITEMS) -> DataFrame:
+    """D31. The best-selling items of each side, place by place, down to the place asked for."""
     store = t["item_daily"].where(_c("channel").isin(*t.params.rules.in_store) & (_c("source") == "menu")).select(
         "location_id", _c("item_name").alias("item"), "units"
     )
     sides = []
     for name, rows in (("store", store), ("platform", t["grab_menu_daily"])):
         sums = rows.groupBy("location_id", "item").agg(F.sum("units").alias("units"))
-        best = top_rows(sums, ["location_id"], [F.desc("units"), F.asc("item")], 10)
+        best = top_rows(sums, ["location_id"], [F.desc("units"), F.asc("item")], places)
         sides.append(best.select(
             "location_id", _c("_rank").alias("place"), _c("item").alias(f"{name}_item"), _c("units").alias(f"{name}_units")
         ))
@@ -710,7 +723,7 @@ INSIGHTS: dict[str, Callable[..., DataFrame]] = {
         gap_days, attach_layers, menu_scripts, party_mix, ticket_mix, choice_share, topping_parity,
         dish_options, member_attach, menu_matrix, item_trend, item_partners, set_uptake, promo_effect,
         combo_uptake, calendar_effects, context_attach, digest, day_types, payout, ads_brand, ads_funnel,
-        ads_hours, campaigns, lost_orders, rating_risk, hour_curves, top_items, platform_attach,
+        ads_hours, campaigns, lost_orders, rating_risk, unanswered_reviews, hour_curves, top_items, platform_attach,
         match_strip, keying_lag,
     )
 }

@@ -22,7 +22,7 @@ def numbered_tabs(t) -> DataFrame:
         .where(F.col("num").isNotNull())
     )
     branch = t.rel["locations"].select("branchid", "location_id")
-    bills = t.rel["orders"].select("order_id", (F.col("is_finalized") & ~F.col("is_voided")).alias("stands"))
+    bills = t.base.windowed("orders", p.match_extra_days).select("order_id", (F.col("is_finalized") & ~F.col("is_voided")).alias("stands"))
     numbered = (
         tabs.join(branch, "branchid")
         .join(bills, "order_id", "left")
@@ -46,22 +46,30 @@ def grab_match(t) -> DataFrame:
     )
     tabs = numbered_tabs(t)
     place = ["location_id", "business_date", "num"]
-    exact = booked.withColumn("num", F.col("gf_no")).join(tabs, place)
-    exact = t.base.stage.keep("exact_matches", exact)
+    by_number = booked.withColumn("num", F.col("gf_no"))
+    exact = by_number.join(standing_bills(tabs), place, "left").withColumn("hit", F.col("n").isNotNull())
+    hit_bookings = exact.where("hit").select("booking_id").distinct()
+    hit_bills = tabs.join(by_number.select(*place).distinct(), place, "left_semi").select("bill_id").distinct()
     longer = booked.where(F.length("gf_no") > 3).withColumn("num", F.right("gf_no", F.lit(3)))
-    fallback = (
-        longer.join(exact.select("booking_id"), "booking_id", "left_anti")
-        .join(tabs, place)
-        .join(exact.select("bill_id"), "bill_id", "left_anti")
+    fallback = longer.join(hit_bookings, "booking_id", "left_anti").join(
+        standing_bills(tabs.join(hit_bills, "bill_id", "left_anti")), place
     )
-    columns = ["booking_id", "location_id", "business_date", "gf_no", "bill_id"]
-    standing = exact.where("ok").select(*columns).unionByName(fallback.where("ok").select(*columns))
+    columns = ["booking_id", "location_id", "business_date", "gf_no", "bill_id", "n"]
+    found = exact.where("n > 0").select(*columns).unionByName(fallback.where("n > 0").select(*columns))
     return (
-        standing.groupBy("booking_id")
+        found.groupBy("booking_id")
         .agg(
             F.min_by(F.struct("location_id", "business_date", "gf_no"), "bill_id").alias("row"),
             F.min("bill_id").alias("bill_id"),
-            F.count("*").alias("n"),
+            F.sum("n").alias("n"),
         )
         .select("booking_id", "row.*", "bill_id", (F.col("n") > 1).alias("ambiguous"))
     )
+
+
+def standing_bills(tabs: DataFrame) -> DataFrame:
+    """Per place and number the lowest standing bill and how many stand, so bookings meet one row each."""
+    standing = F.when(F.col("ok"), F.col("bill_id"))
+    return tabs.groupBy("location_id", "business_date", "num").agg(
+        F.min(standing).alias("bill_id"), F.count(standing).alias("n")
+    )

@@ -12,6 +12,7 @@ from salesgrain.operators.ranks import best_other, in_rolling_windows, second_be
 
 SLOTS = 6
 SLOT = 10 * MINUTE
+ALL_DAY = -1
 
 
 def _intervals(t) -> DataFrame:
@@ -22,34 +23,28 @@ def _intervals(t) -> DataFrame:
     """
     p, base = t.params, t.base
     sessions = (
-        t.rel["table_sessions"].where(~F.coalesce("is_cancelled", F.lit(False)))
+        base.windowed("table_sessions").where(~F.coalesce("is_cancelled", F.lit(False)))
         .groupBy("order_id")
         .agg(F.min("seated_at").alias("seated_at"), F.max("left_at").alias("left_at"))
     )
-    opened = t.rel["orders"].select(
+    opened = base.windowed("orders", p.tab_extra_days).select(
         F.col("order_id").alias("master_id"), F.col("opened_at").alias("master_open")
     )
     masters = (
         base.split_children.join(opened, "master_id")
         .select("order_id", "master_open", F.lit(True).alias("is_child"))
     )
-    all_taken_home = (
-        base.counted_lines.where(F.col("tree_category").isin("main", "set"))
-        .groupBy("order_id")
-        .agg(F.bool_and(F.coalesce("is_take_home", F.lit(False))).alias("taken"))
-        .where("taken")
-    )
     timed = F.col("opened_at").isNotNull() & F.col("closed_at").isNotNull()
     first_open = F.least(F.coalesce("master_open", "opened_at"), F.col("opened_at"))
     day = F.col("business_date")
     recorded = (
-        base.orders.where(F.col("channel") == "dine_in")
-        .select("order_id", "location_id", "business_date", "opened_at", "closed_at")
-        .join(all_taken_home.select("order_id"), "order_id", "left_anti")
+        base.order_meals.where((F.col("channel") == "dine_in") & ~F.col("taken_home"))
+        .select("order_id", "location_id", "business_date", "opened_at", "closed_at",
+                F.greatest(F.col("meals"), F.lit(1).cast(MONEY)).alias("persons"))
         .join(sessions, "order_id", "left")
         .join(masters, "order_id", "left")
         .select(
-            "order_id", "location_id", "business_date",
+            "order_id", "location_id", "business_date", "persons",
             clock_micros(F.when(timed, first_open).otherwise(F.col("seated_at")), day).alias("start_us"),
             clock_micros(F.when(timed, F.col("closed_at")).otherwise(F.col("left_at")), day).alias("end_us"),
             (
@@ -65,31 +60,25 @@ def _intervals(t) -> DataFrame:
     )
     recorded = base.stage.keep("recorded_stays", recorded)
     believable = F.col("dwell_us").between(p.dwell_min * MINUTE, p.dwell_max * MINUTE)
-    measured = recorded.where(~F.col("late")).withColumn("sit", believable)
-    normal = measured.where(F.col("sit") & base.since("business_date", p.impute_days))
-    by_hour = exact_percentile(normal, ["location_id", "start_hour"], "dwell_us", 0.5, "hour_us", "hour_n")
-    by_branch = exact_percentile(normal, ["location_id"], "dwell_us", 0.5, "branch_us", "branch_n")
+    normal = recorded.where(~F.col("late") & believable & base.since("business_date", p.impute_days))
+    # a bill counts for its branch-hour and, under ALL_DAY, for its branch
+    grouped = normal.withColumn("at", F.explode(F.array("start_hour", F.lit(ALL_DAY))))
+    medians = exact_percentile(grouped, ["location_id", "at"], "dwell_us", 0.5, "median_us", "n")
+    by_hour = medians.groupBy("location_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("at", F.struct("median_us", "n").alias("m")))).alias("usual")
+    )  # 25 entries at most
+    at_hour, all_day = F.col("usual")[F.col("start_hour")], F.col("usual")[F.lit(ALL_DAY)]
     usual = F.coalesce(
-        F.when(F.col("hour_n") >= p.impute_min_hour, F.floor("hour_us")),
-        F.when(F.col("branch_n") >= p.impute_min_all, F.floor("branch_us")),
+        F.when(at_hour["n"] >= p.impute_min_hour, F.floor(at_hour["median_us"])),
+        F.when(all_day["n"] >= p.impute_min_all, F.floor(all_day["median_us"])),
         F.lit(p.impute_fallback * MINUTE),
     ).cast("bigint")
-    columns = ["order_id", "location_id", "business_date", "start_us", "end_us", "dwell_us"]
-    imputed = (
-        recorded.where("late")
-        .join(by_hour, ["location_id", "start_hour"], "left")
-        .join(by_branch, "location_id", "left")
-        .withColumn("dwell_us", usual)
-        .withColumn("start_us", F.col("end_us") - F.col("dwell_us"))
-        .select(*columns, F.lit(True).alias("imputed"), F.lit(True).alias("sit"))
-    )
-    persons = base.order_meals.where(F.col("channel") == "dine_in").select(
-        "order_id", F.greatest(F.col("meals"), F.lit(1).cast(MONEY)).alias("persons")
-    )
-    return (
-        measured.select(*columns, F.lit(False).alias("imputed"), "sit")
-        .unionByName(imputed)
-        .join(persons, "order_id")
+    late = F.col("late")
+    dwell = F.when(late, usual).otherwise(F.col("dwell_us"))
+    return recorded.join(by_hour, "location_id", "left").select(
+        "order_id", "location_id", "business_date",
+        F.when(late, F.col("end_us") - dwell).otherwise(F.col("start_us")).alias("start_us"),
+        "end_us", dwell.alias("dwell_us"), "persons", late.alias("imputed"), (late | believable).alias("sit"),
     )
 
 
@@ -198,23 +187,47 @@ def dead_hours(t) -> DataFrame:
         .join(holidays, "business_date", "left_anti")
     )
     seats = t.rel["seats"].where(F.col("seats") > 0).select("location_id", "seats")
+    days = open_days.where(recent).groupBy("location_id").agg(F.count("*").alias("open_days"))
+    window_days = (
+        in_rolling_windows(open_days, "business_date", *windows).groupBy("location_id", "window_start")
+        .agg(F.count("*").alias("n")).where(F.col("n") >= p.dead_own_min_days)
+        .groupBy("location_id").agg(F.map_from_entries(F.collect_list(F.struct("window_start", "n"))).alias("days_in"))
+    )
+    # every cell goes to the windows it lies in, the recent days among them as NOW; the windows of an
+    # hour, as many as there are steps, are then looked at side by side
     cells = (
         t["occupancy_hourly"].where(F.col("hour").isin(*p.dead_hours))
         .join(open_days, ["location_id", "business_date"], "left_semi")
         .join(seats, "location_id")
     )
-    days = open_days.where(recent).groupBy("location_id").agg(F.count("*").alias("open_days"))
-    branch = Window.partitionBy("location_id")
-    now = (
-        cells.where(recent)
-        .groupBy("location_id", "hour")
+    hours = (
+        in_rolling_windows(cells, "business_date", *windows, also=recent)
+        .groupBy("location_id", "hour", "window_start")
         .agg(
             F.max("seats").alias("seats"),
             F.sum("persons_opened").alias("opened"),
             F.sum("turns").alias("turns"),
             F.sum(F.col("dwell_min_sum").cast("decimal(18,1)")).alias("minutes"),
         )
+        .groupBy("location_id", "hour")
+        .agg(F.collect_list(F.struct("window_start", "seats", "opened", "turns", "minutes")).alias("sums"))
         .join(days, "location_id")
+        .join(window_days, "location_id", "left")
+    )
+    this_month = F.filter("sums", lambda x: x["window_start"].isNull())[0]
+    whole = F.filter(
+        "sums", lambda x: x["window_start"].isNotNull() & F.col("days_in")[x["window_start"]].isNotNull()
+    )
+    own = F.array_max(F.transform(whole, lambda x: F.struct(
+        ratio(x["opened"], x["seats"] * F.col("days_in")[x["window_start"]]).alias("occ"),
+        x["window_start"].alias("window_start"),
+    )))
+    branch = Window.partitionBy("location_id")
+    now = (
+        hours.select("location_id", "hour", "open_days", own.alias("own"), this_month.alias("sums"))
+        .where(F.col("sums").isNotNull())
+        .select("location_id", "hour", "open_days", "sums.*", F.col("own.occ").alias("own_occ"),
+                F.col("own.window_start").alias("own_best_window"))
         .withColumn("occ", ratio(F.col("opened"), F.col("seats") * F.col("open_days")))
         .withColumn(
             "dwell",
@@ -228,21 +241,6 @@ def dead_hours(t) -> DataFrame:
     runner_up = second_best(pool, ["hour"], "location_id", "occ", p.peer_min_branches)
     peered = best_other(now, pool, ["hour"], "location_id", "occ").join(runner_up, "hour", "left")
 
-    window_days = in_rolling_windows(open_days, "business_date", *windows).groupBy(
-        "location_id", "window_start"
-    ).agg(F.count("*").alias("days_in"))
-    own = (
-        in_rolling_windows(cells, "business_date", *windows)
-        .groupBy("location_id", "hour", "window_start")
-        .agg(F.sum("persons_opened").alias("opened"), F.max("seats").alias("seats"))
-        .join(window_days, ["location_id", "window_start"])
-        .where(F.col("days_in") >= p.dead_own_min_days)
-        .withColumn("occ", ratio(F.col("opened"), F.col("seats") * F.col("days_in")))
-        .groupBy("location_id", "hour")
-        .agg(F.max(F.struct("occ", "window_start")).alias("best"))
-        .select("location_id", "hour", F.col("best.occ").alias("own_occ"),
-                F.col("best.window_start").alias("own_best_window"))
-    )
     window = (F.col("channel") == "dine_in") & base.full_days("business_date", p.opp_days)
     net = base.orders.where(window).groupBy("location_id").agg(F.sum("total_thb").alias("net"))
     ticket = (
@@ -255,8 +253,7 @@ def dead_hours(t) -> DataFrame:
     peer = F.coalesce("peer_rate", "best_rate")
     persons = F.coalesce(F.col("target") - F.col("occ"), F.lit(0.0)) * F.col("seats")
     return (
-        peered.join(own, ["location_id", "hour"], "left")
-        .join(ticket, "location_id")
+        peered.join(ticket, "location_id")
         .withColumn("target", smaller_target(F.col("occ"), peer, F.col("own_occ")))
         .select(
             "location_id", "hour", half_up("occ", 4).alias("occ"),

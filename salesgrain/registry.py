@@ -13,16 +13,6 @@ from salesgrain.plans.catalog import BUILDERS, HELPERS, Tables
 from salesgrain.plans.checks import quality_checks
 from salesgrain.plans.feeds import FEEDS, today_partial
 from salesgrain.plans.insights import INSIGHTS
-from salesgrain.plans.staging import (
-    BASKETS,
-    CALCULATOR,
-    DEAD_HOURS,
-    LEVERS,
-    MATCHES,
-    PARTIES,
-    STAYS,
-    Stage,
-)
 from salesgrain.sources.driver_tables import PARAMS, driver_relations
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,57 +56,26 @@ def lever_value(t: Tables) -> DataFrame:
 BASE = (base_orders, base_lines, base_options, base_units, base_order_facts, base_promo, base_party)
 
 
-# intermediates a query reads more than once are staged; all other queries stay one lazy plan
-STAGED = {
-    "pair_lift": BASKETS,
-    "party_size": PARTIES,
-    "grab_match": MATCHES,
-    "lever_daily": LEVERS,
-    "bill_intervals": STAYS,
-    "occupancy_hourly": STAYS,
-    "dead_hours": DEAD_HOURS,
-    "dead_hours_rollup": DEAD_HOURS,
-    "lever_value": CALCULATOR,
-    "opportunity_notes": CALCULATOR,
-    "opportunity": CALCULATOR,
-}
+def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables(driver_relations(spark, sf_dir), PARAMS)
 
 
-def driver_tables(spark: SparkSession, sf_dir: str, staged: frozenset[str] | None = frozenset()) -> Tables:
-    return Tables(driver_relations(spark, sf_dir), PARAMS, Stage(spark, staged))
+def _query(build: Callable[[Tables], DataFrame]) -> Query:
+    """One lazy plan from the raw tables: making it starts no job and keeps nothing."""
+    return lambda spark, sf_dir: plain_numbers(build(driver_tables(spark, sf_dir)))
 
 
-def _query(name: str, build: Callable[[Tables], DataFrame]) -> Query:
-    staged = STAGED.get(name, frozenset())
-    return lambda spark, sf_dir: plain_numbers(build(driver_tables(spark, sf_dir, staged)))
-
-
-def _table(name: str) -> Callable[[Tables], DataFrame]:
-    return lambda t: t.build(name)
-
-
-_shared: dict[tuple[str, str], Tables] = {}
-
-
-def shared_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Feeds and insights read derived tables; a session writes each table they need once."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _shared:
-        _shared[key] = driver_tables(spark, sf_dir, staged=None)
-    return _shared[key]
-
-
-def _read_side(build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, sf_dir: plain_numbers(build(shared_tables(spark, sf_dir)))
+def _table(name: str) -> Query:
+    return _query(lambda t: t.build(name))
 
 
 def all_queries() -> dict[str, Query]:
-    out = {f.__name__: _query(f.__name__, f) for f in BASE}
-    out |= {name: _query(name, _table(name)) for name in (*BUILDERS, *HELPERS)}
-    out["lever_value"] = _query("lever_value", lever_value)
-    out["unmapped_choices"] = _query("unmapped_choices", lambda t: t.base.unmapped_choices())
-    out |= {f"feed_{name.replace('.', '_')}": _read_side(f) for name, f in FEEDS.items()}
-    out["quality_checks"] = _read_side(quality_checks)
-    out["feed_today_partial"] = _read_side(today_partial)
-    out |= {f"insight_{name}": _read_side(f) for name, f in INSIGHTS.items()}
+    out = {f.__name__: _query(f) for f in BASE}
+    out |= {name: _table(name) for name in (*BUILDERS, *HELPERS)}
+    out["lever_value"] = _query(lever_value)
+    out["unmapped_choices"] = _query(lambda t: t.base.unmapped_choices())
+    out |= {f"feed_{name.replace('.', '_')}": _query(f) for name, f in FEEDS.items()}
+    out["quality_checks"] = _query(quality_checks)
+    out["feed_today_partial"] = _query(today_partial)
+    out |= {f"insight_{name}": _query(f) for name, f in INSIGHTS.items()}
     return out

@@ -91,6 +91,8 @@ CATEGORY = """CASE p_type WHEN 'STANDARD' THEN 'main' WHEN 'SMALL' THEN 'side'
     WHEN 'MEDIUM' THEN 'beverage' WHEN 'LARGE' THEN 'topping' WHEN 'ECONOMY' THEN 'dessert'
     WHEN 'PROMO' THEN 'set' END"""
 GIVEN_AWAY = "l_linenumber = 3 AND l_discount = 0.05"
+# a split copy sits on a late line and carries neither tax nor discount
+SPLIT_COPY = "l_tax = 0 AND l_discount = 0 AND l_linenumber IN (4, 5)"
 ONE_PER_MEAL = "CASE WHEN category IN ('main', 'set') THEN 1 ELSE l_quantity END"
 
 
@@ -148,6 +150,7 @@ ORDER_LINES = [
         ELSE {money(f"{money('l_extendedprice')} * CAST(l_discount AS DECIMAL(4,2))")} END AS discount_thb""",
     "l_tax < 0.08 AS is_active", "l_quantity = 50 AS is_special_line",
     "CASE WHEN l_tax <> 0.02 THEN l_returnflag = 'R' END AS is_take_home",
+    f"{SPLIT_COPY} AS is_split_copy",
 ]
 SOLD_OPTIONS = [
     "l_orderkey AS order_id", "l_orderkey * 8 + l_linenumber - 5 AS line_id",
@@ -200,6 +203,7 @@ PLATFORM_ROWS = [
     """CASE WHEN (order_id div 16) % 12 <> 2 THEN NULL WHEN order_id % 2 = 0 THEN 'customer'
         ELSE 'shop' END AS cancelled_by""",
 ]
+YEARLY_HOLIDAYS = "WHEN '01-01' THEN 'new year' WHEN '05-01' THEN 'labour day' WHEN '12-05' THEN 'fathers day'"
 EVENT_SUMS = [
     f"sum({money('value')}) AS spend_thb",
     "CAST(count(*) AS INT) AS impressions",
@@ -278,8 +282,7 @@ def driver_relations(spark: SparkSession, sf_dir: str) -> Relations:
         )
 
     def split_dupe_lines() -> DataFrame:
-        """A split copy sits on a late line and carries neither tax nor discount."""
-        copies = table("lineitem").where("l_tax = 0 AND l_discount = 0 AND l_linenumber IN (4, 5)")
+        copies = table("lineitem").where(SPLIT_COPY)
         return copies.selectExpr("l_orderkey * 8 + l_linenumber AS line_id")
 
     def table_sessions() -> DataFrame:
@@ -292,10 +295,9 @@ def driver_relations(spark: SparkSession, sf_dir: str) -> Relations:
         return branch_orders().selectExpr(*TABS)
 
     def holidays() -> DataFrame:
-        years = range(FIRST_DAY.year, AS_OF.year + 1)
-        rows = [(dt.date(y, m, d), name) for y in years
-                for m, d, name in ((1, 1, "new year"), (5, 1, "labour day"), (12, 5, "fathers day"))]
-        return spark.createDataFrame(rows, "d date, name_th string")
+        """The days with orders that fall on a yearly holiday."""
+        days = table("orders").selectExpr("CAST(o_orderdate AS DATE) AS d").distinct()
+        return days.selectExpr("d", f"CASE date_format(d, 'MM-dd') {YEARLY_HOLIDAYS} END AS name_th").where("name_th IS NOT NULL")
 
     def weather_daily() -> DataFrame:
         day = f"date_add(DATE '{FIRST_DAY}', CAST(id AS INT))"

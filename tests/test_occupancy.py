@@ -10,17 +10,16 @@ from conftest import rows
 from domain import D, PARAMS, TODAY, frames, order
 
 from salesgrain.plans.catalog import Tables
-from salesgrain.plans.staging import DEAD_HOURS, STAYS, Stage
 from salesgrain.sources.relations import frame_relations
 
 
-def tables(spark, orders, lines=(), params=PARAMS, staged=STAYS, **extra):
+def tables(spark, orders, lines=(), params=PARAMS, staged=("recorded_stays",), **extra):
     data = frames(spark)
     data["orders"] = spark.createDataFrame(orders, data["orders"].schema)
     data["order_lines"] = spark.createDataFrame(list(lines), data["order_lines"].schema)
     for name, values in extra.items():
         data[name] = spark.createDataFrame(values, data[name].schema)
-    return Tables(frame_relations(spark, data), params, Stage(spark, staged))
+    return Tables(frame_relations(spark, data), params, domain.stage(spark, *staged))
 
 
 def test_intervals(shop):
@@ -119,7 +118,7 @@ def test_dead_hours_and_rollup(spark):
             number += 1
             orders.append(order(f"1-{number}", day=day, total=100, opened="14:05", closed="14:35"))
     lines = [domain.line(o[0], i, 11, "N2 ก๋วยเตี๋ยว ต้มยำ ธรรมดา", "main") for i, o in enumerate(orders, 100)]
-    t = tables(spark, orders, lines, staged=DEAD_HOURS | {"dead_hours"})
+    t = tables(spark, orders, lines, staged=("recorded_stays", "unit_hours", "occupancy_hourly", "dead_hours"))
     got = rows(t["dead_hours"], "hour")
     hour = got[14]
     assert hour["occ"] == 0.2 and hour["peer_target"] is None and hour["peer_loc"] is None

@@ -11,7 +11,6 @@ from domain import TODAY, frames, line, order
 
 from salesgrain.params import Params
 from salesgrain.plans.catalog import Tables
-from salesgrain.plans.staging import CALCULATOR, Stage
 from salesgrain.sources.relations import frame_relations
 
 PARAMS = Params(as_of=TODAY, peer_min_meals=20, opp_min_meals=10)
@@ -43,7 +42,7 @@ def chain(spark):
         [(b, i, "branch", True, True, False, 10, 20) for i, b in enumerate(SIDES)], data["locations"].schema
     )
     data["sold_options"] = data["sold_options"].limit(0)
-    return Tables(frame_relations(spark, data), PARAMS, Stage(spark, CALCULATOR | {"opportunity_notes"}))
+    return Tables(frame_relations(spark, data), PARAMS, domain.stage(spark, "recorded_stays", "unit_hours", "occupancy_hourly", "units", "variant_bowls", "lever_daily", "dead_hours", "opportunity_notes"))
 
 
 def test_second_best_peer_and_peerless_branch(chain):

@@ -8,6 +8,8 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from oracles import all_sql
+from salesgrain.registry import all_queries
 
 SF = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -18,7 +20,40 @@ def physical(df) -> str:
 
 
 def test_every_query_has_a_sql_counterpart():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@needs_data
+def test_making_a_query_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("making", "queries")
+    try:
+        for make in all_queries().values():
+            make(spark, SF)
+        assert list(tracker.getJobIdsForGroup("making")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def scans(df, column: str) -> int:
+    return sum(column in line and "FileScan" in line for line in physical(df).splitlines())
+
+
+@needs_data
+@pytest.mark.parametrize("name, most", [
+    ("tree_daily", 2), ("hourly", 2), ("pax_trust", 2), ("item_daily", 2), ("topping_route", 3), ("pair_attach", 2),
+])
+def test_facts_are_read_once_a_side(spark, name, most):
+    """Lines and options are one scan each, also where nothing is small enough to broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry.queries()[name](spark, SF)
+        assert scans(df, "l_orderkey") <= most
+        assert physical(df).count("Exchange hashpartitioning") <= 16
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 @needs_data
