@@ -326,7 +326,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
         "node", F.col("holder.doc_id").alias("w_id"), F.col("holder.row").alias("w_row")
     )
     wanted = scratch.stage("wanted", wanted)
-    found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["w_id"]) & (texts["row"] == wanted["w_row"]))
+    # texts are dealt at every size alike: the list of wanted ones has no bound
+    found = texts.hint("merge").join(wanted, texts["doc_id"].eqNullSafe(wanted["w_id"]) & (texts["row"] == wanted["w_row"]))
     grams_of = scratch.stage("shingles", found.select("node", F.pandas_udf(shingle_bytes, "binary")("text").alias("shingles")))
     compared = promising.join(grams_of, "node")
     links = scratch.stage(
