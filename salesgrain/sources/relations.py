@@ -60,6 +60,8 @@ SCHEMAS: dict[str, str] = {
         review string, replied boolean, service_type string""",
     "grab_combos": "location_id string, as_of date, combo string, n int",
 }
+# what Parquet copies of these carry beside, as their partition column: the day of their order
+DATED = {name: "business_date date" for name in ("order_lines", "sold_options", "table_sessions")}
 PLATFORM_TABLES = tuple(name for name in SCHEMAS if name.startswith("grab_"))
 
 
@@ -92,10 +94,15 @@ def normalize(name: str, df: DataFrame) -> DataFrame:
 
 
 def parquet_relations(spark: SparkSession, root: str) -> Relations:
-    """One folder per relation under `root`, read with its declared schema."""
+    """One folder per relation under `root`, read with its declared schema.
+
+    Orders, order_lines, sold_options and table_sessions are to be partitioned by business_date, the day
+    of their order: windows reach the scan as partition filters.
+    """
 
     def reader(name: str) -> Callable[[], DataFrame]:
-        return lambda: spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
+        schema = ", ".join([SCHEMAS[name], *([DATED[name]] if name in DATED else [])])
+        return lambda: spark.read.schema(schema).parquet(f"{root}/{name}")
 
     return Relations(spark, {name: reader(name) for name in SCHEMAS})
 
