@@ -9,6 +9,7 @@ import os
 import domain
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from salesgrain.plans import feeds, insights, payload, publish
 from salesgrain.plans.catalog import BUILDERS, Tables
@@ -61,6 +62,39 @@ def test_invariants_hold(staged):
     }
 
 
+def test_each_invariant_is_seen_to_break(spark):
+    """One tampered table each: the check that looks at it counts, the others stay at zero."""
+    def tampered(name, change):
+        t = Tables(frame_relations(spark, domain.frames(spark)), domain.PARAMS)
+        t.put(name, change(t.build(name)))
+        return {r["check"]: r["violations"] for r in rows(quality_checks(t))}
+
+    one_day = (F.col("location_id") == "silom") & (F.col("business_date") == F.lit(domain.D))
+    more = lambda c, where: F.when(where, F.col(c) + 1).otherwise(F.col(c)).alias(c)
+    changed = lambda df, c, where: df.select(*[more(x, where) if x == c else x for x in df.columns])
+    got = tampered("hourly", lambda df: changed(df, "net_thb", one_day & (F.col("channel") == "dine_in")))
+    assert got.pop("net_by_day") == 1 and not any(got.values())
+    got = tampered("party_size", lambda df: changed(df, "net_thb", F.col("location_id") == "silom"))
+    assert got.pop("party_net") >= 1 and not any(got.values())
+    free = domain.PARAMS.rules.free_name_part
+    got = tampered("item_daily", lambda df: df.withColumn("item_name", F.when(F.col("source") == "menu", F.lit(f"x {free}")).otherwise(F.col("item_name"))))
+    assert got.pop("no_free_items") >= 1 and not any(got.values())
+    got = tampered("ticket_hist", lambda df: df.withColumn("bills", F.lit(0).cast("bigint")))
+    assert got.pop("shares_sum") == 0 and not any(got.values())  # no bills, no shares: nothing to add up
+    forced = F.col("modifier_group").rlike(domain.PARAMS.rules.set_mandatory_re)
+    got = tampered("option_monthly", lambda df: changed(df, "paid_picks", forced))
+    assert got.pop("forced_picks_unpaid") >= 1 and not any(got.values())
+
+
+def test_shares_that_do_not_add_up_are_counted(spark, monkeypatch):
+    from salesgrain.plans import checks
+
+    t = Tables(frame_relations(spark, domain.frames(spark)), domain.PARAMS)
+    whole = checks.ticket_mix
+    monkeypatch.setattr(checks, "ticket_mix", lambda t: whole(t).where("thb_bucket <> '<150'"))
+    assert rows(checks.shares_sum(t))[0]["violations"] >= 1
+
+
 def test_payload(spark, staged, tmp_path):
     out = str(tmp_path / "payload")
     meta = payload.write_payload(staged, out, dt.datetime(2026, 10, 9, 8, 30))
