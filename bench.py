@@ -63,7 +63,6 @@ def main() -> None:
         tables.put(name, current[name])
     timed("payload", lambda: payload.write_payload(tables, f"{scratch}/payload", dt.datetime(2001, 8, 2)))
 
-
     def all_insights() -> None:
         for make in INSIGHTS.values():
             make(tables).write.format("noop").mode("overwrite").save()
