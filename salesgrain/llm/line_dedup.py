@@ -61,8 +61,7 @@ class LineRuns:
             fresh = fresh.join(run.select(*HASH), HASH, "left_anti")
         name = self._write(fresh)
         self.levels[0].append(name)
-        added = self.spark.table(name)
-        return added
+        return self.spark.table(name)
 
     def compact(self) -> None:
         """Merges every full level into one run of the next; the merged runs are removed."""
@@ -75,10 +74,18 @@ class LineRuns:
             for name in level[1:]:
                 merged = merged.unionByName(self.spark.table(name))
             self.levels[depth + 1].append(self._write(merged))
-            for name in level:
-                self.spark.sql(f"DROP TABLE {name}")
-                self.scratch.remove(f"{self.scratch.folder}/{name}")
-            level.clear()
+            self._drop(level)
+
+    def _drop(self, level: list[str]) -> None:
+        for name in level:
+            self.spark.sql(f"DROP TABLE {name}")
+            self.scratch.remove(f"{self.scratch.folder}/{name}")
+        level.clear()
+
+    def close(self) -> None:
+        """Drops all runs; what was read of them has to be stored by then."""
+        for level in self.levels:
+            self._drop(level)
 
 
 def line_key(line: Column) -> Column:
@@ -135,6 +142,7 @@ def repeated_lines(
         counts = tally if counts is None else counts.unionByName(tally)
     often = counts.groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs")).filter(F.col("n_docs") >= min_documents)
     often = scratch.stage("often", often.join(store.all().select(*HASH, "keep_id"), HASH))
+    store.close()
     return lines.join(often, HASH).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "row", "line_no")
 
 
