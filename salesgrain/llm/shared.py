@@ -14,6 +14,10 @@ NOT_SPACE = r"[^\x20\x09-\x0D]+"
 WORD_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS_AT_ONCE = 1_000
+
+
 class Scratch:
     """A folder of staged Parquet tables below spark.checkpoint.dir, or the warehouse where that is unset.
 
@@ -37,9 +41,18 @@ class Scratch:
         return there.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), there
 
     def stage(self, name: str, df: DataFrame, *partition_by: str) -> DataFrame:
-        """Writes a table and returns it as read back, with its schema as it was."""
+        """Writes a table and returns it as read back, with its schema as it was.
+
+        Rows go to Python a thousand at a time at most while it is written: texts and sets are wide, and
+        a worker keeps the memory of the largest batch it has met.
+        """
         path = f"{self.folder}/{name}"
-        df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+        before = self.spark.conf.get(ARROW_ROWS)
+        self.spark.conf.set(ARROW_ROWS, str(min(int(before), ROWS_AT_ONCE) if int(before) > 0 else ROWS_AT_ONCE))
+        try:
+            (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+        finally:
+            self.spark.conf.set(ARROW_ROWS, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self, path: str) -> None:
