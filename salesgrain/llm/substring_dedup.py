@@ -30,6 +30,8 @@ MIN_LINE_WORDS = 5
 PASSAGE_WORDS = 20
 REACH = 24
 LINE, PASSAGE = 1, 2
+LAST_RANK = (1 << 63) - 1  # of a document without an id
+OFFSETS = 1 << 32  # more than a text has characters
 RADICES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 UNITS = "doc_id long, row long, kind long, start long, end long, h1 long, h2 long"
 
@@ -82,17 +84,16 @@ def repeated_units(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", whole_text().alias("text")).withColumn("row", text_key(F.col("text")))
     units = scratch.stage("units", rows.mapInPandas(hash_units, UNITS))
     digest = ["h1", "h2"]
-    earliest = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    # document and offset as one number, so the first occurrence is a plain minimum within each task
+    rank = F.coalesce("doc_id", F.lit(LAST_RANK)).cast("decimal(38,0)")
+    place = (rank * F.lit(OFFSETS).cast("decimal(11,0)") + F.col("start")).cast("decimal(38,0)")
     several = scratch.stage(
         "several",
-        units.groupBy(*digest).agg(F.count("*").alias("n"), F.min(earliest).alias("rank")).filter("n > 1").drop("n"),
+        units.groupBy(*digest).agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n"),
     )
-    met = units.join(several, digest).withColumn("is_first", earliest == F.col("rank"))
-    kept = (
-        met.filter("is_first").groupBy(*digest)
-        .agg(F.min("start").alias("kept_start"), F.first("doc_id", ignorenulls=True).alias("kept_doc_id"))
-    )
-    kept = scratch.stage("kept", kept)
-    removed = met.join(kept, digest).filter(~F.col("is_first") | (F.col("start") != F.col("kept_start")))
+    removed = units.join(several, digest).filter(place != F.col("first"))
+    kept = removed.withColumn("kept_start", F.pmod("first", F.lit(OFFSETS)).cast("long"))
+    kept_rank = F.expr(f"CAST((first - kept_start) div {OFFSETS} AS BIGINT)")
     kind = F.when(F.col("kind") == LINE, "line").otherwise("passage").alias("kind")
-    return removed.select("doc_id", "row", "start", "end", kind, "kept_doc_id", "kept_start").distinct()
+    kept_id = F.when(kept_rank != LAST_RANK, kept_rank).alias("kept_doc_id")
+    return kept.select("doc_id", "row", "start", "end", kind, kept_id, "kept_start").distinct()
