@@ -1,10 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: rare words of items as seeds, then Smith-Waterman alignment of words.
 
-The n-grams of all test items are counted over the whole corpus. Each item is cut into segments of
-a few n-grams, and the rarest of each becomes a seed, so any stretch of an item that is longer than a
-segment holds one. Where a document has an item's seed, the stretch of the document that the item would
-cover is aligned with it word by word: a match gives 2, a mismatch and a gap cost 1. The score is the
-alignment's share of what the whole item would give, and edited copies keep most of it.
+A match gives 2, a mismatch and a gap cost 1. The score is the alignment's share of what the whole item
+would give, and edited copies keep most of it. A score of MIN_SCORE takes that share of the item's words as
+matches, so of any more words than may be missing a copy has some. The words of all test items are counted
+over the whole corpus, and the rarest of an item are its seeds: as many as may be missing, and a third of the
+matches beyond them. Wherever a copy is, at least that third of the matches are seeds, whatever the edits are,
+and where a document has so many of an item's seeds within reach, it is aligned with the item word by word.
+Counts decide the cost alone: an item's seeds find all its copies, be they rare or not.
 
 Items are matched in slices of at most SLICE_ITEMS, the only thing tasks hold besides their own rows;
 a larger benchmark means further passes over the documents.
@@ -16,6 +18,7 @@ reported each; an empty table on either side gives an empty result; further colu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,13 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesgrain.llm.shared import Scratch, unused_name
-from salesgrain.llm.words import grams, words_of
+from salesgrain.llm.words import words_of
 
 SEED_WORDS = 3
-SEGMENT = 4
 MATCH, MISMATCH, GAP = 2, -1, 1
 MIN_SCORE = 0.6
 SLICE_ITEMS = 10_000
+HITS_AT_ONCE = 1_000_000
 LEAKS = "array<struct<item_id:bigint,score:double,first_word:bigint,last_word:bigint>>"
 
 
@@ -50,63 +53,115 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def matches_needed(n: int, min_score: float) -> int:
+    """The least matches that an alignment of a score has with an item of n words."""
+    return max(1, math.ceil(min_score * n - 1e-9))
+
+
+def reach_of(n: int, min_score: float) -> int:
+    """How many words of a document an alignment with an item of n words is looked for in."""
+    return n + n // 4 + 2
+
+
 class Items:
     """Test items by their seeds."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], seeds: dict[int, list[tuple[int, int]]], min_score: float):
+    def __init__(self, items: list[tuple[int, np.ndarray]], counts: dict[int, int], min_score: float):
         self.items = items
-        self.seeds = seeds
-        self.codes = np.array(sorted(seeds), dtype=np.uint64)
         self.min_score = min_score
+        self.needed = np.array([matches_needed(len(words), min_score) for _, words in items], dtype=np.int64)
+        self.hits = -(-self.needed // 3)
+        self.reach = np.array([reach_of(len(words), min_score) for _, words in items], dtype=np.int64)
+        seeds: dict[int, list[int]] = {}
+        for number, (_, words) in enumerate(items):
+            rarest = sorted(words.tolist(), key=lambda code: (counts.get(code, 0), code))
+            for code in set(rarest[: max(0, len(words) - self.needed[number] + self.hits[number])]):
+                seeds.setdefault(code, []).append(number)
+        self.codes = np.array(sorted(seeds), dtype=np.uint64)
+        self.n_owners = np.array([len(seeds[code]) for code in self.codes.tolist()], dtype=np.int64)
+        self.first_owner = np.cumsum(self.n_owners) - self.n_owners
+        self.owners = np.array([number for code in self.codes.tolist() for number in seeds[code]], dtype=np.int64)
 
     def leaks(self, text: str | None) -> list[tuple[int, float, int, int]]:
         """(item_id, score, first and last word) of every item that the text has a copy of."""
         words, _, _ = words_of(text)
-        if len(words) < SEED_WORDS or not len(self.codes):
+        if not len(words) or not len(self.codes):
             return []
-        found = grams(words, SEED_WORDS)
-        at = np.searchsorted(self.codes, found)
-        hits = np.flatnonzero(self.codes[np.minimum(at, len(self.codes) - 1)] == found)
-        diagonals: dict[int, list[int]] = {}
-        for place in hits:
-            for item, offset in self.seeds[int(found[place])]:
-                diagonals.setdefault(item, []).append(int(place) - offset)
-        out = []
-        for item, starts in sorted(diagonals.items()):
-            if best := self.best(words, item, starts):
-                out.append(best)
-        return out
-
-    def best(self, words: np.ndarray, number: int, starts: list[int]) -> tuple[int, float, int, int] | None:
-        item_id, item = self.items[number]
-        slack = len(item) // 4 + 2
-        best: tuple[int, float, int, int] | None = None
-        for first, last in stretches(sorted(starts), slack):
-            low, high = max(0, first - slack), min(len(words), last + len(item) + slack)
-            window = words[low:high]
-            # an alignment has at most as many matches as the window has words of the item
-            if np.isin(window, item).sum() < self.min_score * len(item):
+        best: dict[int, tuple[int, float, int, int]] = {}
+        for number, low, high in self.candidates(words):
+            found = self.best(words, number, low, high)
+            if found and (number not in best or found[1] > best[number][1]):
+                best[number] = found
+        return [best[number] for number in sorted(best)]
+
+    def candidates(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Item, first and last word (exclusive) of the stretches where an item's seeds are dense enough."""
+        at = np.searchsorted(self.codes, words)
+        places = np.flatnonzero(self.codes[np.minimum(at, len(self.codes) - 1)] == words)
+        order = np.argsort(at[places], kind="stable")
+        places = places[order]
+        codes, first, count = np.unique(at[places], return_index=True, return_counts=True)
+        pair = expanded(self.first_owner[codes], self.n_owners[codes])
+        owner, first, count = (self.owners[pair], *(np.repeat(x, self.n_owners[codes]) for x in (first, count)))
+        enough = np.bincount(owner, count, len(self.items)) >= self.hits
+        chosen = np.flatnonzero(enough[owner])
+        chosen = chosen[np.argsort(owner[chosen], kind="stable")]
+        owner, first, count = owner[chosen], first[chosen], count[chosen]
+        # whole items at a time, of so many hits together that they fit
+        ends = np.flatnonzero(np.diff(owner, append=-1)) + 1
+        block = np.cumsum(count)[ends - 1] // HITS_AT_ONCE
+        begin = 0
+        for end in ends[np.flatnonzero(np.diff(block, append=-1))]:
+            part = slice(begin, end)
+            yield from self.dense(np.repeat(owner[part], count[part]), places[expanded(first[part], count[part])])
+            begin = end
+
+    def dense(self, owner: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        order = np.lexsort((place, owner))
+        owner, place = owner[order], place[order]
+        last = np.arange(len(owner)) + self.hits[owner] - 1
+        inside = np.minimum(last, len(owner) - 1)
+        reach = self.reach[owner]
+        near = np.flatnonzero((last == inside) & (owner[inside] == owner) & (place[inside] - place < reach))
+        number, low, high = None, 0, 0
+        for item, begin, end in zip(
+            owner[near].tolist(), (place[inside[near]] - reach[near] + 1).tolist(), (place[near] + reach[near]).tolist()
+        ):
+            if item == number and begin <= high:
+                high = end
                 continue
-            points, end = align(item, window)
-            score = points / (MATCH * len(item))
-            if score >= self.min_score and (best is None or score > best[1]):
-                _, back = align(item[::-1], window[:end][::-1])
-                best = (item_id, score, low + end - back, low + end - 1)
-        return best
-
-
-def stretches(starts: list[int], slack: int) -> Iterator[tuple[int, int]]:
-    """First and last of each run of places less than slack apart, so shifted hits share an alignment."""
-    first = last = starts[0]
-    for at in starts[1:]:
-        if at - last > slack:
-            yield first, last
-            first = at
-        last = at
-    yield first, last
-
-
-def gram_counts(docs: DataFrame, codes: np.ndarray) -> dict[int, int]:
+            if number is not None:
+                yield number, low, high
+            number, low, high = item, begin, end
+        if number is not None:
+            yield number, low, high
+
+    def best(self, words: np.ndarray, number: int, low: int, high: int) -> tuple[int, float, int, int] | None:
+        """The best alignment within a stretch, where its score is enough."""
+        item_id, item = self.items[number]
+        low, high = max(0, low), min(len(words), high)
+        window = words[low:high]
+        # an alignment has at most as many matches as the words within its reach that are the item's
+        met = np.concatenate([[0], np.cumsum(np.isin(window, item))])
+        reach = min(int(self.reach[number]), len(window))
+        full = np.flatnonzero(met[reach:] - met[: len(met) - reach] >= self.needed[number])
+        if not len(full):
+            return None
+        low, window = low + int(full[0]), window[full[0] : full[-1] + reach]
+        points, end = align(item, window)
+        score = points / (MATCH * len(item))
+        if score < self.min_score:
+            return None
+        _, back = align(item[::-1], window[:end][::-1])
+        return item_id, score, low + end - back, low + end - 1
+
+
+def expanded(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The n[i] numbers from first[i] on, for each i."""
+    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
+def word_counts(docs: DataFrame, codes: np.ndarray) -> dict[int, int]:
     """How often each of the codes is in the corpus; tasks send sums, one row for each code at most."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,11 +169,8 @@ def gram_counts(docs: DataFrame, codes: np.ndarray) -> dict[int, int]:
         for batch in batches:
             for text in batch["text"]:
                 words, _, _ = words_of(text)
-                if len(words) < SEED_WORDS:
-                    continue
-                found = grams(words, SEED_WORDS)
-                at = np.minimum(np.searchsorted(codes, found), len(codes) - 1)
-                totals += np.bincount(at[codes[at] == found], minlength=len(codes))
+                at = np.minimum(np.searchsorted(codes, words), len(codes) - 1)
+                totals += np.bincount(at[codes[at] == words], minlength=len(codes))
         met = np.flatnonzero(totals)
         yield pd.DataFrame({"place": met, "n": totals[met]})
 
@@ -139,16 +191,8 @@ def item_slices(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
 
 
 def choose_seeds(docs: DataFrame, items: list[tuple[int, np.ndarray]], min_score: float) -> Items:
-    coded = [grams(words, SEED_WORDS) for _, words in items]
-    codes = np.unique(np.concatenate(coded)) if coded else np.zeros(0, dtype=np.uint64)
-    counts = gram_counts(docs, codes) if len(codes) else {}
-    seeds: dict[int, list[tuple[int, int]]] = {}
-    for number, own in enumerate(coded):
-        for begin in range(0, len(own), SEGMENT):
-            places = range(begin, min(begin + SEGMENT, len(own)))
-            rarest = min(places, key=lambda i: (counts.get(int(own[i]), 0), int(own[i])))
-            seeds.setdefault(int(own[rarest]), []).append((number, rarest))
-    return Items(items, seeds, min_score)
+    codes = np.unique(np.concatenate([words for _, words in items])) if items else np.zeros(0, dtype=np.uint64)
+    return Items(items, word_counts(docs, codes) if len(codes) else {}, min_score)
 
 
 def leak_finder(items: Items):

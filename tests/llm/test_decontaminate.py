@@ -67,6 +67,28 @@ def test_leaks_against_brute_force(spark):
     assert sorted(map(str, left)) == sorted(str(d) for d, _, _ in rows if d not in {k[0] for k in want})
 
 
+def test_copies_with_an_edit_in_every_segment(spark):
+    items = [(i, prose(700 + i, n)) for i, n in enumerate((25, 38, 30, 40))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(90 + i, prose(i, 30) + " " + items[i][1] + " " + prose(i + 50, 30), "s") for i in (0, 2)]  # exact ones beside
+    for i, text in items:
+        own = words(text)
+        other = [f"new{k}" if k % 6 == 5 else w for k, w in enumerate(own)]
+        between = [x for k, w in enumerate(own) for x in ([w, f"new{k}"] if k % 2 else [w])]  # no three words in a row
+        dropped = [w for k, w in enumerate(own) if k % 6 != 5]
+        rows += [(10 * k + i, prose(i + k, 40) + " " + " ".join(e) + " " + prose(i + 9, 40), "s") for k, e in enumerate((other, dropped), 1)]
+        rows.append((30 + i, " ".join(between[: len(own) + len(own) // 4]), "s"))
+    want = {}
+    for d, t, _ in rows:
+        for item_id, text in items:
+            score = local_score(words(text), words(t)) / (dec.MATCH * len(words(text)))
+            if score >= dec.MIN_SCORE:
+                want[d, item_id] = score
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in dec.find_leaks(frame(spark, rows), benchmark).collect()}
+    assert {(10 + i, i) for i in range(4)} | {(20 + i, i) for i in range(4)} | {(90, 0), (92, 2)} <= set(want)
+    assert got == want
+
+
 def test_several_slices_find_the_same(spark, monkeypatch):
     items = [(i, prose(900 + i, 30)) for i in range(12)]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
