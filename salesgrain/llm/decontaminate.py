@@ -59,8 +59,11 @@ def matches_needed(n: int, min_score: float) -> int:
 
 
 def reach_of(n: int, min_score: float) -> int:
-    """How many words of a document an alignment with an item of n words is looked for in."""
-    return n + n // 4 + 2
+    """The most words of a document that an alignment of a score with an item of n words spans.
+
+    What the matches of the whole item give beyond the score pays for added words.
+    """
+    return n + math.floor(MATCH * (1 - min_score) * n / GAP + 1e-9)
 
 
 class Items:

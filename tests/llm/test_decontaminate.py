@@ -89,6 +89,21 @@ def test_copies_with_an_edit_in_every_segment(spark):
     assert got == want
 
 
+def test_one_block_of_added_words(spark):
+    cases = [(40, 16), (40, 19), (40, 31), (40, 32), (40, 33), (24, 12), (59, 30), (59, 47), (59, 48)]
+    items = [(i, " ".join(f"own{i}x{k}" for k in range(n))) for i, (n, _) in enumerate(cases)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = []
+    for (i, text), (n, added) in zip(items, cases):
+        own = text.split()
+        copy = [*own[: n // 2], *(f"new{k}" for k in range(added)), *own[n // 2 :]]
+        rows.append((i, prose(i, 60) + " " + " ".join(copy) + " " + prose(i + 50, 60), "s"))
+    want = {i: (dec.MATCH * n - added) / (dec.MATCH * n) for i, (n, added) in enumerate(cases)}
+    got = {r["doc_id"]: r for r in dec.find_leaks(frame(spark, rows), benchmark).collect()}
+    assert {i: r["score"] for i, r in got.items()} == {i: score for i, score in want.items() if score >= dec.MIN_SCORE}
+    assert all(r["item_id"] == i and r["last_word"] - r["first_word"] + 1 == sum(cases[i]) for i, r in got.items())
+
+
 def test_several_slices_find_the_same(spark, monkeypatch):
     items = [(i, prose(900 + i, 30)) for i in range(12)]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
