@@ -39,7 +39,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated_units(table(spark, sf_dir, "documents")).drop("row")
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("row")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,14 @@
 """Substring dedup by hashing lines and passages.
 
-Units of a document are its lines with MIN_LINE_WORDS words or more, and passages of PASSAGE_WORDS words.
-Both are normalised to their words, so case, punctuation and spacing don't matter. Passages are picked by
-winnowing: of every REACH consecutive ones the one with the least digest, so any stretch of
-PASSAGE_WORDS + REACH - 1 words that two documents share has a passage that both pick, wherever in a line
-it stands. Digests are grouped over the corpus; the occurrence with the smallest doc_id, then the
-smallest offset, stays, and every other one is removed, with its offsets in the original text.
+Units of a document are its lines with MIN_LINE_WORDS words or more, and all passages of PASSAGE_WORDS words,
+one from each word on. Both are normalised to their words, so case, punctuation and spacing don't matter.
+Winnowing tells which passages can repeat: of every REACH consecutive grams of GRAM_WORDS words, which are the
+grams of one passage, the one with the least digest is picked, so equal passages pick the same gram wherever in
+a line they stand. Only the passages around a gram that the corpus holds more than once are hashed, each of them.
+Digests are grouped over the corpus; the occurrence with the smallest doc_id, then the smallest offset, stays,
+and every other one is removed, with its offsets in the original text. repeated_spans() joins the passages that
+repeat a stretch of one document into that whole stretch. A passage that overlaps its own first occurrence is
+not removed there: that would cut into what stays.
 
 Only digests that occur more than once travel back to their occurrences, and a digest is summed within
 tasks before it is shuffled, so a unit that a third of all documents share is no hot group.
@@ -20,20 +23,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesgrain.llm.shared import Scratch, text_key, whole_text
-from salesgrain.llm.words import code_points, grams, run_digests, words_in
+from salesgrain.llm.words import code_points, grams, run_digests, words_in, words_of
 
 MIN_LINE_WORDS = 5
 PASSAGE_WORDS = 20
-REACH = 24
+GRAM_WORDS = 8
+REACH = PASSAGE_WORDS - GRAM_WORDS + 1
 LINE, PASSAGE = 1, 2
+PASSAGE_TEXTS = 50
 LAST_RANK = (1 << 63) - 1  # of a document without an id
-OFFSETS = 1 << 32  # more than a text has characters
+OFFSETS = 1 << 31  # as many as a text has characters at most
 RADICES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-UNITS = "doc_id long, row long, kind long, start long, end long, h1 long, h2 long"
+UNITS = "doc_id long, row long, kind long, start long, end long, word long, h1 long, h2 long"
+PICKED = "doc long, h long"
 
 
 def winnowed(digests: np.ndarray, reach: int) -> np.ndarray:
@@ -46,54 +52,138 @@ def winnowed(digests: np.ndarray, reach: int) -> np.ndarray:
     return np.unique(len(digests) - 1 - np.concatenate(least))
 
 
-def units_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Kind, start, end (code points) and two digests of each unit of a text."""
-    codes = code_points(text)
-    words, starts, ends = words_in(codes)
+def picked_grams(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and digests of the grams that winnowing picks; a text shorter than a passage has none."""
+    if len(words) < PASSAGE_WORDS:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    digests = grams(words, GRAM_WORDS)
+    places = winnowed(digests, REACH)
+    return places, digests[places].view(np.int64)
+
+
+def passages_around(words: np.ndarray, repeated: np.ndarray) -> np.ndarray:
+    """First words of the passages that hold one of the repeated grams."""
+    places, digests = picked_grams(words)
+    places = places[np.isin(digests, repeated)]
+    begin = (places[:, None] - np.arange(REACH)).ravel()
+    return np.unique(begin[(begin >= 0) & (begin <= len(words) - PASSAGE_WORDS)])
+
+
+def lines_in(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and number of words of each line that is long enough."""
     line = np.searchsorted(np.flatnonzero(codes == 10), starts)
     _, first, count = np.unique(line, return_index=True, return_counts=True)
     long_enough = count >= MIN_LINE_WORDS
-    first, count = first[long_enough], count[long_enough]
-    picked = winnowed(grams(words, PASSAGE_WORDS), REACH) if len(words) >= PASSAGE_WORDS else np.zeros(0, dtype=np.int64)
-    begin = np.concatenate([first, picked]).astype(np.int64)
-    n = np.concatenate([count, np.full(len(picked), PASSAGE_WORDS)]).astype(np.int64)
-    kind = np.repeat([LINE, PASSAGE], [len(first), len(picked)])
+    return first[long_enough], count[long_enough]
+
+
+def digested(kind: int, words, starts, ends, begin: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+    """The units of a kind that begin at some words, by column."""
+    begin, n = begin.astype(np.int64), n.astype(np.int64)
     if not len(begin):
-        none = np.zeros(0, dtype=np.int64)
-        return kind, none, none, none, none
+        return {name: np.zeros(0, dtype=np.int64) for name in ("kind", "start", "end", "word", "h1", "h2")}
     h1, h2 = (run_digests(words, begin, n, radix).view(np.int64) ^ kind for radix in RADICES)
-    return kind, starts[begin], ends[begin + n - 1], h1, h2
+    return {"kind": np.full(len(begin), kind), "start": starts[begin], "end": ends[begin + n - 1], "word": begin, "h1": h1, "h2": h2}
+
+
+def line_units(text: str | None) -> dict[str, np.ndarray]:
+    codes = code_points(text)
+    words, starts, ends = words_in(codes)
+    return digested(LINE, words, starts, ends, *lines_in(codes, starts))
 
 
-def hash_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def passage_units(text: str | None, repeated: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """All passages, or those that hold one of the repeated grams."""
+    words, starts, ends = words_in(code_points(text))
+    begin = np.arange(max(0, len(words) - PASSAGE_WORDS + 1)) if repeated is None else passages_around(words, repeated)
+    return digested(PASSAGE, words, starts, ends, begin, np.full(len(begin), PASSAGE_WORDS))
+
+
+def units_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Kind, start, end (code points) and two digests of each unit of a text."""
+    lines, passages = line_units(text), passage_units(text)
+    return tuple(np.concatenate([lines[name], passages[name]]) for name in ("kind", "start", "end", "h1", "h2"))
+
+
+def unit_rows(batch: pd.DataFrame, found: list[dict[str, np.ndarray]]) -> pd.DataFrame:
+    of_row = np.repeat(np.arange(len(batch)), [len(units["kind"]) for units in found])
+    columns = {name: np.concatenate([units[name] for units in found]) for name in found[0]}
+    return pd.DataFrame({"doc_id": batch["doc_id"].take(of_row).array, "row": batch["row"].to_numpy()[of_row]} | columns)
+
+
+def hash_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = [units_of(text) for text in batch["text"]]
-        if not found:
+        if len(batch):
+            yield unit_rows(batch, [line_units(text) for text in batch["text"]])
+
+
+def hash_passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        # a few texts at a time, as a text may give a row for each of its words
+        for at in range(0, len(batch), PASSAGE_TEXTS):
+            part = batch.iloc[at : at + PASSAGE_TEXTS]
+            yield unit_rows(part, [passage_units(t, np.asarray(g, dtype=np.int64)) for t, g in zip(part["text"], part["grams"])])
+
+
+def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        if not len(batch):
             continue
-        of_row = np.repeat(np.arange(len(batch)), [len(units[0]) for units in found])
-        columns = [np.concatenate(column) for column in zip(*found)]
-        yield pd.DataFrame(
-            {"doc_id": batch["doc_id"].take(of_row).array, "row": batch["row"].to_numpy()[of_row]}
-            | dict(zip(("kind", "start", "end", "h1", "h2"), columns))
-        )
+        found = [np.unique(picked_grams(words_of(text)[0])[1], return_counts=True) for text in batch["text"]]
+        # once for each document, twice where it has the gram more often
+        times = [np.minimum(n, 2) for _, n in found]
+        of_row = np.repeat(batch["doc"].to_numpy(), [n.sum() for n in times])
+        yield pd.DataFrame({"doc": of_row, "h": np.concatenate([np.repeat(h, n) for (h, _), n in zip(found, times)])})
 
 
-def repeated_units(docs: DataFrame) -> DataFrame:
-    """doc_id, row, start, end, kind, kept_doc_id and kept_start of each unit occurrence to remove."""
+def repeats(docs: DataFrame) -> DataFrame:
+    """Each unit occurrence to remove, with its first word and that of the kept occurrence."""
     scratch = Scratch(docs.sparkSession, "substring-dedup")
     rows = docs.select("doc_id", whole_text().alias("text")).withColumn("row", text_key(F.col("text")))
-    units = scratch.stage("units", rows.mapInPandas(hash_units, UNITS))
+    rows = rows.withColumn("doc", F.xxhash64("doc_id", "row"))
+    picked = scratch.stage("picked", rows.select("doc", "text").mapInPandas(pick, PICKED))
+    often = scratch.stage("often", picked.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"))
+    around = picked.join(often, "h").groupBy("doc").agg(F.collect_set("h").alias("grams"))
+    passages = rows.join(around, "doc").select("doc_id", "row", "text", "grams").mapInPandas(hash_passages, UNITS)
+    units = scratch.stage("units", rows.select("doc_id", "row", "text").mapInPandas(hash_lines, UNITS).unionByName(passages))
     digest = ["h1", "h2"]
-    # document and offset as one number, so the first occurrence is a plain minimum within each task
-    rank = F.coalesce("doc_id", F.lit(LAST_RANK)).cast("decimal(38,0)")
-    place = (rank * F.lit(OFFSETS).cast("decimal(11,0)") + F.col("start")).cast("decimal(38,0)")
+    # document, offset and word as one number, so the first occurrence is a plain minimum within each task
+    rank = F.coalesce("doc_id", F.lit(LAST_RANK)).cast("decimal(19,0)")
+    inside = F.col("start") * OFFSETS + F.col("word")
+    place = (rank * F.lit(OFFSETS * OFFSETS).cast("decimal(19,0)") + inside.cast("decimal(19,0)")).cast("decimal(38,0)")
     several = scratch.stage(
         "several",
         units.groupBy(*digest).agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n"),
     )
     removed = units.join(several, digest).filter(place != F.col("first"))
-    kept = removed.withColumn("kept_start", F.pmod("first", F.lit(OFFSETS)).cast("long"))
-    kept_rank = F.expr(f"CAST((first - kept_start) div {OFFSETS} AS BIGINT)")
+    kept = removed.withColumn("kept_inside", F.pmod("first", F.lit(OFFSETS * OFFSETS).cast("decimal(19,0)")).cast("long"))
+    kept_rank = F.expr(f"CAST((first - kept_inside) div {OFFSETS * OFFSETS} AS BIGINT)")
     kind = F.when(F.col("kind") == LINE, "line").otherwise("passage").alias("kind")
     kept_id = F.when(kept_rank != LAST_RANK, kept_rank).alias("kept_doc_id")
-    return kept.select("doc_id", "row", "start", "end", kind, kept_id, "kept_start").distinct()
+    kept_start = F.expr(f"kept_inside div {OFFSETS}").alias("kept_start")
+    kept_word = F.pmod("kept_inside", F.lit(OFFSETS).cast("long")).alias("kept_word")
+    return kept.select("doc_id", "row", "start", "end", kind, kept_id, kept_start, "word", kept_word).distinct()
+
+
+def repeated_units(docs: DataFrame) -> DataFrame:
+    """doc_id, row, start, end, kind, kept_doc_id and kept_start of each unit occurrence to remove."""
+    return repeats(docs).drop("word", "kept_word")
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """As repeated_units, with the passages that repeat one stretch of words joined into the whole stretch.
+
+    Passages that repeat words of their own document are joined as long as they go on, as in a text that
+    repeats a few words over and over; kept_start is then where the first of them is kept.
+    """
+    own = F.col("doc_id").eqNullSafe(F.col("kept_doc_id"))
+    into_kept = own & (F.col("kind") == "passage") & (F.col("word") - F.col("kept_word") < PASSAGE_WORDS)
+    found = Scratch(docs.sparkSession, "substring-spans").stage("found", repeats(docs).filter(~into_kept))
+    passages = found.filter("kind = 'passage'").withColumn("shift", F.when(~own, F.col("word") - F.col("kept_word")))
+    stretch = ["doc_id", "row", "kind", "kept_doc_id", "shift"]
+    runs = passages.withColumn("run", F.col("word") - F.row_number().over(Window.partitionBy(*stretch).orderBy("word")))
+    spans = runs.groupBy(*stretch, "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kept_start", "word").alias("kept_start")
+    )
+    columns = ["doc_id", "row", "start", "end", "kind", "kept_doc_id", "kept_start"]
+    return found.filter("kind = 'line'").select(columns).unionByName(spans.select(columns))

@@ -52,6 +52,34 @@ def test_passages_inside_lines_are_met_and_clean_texts_left_alone(spark):
         assert words(own) == words(text[1][r["kept_start"] : r["kept_start"] + len(own)])
 
 
+def test_whole_repeats_against_all_runs_of_twenty_words(spark):
+    rows = []
+    for i, n in enumerate((20, 21, 25, 30, 35, 42, 52, 60, 80, 150)):
+        repeat = " ".join(f"r{i}x{k}" for k in range(n))
+        around = [" ".join(f"w{i}y{j}y{k}" for k in range(15 + i)) for j in range(6)]
+        rows += [(10 * i + 200 + j, f"{around[2 * j]} {repeat} {around[2 * j + 1]}", "s") for j in range(3)]
+    rows += [(1, "and " * 100, "s"), (2, "x y z " * 60, "s"), (None, rows[9][1] + " end", "s"), (201, rows[1][1], "s")]
+    first, want = {}, defaultdict(set)
+    for d, t, _ in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        ws = words(t)
+        for k in range(len(ws) - 19):
+            kept = first.setdefault(tuple(ws[k : k + 20]), (d, k))
+            if kept != (d, k) and not (kept[0] == d and k - kept[1] < 20):
+                want[d] |= set(range(k, k + 20))
+    got, n_rows = defaultdict(set), defaultdict(int)
+    text = {d: t for d, t, _ in rows}
+    for r in sub.repeated_spans(frame(spark, rows)).collect():
+        if r["kind"] == "passage":
+            _, starts, ends = words_of(text[r["doc_id"]])
+            got[r["doc_id"]] |= set(range(np.searchsorted(starts, r["start"]), np.searchsorted(ends, r["end"]) + 1))
+            n_rows[r["doc_id"]] += 1
+            if r["kept_doc_id"] != r["doc_id"]:
+                own = text[r["doc_id"]][r["start"] : r["end"]]
+                assert own == text[r["kept_doc_id"]][r["kept_start"] : r["kept_start"] + len(own)]
+    assert dict(got) == dict(want)
+    assert all(n == 1 for d, n in n_rows.items())
+
+
 def test_lines_are_indexed_whole_units():
     text = "one two three four five\nshort\n\n" + "six " * 30
     kinds, starts, ends, _, _ = sub.units_of(text)
