@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,16 +94,30 @@ def normalize(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
+def stored_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns of a folder's files and partition folders; none where it has no files."""
+    try:
+        return spark.read.parquet(path).columns
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return []
+
+
 def parquet_relations(spark: SparkSession, root: str) -> Relations:
     """One folder per relation under `root`, read with its declared schema.
 
     Orders, order_lines, sold_options and table_sessions are to be partitioned by business_date, the day
-    of their order: windows reach the scan as partition filters.
+    of their order: windows reach the scan as partition filters. Copies without that day are read whole.
     """
 
     def reader(name: str) -> Callable[[], DataFrame]:
-        schema = ", ".join([SCHEMAS[name], *([DATED[name]] if name in DATED else [])])
-        return lambda: spark.read.schema(schema).parquet(f"{root}/{name}")
+        def read() -> DataFrame:
+            path = f"{root}/{name}"
+            dated = name in DATED and "business_date" in stored_columns(spark, path)
+            return spark.read.schema(", ".join([SCHEMAS[name], *([DATED[name]] if dated else [])])).parquet(path)
+
+        return read
 
     return Relations(spark, {name: reader(name) for name in SCHEMAS})
 

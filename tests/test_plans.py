@@ -118,6 +118,30 @@ def test_windows_reach_every_partitioned_source(spark, tmp_path):
     assert first and t.build("tree_daily").agg(F.sum("orders")).first()[0] > 0
 
 
+def test_relations_without_a_day_are_read_whole(spark, tmp_path):
+    import domain
+
+    from salesgrain.plans.catalog import Tables
+    from salesgrain.sources.relations import SCHEMAS, parquet_relations
+
+    data = domain.frames(spark)
+    dated = ("order_lines", "sold_options", "table_sessions")
+    for root in ("with", "without", "empty"):
+        for name in SCHEMAS:
+            df = data[name] if name in data else spark.createDataFrame([], SCHEMAS[name])
+            if name in dated:
+                df = df.drop("business_date")
+                if root == "with":
+                    df = df.join(data["orders"].select("order_id", "business_date"), "order_id")
+                df = df.limit(0) if root == "empty" else df
+            (df.write.partitionBy("business_date") if root == "with" and name in dated else df.write).parquet(f"{tmp_path}/{root}/{name}")
+    t = {root: Tables(parquet_relations(spark, f"{tmp_path}/{root}"), domain.PARAMS) for root in ("with", "without", "empty")}
+    for name in ("tree_daily", "option_monthly", "dwell"):
+        want = sorted(map(str, t["with"].build(name).collect()))
+        assert want and sorted(map(str, t["without"].build(name).collect())) == want, name
+    assert t["empty"].build("dwell").collect() == []
+
+
 @needs_data
 def test_values_match_the_sql_counterparts(spark):
     import duckdb
