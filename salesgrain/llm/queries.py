@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from salesgrain.llm import (
     decontaminate,
     exact_dedup,
+    hard_negatives,
     jaccard_join,
+    lexical_search,
     license_scan,
     line_dedup,
     quality_model,
+    quality_rules,
     secret_scan,
     source_mix,
     substring_dedup,
@@ -69,10 +72,23 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_classes(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_decontaminate, op3_license_scan, op4_substring_dedup, op5_line_dedup,
-        op6_source_mix, op7_quality_model, op8_exact_dedup, op9_token_count, op10_jaccard_join,
+        op6_source_mix, op7_quality_model, op8_exact_dedup, op9_token_count, op10_jaccard_join, op11_hard_negatives,
+        op12_quality_rules, op13_lexical_search,
     )
 }
