@@ -1,4 +1,4 @@
-"""Exact interpolated percentile per group from a histogram."""
+"""Exact interpolated percentiles per group from one histogram."""
 
 from __future__ import annotations
 
@@ -6,46 +6,50 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_percentile(
-    df: DataFrame, keys: list[str], value: str, share: float, out: str, count: str, bin_width: int = 1_000_000
+def exact_percentiles(
+    df: DataFrame, keys: list[str], value: str, shares: dict[str, float], count: str, bin_width: int = 1_000_000
 ) -> DataFrame:
-    """percentile_cont(share) of an integer column, and the number of rows, per group.
+    """percentile_cont of an integer column for each named share, and the number of rows, per group.
 
-    Rows are counted per distinct value, with map-side combine, and values are counted per bin.
-    Running counts over the bins, at most value range / bin width per group, tell which one or
-    two bins hold the wanted ranks; only the values of those bins are ranked. No task ever sees
-    all rows, or all distinct values, of a large group.
+    Rows are counted per distinct value, with map-side combine, and the counted values of a bin travel as
+    one row, at most bin width of them. Running counts over the bins, at most value range / bin width per
+    group, tell which bins hold the wanted ranks, and only there the values are walked. So the input is read
+    once, and no task ever sees all rows, or all distinct values, of a large group.
     """
-    hist = (
+    kind = df.schema[value].dataType
+    bins = (
         df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
-        .withColumn("_bin", F.floor(F.col(value) / bin_width))
+        .groupBy(*keys, F.floor(F.col(value) / bin_width).alias("_bin"))
+        .agg(
+            F.sum("_c").alias("_in"),
+            F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), F.col("_c").alias("c")))).alias("_values"),
+        )
     )
     group = Window.partitionBy(*keys)
-    earlier = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    spot = (F.col("_n") - 1) * F.lit(share)
-    bins = (
-        hist.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_in"))
-        .withColumn("_before", F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
-        .withColumn("_n", F.sum("_in").over(group))
-        .withColumn("_low", F.floor(spot))
-        .withColumn("_high", F.ceil(spot))
-    )
+    upto = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = bins.withColumn("_upto", F.sum("_in").over(upto)).withColumn("_n", F.sum("_in").over(group))
+    before = F.col("_upto") - F.col("_in")
 
-    def holds(rank: str) -> Column:
-        return (F.col(rank) >= F.col("_before")) & (F.col(rank) < F.col("_before") + F.col("_in"))
+    def at(rank: Column) -> Column:
+        """Smallest value whose running count goes past a zero-based rank."""
 
-    wanted = bins.where(holds("_low") | holds("_high")).drop("_in")
-    upto = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = hist.join(wanted, [*keys, "_bin"]).withColumn("_upto", F.col("_before") + F.sum("_c").over(upto))
+        def step(state: Column, x: Column) -> Column:
+            n = state["n"] + x["c"]
+            return F.struct(n.alias("n"), F.when(state["v"].isNull() & (n > rank), x["v"]).otherwise(state["v"]).alias("v"))
 
-    def at(rank: str) -> Column:
-        """Smallest value whose running count goes past a zero-based rank."""
-        return F.min(F.when((F.col("_upto") > F.col(rank)) & (F.col("_before") <= F.col(rank)), F.col(value)))
-
-    return (
-        ranked.groupBy(*keys)
-        .agg(at("_low").alias("_lo"), at("_high").alias("_hi"), F.max("_n").alias(count))
-        .withColumn("_spot", (F.col(count) - 1) * F.lit(share))
-        .withColumn(out, F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_spot") - F.floor("_spot")))
-        .drop("_lo", "_hi", "_spot")
-    )
+        walked = F.aggregate("_values", F.struct(before.alias("n"), F.lit(None).cast(kind).alias("v")), step)["v"]
+        return F.max(F.when((rank >= before) & (rank < F.col("_upto")), walked))
+
+    def spot(n: Column, share: float) -> Column:
+        return (n - 1) * F.lit(share)
+
+    ends = []
+    for out, share in shares.items():
+        ends += [at(F.floor(spot(F.col("_n"), share))).alias(f"_lo_{out}"), at(F.ceil(spot(F.col("_n"), share))).alias(f"_hi_{out}")]
+    found = placed.groupBy(*keys).agg(*ends, F.max("_n").alias(count))
+
+    def between(out: str, share: float) -> Column:
+        low, high, place = F.col(f"_lo_{out}"), F.col(f"_hi_{out}"), spot(F.col(count), share)
+        return (low + (high - low) * (place - F.floor(place))).alias(out)
+
+    return found.select(*keys, count, *[between(out, share) for out, share in shares.items()])

@@ -35,15 +35,31 @@ def best_other(df: DataFrame, pool: DataFrame, keys: list[str], who: str, rate:
     )
 
 
-def second_best(pool: DataFrame, keys: list[str], who: str, rate: str, at_least: int) -> DataFrame:
-    """The runner-up of each group with `at_least` members: keys, peer_who, peer_rate."""
-    w = Window.partitionBy(*keys)
-    return (
-        pool.withColumn("_rank", F.row_number().over(w.orderBy(F.desc_nulls_last(rate), F.asc(who))))
-        .withColumn("_size", F.count("*").over(w))
-        .where((F.col("_rank") == 2) & (F.col("_size") >= at_least))
-        .select(*keys, F.col(who).alias("peer_who"), F.col(rate).alias("peer_rate"))
-    )
+def with_peers(
+    df: DataFrame, keys: list[str], who: str, rate: str, pool: Column, qualified: Column, at_least: int
+) -> DataFrame:
+    """Adds best_rate / best_who, as best_other() of the rows in the pool, and peer_rate / peer_who: the
+    runner-up of the qualified rows of a group with `at_least` of them. All in windows over one reading."""
+    group = Window.partitionBy(*keys)
+    order = [F.desc_nulls_last(rate), F.asc(who)]
+
+    def place(condition: Column) -> Column:
+        return F.when(condition, F.row_number().over(group.orderBy(F.when(condition, 0).otherwise(1), *order)))
+
+    def holder(rank: str, n: int, column: str) -> Column:
+        return F.max(F.when(F.col(rank) == n, F.col(column))).over(group)
+
+    ranked = df.withColumn("_pool", place(pool)).withColumn("_rank", place(qualified))
+    is_first = F.coalesce(F.col(who) == holder("_pool", 1, who), F.lit(False))
+    enough = F.count("_rank").over(group) >= at_least
+
+    def other(column: str) -> Column:
+        return F.when(is_first, holder("_pool", 2, column)).otherwise(holder("_pool", 1, column))
+
+    return ranked.withColumns({
+        "best_who": other(who), "best_rate": other(rate),
+        "peer_who": F.when(enough, holder("_rank", 2, who)), "peer_rate": F.when(enough, holder("_rank", 2, rate)),
+    }).drop("_pool", "_rank")
 
 
 def in_rolling_windows(

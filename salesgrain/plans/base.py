@@ -117,6 +117,11 @@ class Base:
         free = text.is_free_item(F.col("item_code"), F.col("name_th"), self.rules)
         return lines.withColumns({"bev_tier": tier, "is_free": free})
 
+    @property
+    def described_lines(self) -> DataFrame:
+        """Counted lines, split copies among them, with drink tier and give-away flag."""
+        return self._described(self.counted_lines)
+
     @cached_property
     def flagged_lines(self) -> DataFrame:
         """Counted lines, described, with is_split_copy: listed as made when a bill was split.
@@ -304,10 +309,18 @@ class Base:
         meals = (F.col("main_units") + F.col("set_units")).cast(MONEY)
         return self.stage.keep("order_meals", facts.withColumn("meals", meals))
 
-    # ---- B7 ------------------------------------------------------------------------------
     @cached_property
-    def split_children(self) -> DataFrame:
-        """Kept dine-in orders split off another bill: order_id -> master_id.
+    def order_taken_home(self) -> DataFrame:
+        """Kept orders with taken_home alone: the lines of dishes tell, options are not read."""
+        dishes = self.counted_lines.where(F.col("tree_category").isin("main", "set"))
+        per_order = dishes.groupBy("order_id").agg(F.bool_and(F.coalesce("is_take_home", F.lit(False))).alias("_taken"))
+        joined = self.orders.join(per_order, "order_id", "left")
+        return joined.withColumn("taken_home", F.coalesce("_taken", F.lit(False))).drop("_taken")
+
+    # ---- B7 ------------------------------------------------------------------------------
+    @property
+    def split_tabs(self) -> DataFrame:
+        """Tabs split off another bill: order_id -> master_id.
 
         The master is the latest master tab on the same branch, table and day opened at or
         before the child; the child's own parent pointer is not used.
@@ -326,13 +339,13 @@ class Base:
             tabs, ["branchid", "fbtableid", "tab_day"], "starttime",
             F.col("parentsaletabid") == 0, "order_id", "master_id",
         )
+        return found.where((F.col("parentsaletabid") > 0) & F.col("master_id").isNotNull()).select("order_id", "master_id")
+
+    @cached_property
+    def split_children(self) -> DataFrame:
+        """Kept dine-in orders split off another bill: order_id -> master_id."""
         dine_in = self.orders.where(F.col("channel") == "dine_in").select("order_id")
-        children = (
-            found.where((F.col("parentsaletabid") > 0) & F.col("master_id").isNotNull())
-            .select("order_id", "master_id")
-            .join(dine_in, "order_id", "left_semi")
-        )
-        return self.stage.keep("split_children", children)
+        return self.stage.keep("split_children", self.split_tabs.join(dine_in, "order_id", "left_semi"))
 
     @cached_property
     def party(self) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesgrain.functions import text, times
@@ -12,41 +12,46 @@ from salesgrain.functions.numbers import half_up
 def pair_lift(t) -> DataFrame:
     """A9. Lift of item pairs per branch.
 
-    Repeated items of an order are collapsed and rare items dropped before any pair is formed,
-    so an order contributes at most menu-size distinct items. Everything up to the pair count
-    is keyed by order, and pair counts are combined map-side before they are shuffled.
+    Lines are read once: an order gives its distinct items, at most the menu, and these give one row per
+    pair, per item and per order to a single count, combined map-side. Counts of items and bills then reach
+    their pairs in windows over the counts, at most menu-size rows for an item of a branch.
     """
     p, base = t.params, t.base
     recent = base.orders.where(base.since("business_date", p.pair_days)).select("order_id", "location_id")
     bought = (
         base.lines.where(F.col("tree_category").isin(*p.rules.tree_categories) & ~F.col("is_free"))
-        .select("order_id", F.col("name_th").alias("item"))
+        .groupBy("order_id").agg(F.array_sort(F.collect_set("name_th")).alias("items"))
         .join(recent, "order_id")
-        .distinct()
     )
-    bought = base.stage.keep("baskets", bought)
-    bills = bought.groupBy("location_id").agg(F.count_distinct("order_id").alias("total_bills"))
-    common = (
-        bought.groupBy("location_id", "item").agg(F.count("*").alias("n"))
-        .where(F.col("n") >= p.pair_min_item_bills)
-    )
-    frequent = bought.join(common.select("location_id", "item"), ["location_id", "item"], "left_semi")
-    left = frequent.select("order_id", "location_id", F.col("item").alias("item_a"))
-    right = frequent.select("order_id", F.col("item").alias("item_b"))
-    together = (
-        left.join(right, "order_id")
-        .where(F.col("item_a") < F.col("item_b"))
-        .groupBy("location_id", "item_a", "item_b")
-        .agg(F.count("*").alias("bills_ab"))
-        .where(F.col("bills_ab") >= p.pair_min_bills)
+    missing = F.lit(None).cast("string")
+
+    def row(a: Column, b: Column) -> Column:
+        return F.struct(a.alias("item_a"), b.alias("item_b"))
+
+    def pairs_of(x: Column, i: Column) -> Column:
+        later = F.slice("items", i + 2, F.size("items"))
+        return F.concat(F.transform(later, lambda y: row(x, y)), F.array(row(x, missing), row(missing, x)))
+
+    rows = F.concat(F.flatten(F.transform("items", pairs_of)), F.array(row(missing, missing)))
+    counted = (
+        bought.select("location_id", F.inline(rows)).groupBy("location_id", "item_a", "item_b").agg(F.count("*").alias("bills_ab"))
     )
-    count_a = common.select("location_id", F.col("item").alias("item_a"), F.col("n").alias("bills_a"))
-    count_b = common.select("location_id", F.col("item").alias("item_b"), F.col("n").alias("bills_b"))
+
+    def of(*keys: str) -> Column:
+        """The count of the row that has these keys alone."""
+        alone = F.lit(True)
+        for c in ("item_a", "item_b"):
+            alone = alone & (F.col(c).isNotNull() if c in keys else F.col(c).isNull())
+        return F.max(F.when(alone, F.col("bills_ab"))).over(Window.partitionBy("location_id", *keys))
+
     lift = (F.col("bills_ab") * F.col("total_bills")).cast("double") / (F.col("bills_a") * F.col("bills_b"))
     return (
-        together.join(count_a, ["location_id", "item_a"])
-        .join(count_b, ["location_id", "item_b"])
-        .join(bills, "location_id")
+        counted.withColumn("total_bills", of())
+        .withColumn("bills_a", of("item_a"))
+        .where((F.col("bills_a") >= p.pair_min_item_bills) | F.col("item_a").isNull())
+        .withColumn("bills_b", of("item_b"))
+        .where((F.col("bills_b") >= p.pair_min_item_bills) & (F.col("bills_ab") >= p.pair_min_bills))
+        .where(F.col("item_a").isNotNull() & F.col("item_b").isNotNull())
         .select("location_id", "item_a", "item_b", "bills_ab", "bills_a", "bills_b", "total_bills",
                 half_up(lift, 2).alias("lift"))
     )

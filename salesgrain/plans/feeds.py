@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from salesgrain.functions import text
 from salesgrain.functions.numbers import half_up, ratio
 from salesgrain.operators.ranks import top_rows
+from salesgrain.plans.base import on_line
 
 
 @dataclass(frozen=True)
@@ -358,20 +359,21 @@ def platform_basket(t) -> DataFrame:
     p, base = t.params, t.base
     rules = p.rules
     bills = _recent_matches(t).distinct().withColumnRenamed("bill_id", "order_id")
-    lines = base.counted_lines.join(bills, "order_id")
-    if "item_code" not in lines.columns:
-        lines = lines.join(t.rel["items"].select("itemid", "item_code"), "itemid", "left")
-    ordered = lines.where(~text.is_free_item(F.col("item_code"), F.col("name_th"), rules)).select(
-        "location_id", "ym", "order_id", "tree_category", F.col("unit_price_inc_vat_thb").alias("price"), "qty"
+    lines = base.described_lines.select(
+        "order_id", "line_id", "tree_category", F.col("unit_price_inc_vat_thb").alias("price"), "qty",
+        F.lit(True).alias("is_line"), "is_free",
     )
-    on_lines = lines.select("order_id", "line_id", "location_id", "ym").distinct()
-    picked = (
-        t.base.windowed("sold_options").where(F.col("modifier_group").rlike(rules.option_item_groups_re))
-        .withColumn("choice_key", text.choice_key(F.col("choice_th")))
-        .join(on_lines, ["order_id", "line_id"])
-        .join(base.item_choices, "choice_key")
-        .select("location_id", "ym", "order_id", "tree_category", F.col("retail_price_thb").alias("price"),
-                (F.col("choice_qty") * F.col("qty_mult")).cast("decimal(18,4)").alias("qty"))
+    picked = base.item_options(base.windowed("sold_options")).join(base.item_choices, "choice_key").select(
+        "order_id", "line_id", "tree_category", F.col("retail_price_thb").alias("price"),
+        (F.col("choice_qty") * F.col("qty_mult")).cast("decimal(18,4)").alias("qty"),
+        F.lit(False).alias("is_line"), F.lit(False).alias("is_free"),
+    )
+    # lines and options lie by order, where an option sees its line, and meet the bills there once
+    held = (
+        lines.unionByName(picked).repartition("order_id")
+        .withColumn("hangs", on_line(F.col("is_line")))
+        .where(F.col("hangs") & ~F.col("is_free"))
+        .join(bills, "order_id")
     )
     category, price = F.col("tree_category"), F.col("price")
     drink = category == "beverage"
@@ -381,8 +383,7 @@ def platform_basket(t) -> DataFrame:
         return F.sum(F.when(condition, F.col("qty"))).alias(name)
 
     return (
-        ordered.unionByName(picked)
-        .groupBy(F.col("location_id").alias("loc"), "ym")
+        held.groupBy(F.col("location_id").alias("loc"), "ym")
         .agg(
             units(category == "main", "mains"), units(category == "side", "sides"),
             units(drink & (price > low) & (price <= high), "bev_paid"), units(drink & (price > high), "bev_prem"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from salesgrain.functions.numbers import half_up, ratio, zero_if_null
 from salesgrain.functions.times import MINUTE, clock_micros
-from salesgrain.operators.median import exact_percentile
+from salesgrain.operators.median import exact_percentiles
 from salesgrain.operators.ranks import best_other, top_rows
 from salesgrain.plans import feeds
 
@@ -708,9 +708,8 @@ def keying_lag(t) -> DataFrame:
         .withColumn("lag_us", clock_micros(_c("starttime"), _c("business_date"))
                     - clock_micros(_c("created_at"), _c("business_date")))
     )
-    middle = exact_percentile(lags, ["location_id"], "lag_us", 0.5, "mid", "matches")
-    tail = exact_percentile(lags, ["location_id"], "lag_us", 0.9, "late", "n").drop("n")
-    return middle.join(tail, "location_id").select(
+    spread = exact_percentiles(lags, ["location_id"], "lag_us", {"mid": 0.5, "late": 0.9}, "matches")
+    return spread.select(
         "location_id", "matches", quotient(_c("mid"), F.lit(MINUTE)).alias("median_min"),
         quotient(_c("late"), F.lit(MINUTE)).alias("p90_min"),
     )

@@ -74,30 +74,27 @@ def party_bucket(persons: Column) -> Column:
 def party_size(t) -> DataFrame:
     """A10. Parties by size. A party is a master bill with its split children, or one bill.
 
-    Only children are regrouped; every other bill already is its own party and stays in place,
-    partitioned by order. A party whose master is not a kept order takes the attributes of its
-    lowest order id.
+    Bills are read once and summed by party. A party whose master is not a kept order, or itself a
+    child, takes the attributes of its lowest order id.
     """
     base = t.base
     place = ["location_id", "ym", "channel", "daypart"]
-    facts = base.order_meals.select("order_id", *place, "total_thb", "main_units", "meals")
-    children = base.split_children
-    parties = (
-        facts.join(children, "order_id")
-        .groupBy(F.col("master_id").alias("order_id"))
+    split = base.split_children if base.stage.keeps("split_children") else base.split_tabs
+    is_child = F.col("master_id").isNotNull() & (F.col("channel") == "dine_in")
+    here = F.struct(*place)
+    whole = (
+        base.order_meals.select("order_id", *place, "total_thb", "main_units", "meals")
+        .join(split, "order_id", "left")
+        .groupBy(F.when(is_child, F.col("master_id")).otherwise(F.col("order_id")).alias("party_id"))
         .agg(
-            F.min_by(F.struct(*place), "order_id").alias("first"),
-            F.sum("total_thb").alias("child_net"),
-            F.sum("main_units").alias("child_mains"),
-            F.sum("meals").alias("child_meals"),
+            F.max(F.when(~is_child, here)).alias("own"),
+            F.min_by(here, F.when(is_child, F.col("order_id"))).alias("first"),
+            zero_if_null(F.sum("total_thb")).alias("net"),
+            zero_if_null(F.sum("main_units")).alias("mains"),
+            zero_if_null(F.sum("meals")).alias("persons"),
         )
-    )
-    bills = facts.join(children, "order_id", "left_anti")
-    whole = bills.join(parties, "order_id", "full_outer").select(
-        *[F.coalesce(F.col(c), F.col("first")[c]).alias(c) for c in place],
-        (zero_if_null(F.col("total_thb")) + zero_if_null(F.col("child_net"))).alias("net"),
-        (zero_if_null(F.col("main_units")) + zero_if_null(F.col("child_mains"))).alias("mains"),
-        (zero_if_null(F.col("meals")) + zero_if_null(F.col("child_meals"))).alias("persons"),
+        .select(F.coalesce("own", "first").alias("at"), "net", "mains", "persons")
+        .select("at.*", "net", "mains", "persons")
     )
     bucket = F.when(F.col("channel") != "dine_in", "n/a").otherwise(party_bucket(F.col("persons")))
     return whole.groupBy(*place, bucket.alias("pax_bucket")).agg(

@@ -45,9 +45,12 @@ class Stage:
         self._guard = threading.Lock()
         self._writing: dict[str, threading.Lock] = {}
 
+    def keeps(self, name: str) -> bool:
+        return self.names is None or name in self.names
+
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         """The stored copy of a named intermediate; concurrent callers wait for the first write."""
-        if self.names is not None and name not in self.names:
+        if not self.keeps(name):
             return df
         with self._guard:
             one_writer = self._writing.setdefault(name, threading.Lock())

@@ -118,7 +118,7 @@ def test_dead_hours_and_rollup(spark):
             number += 1
             orders.append(order(f"1-{number}", day=day, total=100, opened="14:05", closed="14:35"))
     lines = [domain.line(o[0], i, 11, "N2 ก๋วยเตี๋ยว ต้มยำ ธรรมดา", "main") for i, o in enumerate(orders, 100)]
-    t = tables(spark, orders, lines, staged=("recorded_stays", "unit_hours", "occupancy_hourly", "dead_hours"))
+    t = tables(spark, orders, lines, staged=("recorded_stays", "seat_days", "dead_hours"))
     got = rows(t["dead_hours"], "hour")
     hour = got[14]
     assert hour["occ"] == 0.2 and hour["peer_target"] is None and hour["peer_loc"] is None
