@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,6 +30,59 @@ def write_line(spark: SparkSession, content: dict, path: str) -> None:
     spark.createDataFrame([(json.dumps(content),)], "value string").coalesce(1).write.text(path)
 
 
+def write_new(spark: SparkSession, content: str, path: str) -> bool:
+    """Makes a file with a text, whole from the first moment it can be seen; False where there is one.
+
+    The text is written beside and renamed without overwriting, which a shared file system does for one of
+    several writers only.
+    """
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    beside = jvm.org.apache.hadoop.fs.Path(there.getParent(), f"_{uuid.uuid4().hex}")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = there.getFileSystem(conf)
+    if fs.exists(there):
+        return False
+    out = fs.create(beside)
+    out.write(bytearray(content.encode()))
+    out.close()
+    try:
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+        files.rename(beside, there, gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError as error:
+        fs.delete(beside, False)
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
+def numbered(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    """Numbers and paths of a folder's numbered files, newest first."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(there)] if fs.exists(there) else []
+    return sorted(((int(name), f"{folder}/{name}") for name in names if name.isdigit()), reverse=True)
+
+
+def read_line(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
+
+
+def commit(spark: SparkSession, folder: str, change: Callable[[dict], dict]) -> dict:
+    """Adds the next numbered state of a folder: the change of the newest one, {} at first.
+
+    Where another writer was faster, the change is made again on what that one left, so no
+    writer's change is lost.
+    """
+    while True:
+        newest = numbered(spark, folder)[:1]
+        number, before = (newest[0][0], read_line(spark, newest[0][1])) if newest else (0, {})
+        after = change(before)
+        if write_new(spark, json.dumps(after), f"{folder}/{number + 1:010d}"):
+            return after
+
+
 class Stage:
     """Keeps the named intermediates as Parquet; lets every other one stay a lazy plan.
 

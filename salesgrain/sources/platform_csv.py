@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -14,7 +13,7 @@ from salesgrain.functions import fixed_values as fv
 from salesgrain.functions import text
 from salesgrain.functions.times import wall_clock
 from salesgrain.params import Rules
-from salesgrain.plans.staging import new_run_id, remove, side_by_side, write_line
+from salesgrain.plans.staging import commit, new_run_id, numbered, read_line, remove, side_by_side
 from salesgrain.sources.relations import SCHEMAS
 
 CSV_NAMES = "*.[cC][sS][vV]"
@@ -370,46 +369,40 @@ def to_table(rows: DataFrame, kind: str, rules: Rules) -> DataFrame:
 
 # ---- S15: load ----------------------------------------------------------------------------
 KINDS_AT_ONCE = 4
+SLICE = "_slice"
 KEEP_LOADS = 3
 
 
-def current_load(spark: SparkSession, root: str) -> dict[str, str]:
-    """Which load holds each table; the newest manifest counts, and without one there is no table."""
-    jvm = spark.sparkContext._jvm
-    there = jvm.org.apache.hadoop.fs.Path(f"{root}/manifests")
-    if not there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there):
-        return {}
-    newest = load_manifests(spark, root).first()
-    return json.loads(newest["value"])["tables"] if newest else {}
+def current_slices(spark: SparkSession, root: str) -> dict[str, dict[str, str]]:
+    """Which load holds each slice of each table, as of the newest snapshot."""
+    newest = numbered(spark, f"{root}/snapshots")[:1]
+    return read_line(spark, newest[0][1])["tables"] if newest else {}
 
 
-def load_manifests(spark: SparkSession, root: str) -> DataFrame:
-    """One small JSON line per finished load, newest first."""
-    lines = spark.read.option("recursiveFileLookup", True).text(f"{root}/manifests")
-    return lines.select("value", F.get_json_object("value", "$.load").alias("load")).orderBy(F.desc("load"))
-
-
-def _stored(spark: SparkSession, root: str, load: str, export: Export) -> DataFrame:
-    """A table as a load wrote it, with its slice columns."""
+def write_slices(table: DataFrame, export: Export, path: str) -> None:
+    """Writes the rows of a load, one folder per slice; the files carry all columns of the table themselves."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in export.slice_by]
     columns = table_schema(export.table).names
-    extra = "".join(f", {c} string" for c in export.slice_by if c not in columns)
-    return spark.read.schema(SCHEMAS[export.table] + extra).parquet(f"{root}/loads/{load}/{export.table}")
+    # a large slice is split over several files
+    rows = table.select(*columns, F.concat_ws(",", *parts).alias(SLICE)).hint("rebalance", F.col(SLICE))
+    rows.write.partitionBy(SLICE).parquet(path)
 
 
-def replace_slices(table: DataFrame, before: DataFrame | None, export: Export, path: str) -> None:
-    """Writes the table anew: exactly the slices the rows cover come from them, the others from before."""
-    slices = list(export.slice_by)
-    if before is not None:
-        covered = table.select(*slices).distinct()
-        table = table.unionByName(before.join(covered, slices, "left_anti"))
-    # a large slice is split over several files
-    table.hint("rebalance", *[F.col(c) for c in slices]).write.partitionBy(*slices).parquet(path)
+def written_slices(spark: SparkSession, path: str) -> list[str]:
+    """The slice folders of a written table."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(name for f in fs.listStatus(there) if (name := f.getPath().getName()).startswith(f"{SLICE}="))
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A loaded table, as of the last finished load, in contract column order."""
-    export = next(e for e in exports().values() if e.table == table)
-    return _stored(spark, root, current_load(spark, root)[table], export).select(*table_schema(table).names)
+    """A loaded table, as of the newest snapshot, in contract column order."""
+    slices = current_slices(spark, root)[table]
+    paths = [f"{root}/loads/{load}/{table}/{name}" for name, load in sorted(slices.items())]
+    if not paths:
+        return spark.createDataFrame([], table_schema(table))
+    # the slices of several loads side by side; their names are no columns
+    return spark.read.schema(SCHEMAS[table]).option("recursiveFileLookup", True).parquet(*paths)
 
 
 @dataclass(frozen=True)
@@ -422,14 +415,15 @@ class LoadReport:
 def load_exports(spark: SparkSession, folder: str, root: str, rules: Rules, load: str | None = None) -> LoadReport:
     """Load every recognised export below a folder into `root`; running it again changes nothing.
 
-    Tables of a load are written side by side into its own folder, and a manifest, written last, makes
-    them visible together: a load that fails leaves the tables as they were. Rows are parsed once
-    and laid out by kind; that copy goes at the end. Of finished loads the last KEEP_LOADS stay.
+    A load writes its own slices only, side by side into its own folder, and a snapshot, committed last, names
+    for every slice the load that holds it: all of a load becomes visible together, and one that fails
+    leaves the tables as they were. Of loads that run at the same time none loses what another one
+    wrote; for a slice that both have, the last to commit counts. Rows are parsed once and laid out by kind; that
+    copy goes at the end. The last KEEP_LOADS snapshots stay, with the slices that they name.
     """
     load = load or new_run_id()
     out, work = f"{root}/loads/{load}", f"{root}/work/{load}"
     known = exports()
-    before = current_load(spark, root)
     try:
         tagged = tag_rows(read_rows(spark, folder))
         # what doesn't count lies apart: no later plan can meet a header where it expects a date
@@ -443,8 +437,7 @@ def load_exports(spark: SparkSession, folder: str, root: str, rules: Rules, load
 
         def write(kind: str) -> None:
             export, own = known[kind], data.where(F.col("kind") == kind)
-            old = _stored(spark, root, before[export.table], export) if export.table in before else None
-            replace_slices(to_table(own, kind, rules), old, export, f"{out}/{export.table}")
+            write_slices(to_table(own, kind, rules), export, f"{out}/{export.table}")
             lost = unknown_stores(own, kind, rules).select("store", "rows")
             lost.write.parquet(f"{out}/unknown/kind={kind}")
 
@@ -454,8 +447,13 @@ def load_exports(spark: SparkSession, folder: str, root: str, rules: Rules, load
         raise
     finally:
         remove(spark, work)
-    tables = before | {known[kind].table: load for kind in kinds}
-    write_line(spark, {"load": load, "tables": tables}, f"{root}/manifests/{load}")
+    own = {known[k].table: dict.fromkeys(written_slices(spark, f"{out}/{known[k].table}"), load) for k in kinds}
+
+    def with_own(before: dict) -> dict:
+        tables = before.get("tables", {})
+        return {"load": load, "tables": tables | {name: tables.get(name, {}) | slices for name, slices in own.items()}}
+
+    commit(spark, f"{root}/snapshots", with_own)
     _forget_old_loads(spark, root)
     schema = "store string, rows bigint, kind string"
     unknown = spark.read.schema(schema).parquet(f"{out}/unknown") if kinds else spark.createDataFrame([], schema)
@@ -464,13 +462,25 @@ def load_exports(spark: SparkSession, folder: str, root: str, rules: Rules, load
 
 
 def _forget_old_loads(spark: SparkSession, root: str) -> None:
-    """Manifests beyond the last KEEP_LOADS go, with the loads that no kept manifest names."""
-    lines = [json.loads(r["value"]) for r in load_manifests(spark, root).select("value").collect()]  # a few names
-    needed = {name for line in lines[:KEEP_LOADS] for name in (line["load"], *line["tables"].values())}
-    for line in lines[KEEP_LOADS:]:
-        remove(spark, f"{root}/manifests/{line['load']}")
-    for name in {x for line in lines for x in (line["load"], *line["tables"].values())} - needed:
+    """Snapshots beyond the last KEEP_LOADS go, with the slices and loads that no kept one names."""
+    snapshots = [(path, read_line(spark, path)) for _, path in numbered(spark, f"{root}/snapshots")]
+
+    def named(lines: list) -> tuple[set[str], set[str]]:
+        slices = {
+            f"{load}/{table}/{name}"
+            for _, line in lines for table, slices in line["tables"].items() for name, load in slices.items()
+        }
+        return slices, {line["load"] for _, line in lines} | {x.split("/")[0] for x in slices}
+
+    slices, loads = named(snapshots)
+    kept_slices, kept_loads = named(snapshots[:KEEP_LOADS])
+    for path, _ in snapshots[KEEP_LOADS:]:
+        remove(spark, path)
+    for name in loads - kept_loads:
         remove(spark, f"{root}/loads/{name}")
+    for name in slices - kept_slices:
+        if name.split("/")[0] in kept_loads:
+            remove(spark, f"{root}/loads/{name}")
 
 
 def category_tally(orders: DataFrame) -> DataFrame:

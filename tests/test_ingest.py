@@ -111,20 +111,20 @@ def test_a_load_is_visible_as_a_whole_or_not_at_all(spark, loader, monkeypatch):
     load()
     write(folder, "s.csv", [DAY_HEADER, day_row("01/08/2026", gross="2")])
     write(folder, "m.csv", [header("menu", fv.COL_ITEM_THB), ["01/08/2026", SILOM, "A", "2", "100"]])
-    whole = platform_csv.replace_slices
+    whole = platform_csv.write_slices
 
-    def failing(table, before, export, path):
+    def failing(table, export, path):
         if export.table == "grab_peak":
             raise RuntimeError("lost")
-        whole(table, before, export, path)
+        whole(table, export, path)
 
-    monkeypatch.setattr(platform_csv, "replace_slices", failing)
+    monkeypatch.setattr(platform_csv, "write_slices", failing)
     with pytest.raises(RuntimeError, match="lost"):
         load()
     assert [r["gross_thb"] for r in read("grab_daily")] == [1] and len(read("grab_peak")) == 24
     with pytest.raises(KeyError):
         read("grab_menu_daily")
-    monkeypatch.setattr(platform_csv, "replace_slices", whole)
+    monkeypatch.setattr(platform_csv, "write_slices", whole)
     for _ in range(platform_csv.KEEP_LOADS + 1):
         load()
     assert [r["gross_thb"] for r in read("grab_daily")] == [2] and len(read("grab_menu_daily")) == 1
@@ -228,6 +228,57 @@ def test_a_file_replaces_exactly_its_slices_and_a_rerun_changes_nothing(loader):
     }
 
 
+def stored_files(root):
+    found = [os.path.join(d, f) for d, _, names in os.walk(f"{root}/loads") for f in names if f.endswith(".parquet")]
+    return {f for f in found if "/grab_" in f}
+
+
+def test_a_load_writes_its_own_slices_only(spark, tmp_path):
+    root = str(tmp_path / "out")
+    for month in range(1, 7):
+        write(str(tmp_path / f"in{month}"), "s.csv", [DAY_HEADER, *[day_row(f"{d:02d}/{month:02d}/2026", gross=str(month)) for d in (1, 2)]])
+    seen = set()
+    for month in range(1, 7):
+        platform_csv.load_exports(spark, str(tmp_path / f"in{month}"), root, RULES)
+        new, seen = stored_files(root) - seen, stored_files(root)
+        assert len({os.path.dirname(f) for f in new}) == 1  # one branch-month
+    got = rows(platform_csv.read_table(spark, root, "grab_daily"), "business_date")
+    assert {d.month: int(r["gross_thb"]) for d, r in got.items()} == {m: m for m in range(1, 7)} and len(got) == 12
+    # the slices of dropped snapshots stay while a kept one names them, and go when none does
+    for _ in range(platform_csv.KEEP_LOADS):
+        platform_csv.load_exports(spark, str(tmp_path / "in1"), root, RULES)
+    slices = [os.path.dirname(f) for f in stored_files(root)]
+    assert len({os.path.basename(d) for d in slices}) == 6
+    assert sum("2026-01" in d for d in set(slices)) == platform_csv.KEEP_LOADS
+    assert len(os.listdir(f"{root}/snapshots")) == platform_csv.KEEP_LOADS * 2  # each with its checksum
+
+
+def test_loads_that_meet_lose_nothing(spark, tmp_path, monkeypatch):
+    from salesgrain.plans import staging
+
+    root = str(tmp_path / "out")
+    write(str(tmp_path / "a"), "s.csv", [DAY_HEADER, day_row("01/08/2026", gross="1")])
+    write(str(tmp_path / "b"), "s.csv", [DAY_HEADER, day_row("01/09/2026", gross="2"), day_row("01/08/2026", GAYSORN, gross="3")])
+    write(str(tmp_path / "b"), "m.csv", [header("menu", fv.COL_ITEM_THB), ["01/08/2026", SILOM, "A", "2", "100"]])
+    plain, met = staging.write_new, []
+
+    def late(spark, content, path):
+        if not met:  # another load is committed between this one's reading and its commit
+            met.append(path)
+            platform_csv.load_exports(spark, str(tmp_path / "b"), root, RULES)
+        return plain(spark, content, path)
+
+    monkeypatch.setattr(staging, "write_new", late)
+    platform_csv.load_exports(spark, str(tmp_path / "a"), root, RULES)
+    got = rows(platform_csv.read_table(spark, root, "grab_daily"), "location_id", "business_date")
+    assert {k: r["gross_thb"] for k, r in got.items()} == {
+        ("silom", dt.date(2026, 8, 1)): 1, ("silom", dt.date(2026, 9, 1)): 2, ("gaysorn", dt.date(2026, 8, 1)): 3,
+    }
+    assert len(rows(platform_csv.read_table(spark, root, "grab_menu_daily"))) == 1
+    assert not plain(spark, "{}", f"{root}/snapshots/0000000001")  # taken
+    assert not [f for f in os.listdir(f"{root}/snapshots") if f.startswith("_")]
+
+
 def test_weather_merge(spark):
     schema = "d date, rain_mm double, tmax_c double"
     day = [dt.date(2026, 10, i) for i in range(1, 8)]
