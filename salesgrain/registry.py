@@ -13,6 +13,7 @@ from salesgrain.plans.catalog import BUILDERS, HELPERS, Tables
 from salesgrain.plans.checks import quality_checks
 from salesgrain.plans.feeds import FEEDS, today_partial
 from salesgrain.plans.insights import INSIGHTS
+from salesgrain.plans.models import MODELS
 from salesgrain.sources.driver_tables import PARAMS, driver_relations
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,4 +79,5 @@ def all_queries() -> dict[str, Query]:
     out["quality_checks"] = _query(quality_checks)
     out["feed_today_partial"] = _query(today_partial)
     out |= {f"insight_{name}": _query(f) for name, f in INSIGHTS.items()}
+    out |= {f"model_{name}": _query(f) for name, f in MODELS.items()}  # solved, so without SQL counterpart
     return out
