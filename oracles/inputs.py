@@ -14,7 +14,7 @@ CATEGORY = """CASE p_type WHEN 'STANDARD' THEN 'main' WHEN 'SMALL' THEN 'side' W
 EVENT_SUMS = """sum(CAST(value AS DECIMAL(18,4))) spend_thb, count(*) impressions,
     count(*) FILTER (event_type = 'click') clicks, count(*) FILTER (event_type = 'view') menu_visits,
     count(*) FILTER (event_type = 'signup') add_to_cart, count(*) FILTER (event_type = 'purchase') orders,
-    coalesce(sum(CAST(value AS DECIMAL(18,4)) * 10) FILTER (event_type = 'purchase'), 0) sales_thb"""
+    coalesce(sum(CAST(value AS DECIMAL(18,4)) * 10) FILTER (event_type = 'purchase'), 0) revenue_thb"""
 
 PARTS = {
     "x_raw": """

@@ -223,7 +223,7 @@ QUERIES = {
                      coalesce(sum(payout_thb) FILTER (category = 'adjustment'), 0) j FROM x_platform GROUP BY 1)""",
     "ads_brand": f"""
         SELECT is_brand, {big('sum(impressions)')} impressions, {big('sum(clicks)')} clicks, {big('sum(orders)')} orders,
-               {dbl('sum(spend_thb)')} spend_thb, {dbl('sum(sales_thb)')} sales_thb, {quo('sum(spend_thb)', 'sum(orders)')} thb_per_order,
+               {dbl('sum(spend_thb)')} spend_thb, {dbl('sum(revenue_thb)')} revenue_thb, {quo('sum(spend_thb)', 'sum(orders)')} thb_per_order,
                {quo('sum(orders) * 100', 'sum(spend_thb)', 4)} orders_per_100 FROM x_pwords GROUP BY 1""",
     "ads_funnel": f"""
         SELECT campaign, {big('sum(impressions)')} impressions, {big('sum(menu_visits)')} menu_visits,

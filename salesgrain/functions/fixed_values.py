@@ -60,6 +60,8 @@ COL_ITEM_THB = "ยอดขายที่ทำได้ (฿)"
 COL_CAMPAIGN = "โปรโมชัน"
 COL_SPEND = "เงินที่ใช้ (฿)"
 COL_COMBO = "คอมโบ"
+COL_AD_REVENUE = "Ad Generated Sales"
+KEY_AD_REVENUE = "sales"  # as feeds and payload call it
 COL_REVIEW = "รีวิว"
 COL_RATING = "เรตติ้ง"
 COL_REPLY = "ตอบกลับ"

@@ -36,13 +36,13 @@ def drink_tier(price: Column, rules: Rules) -> Column:
 def topping_key(name: Column, rules: Rules) -> Column:
     """One key for a topping, whether picked as an option or ordered from the menu.
 
-    Of the words without remarks and markers, what stands between a menu code or the word for "add"
-    in front and a weight at the end.
+    A menu code and the word for "add" count only where the name begins with them, before any remark or
+    marker; of the words that follow, remarks and markers go and then a weight at the end.
     """
-    plain = F.regexp_replace(name, r"\([^)]*\)|\*", "")
-    front = rf"(?:\s*[A-Z]\d+)?\s*(?:{fv.TOPPING_ADD_WORD})?"
+    rest = F.regexp_extract(name, rf"(?s)^(?:\s*[A-Z]\d+)?\s*(?:{fv.TOPPING_ADD_WORD})?(.*)$", 1)
+    plain = F.regexp_replace(rest, r"\([^)]*\)|\*", "")
     weight = rf"(?:\d+\s*(?:{'|'.join(fv.TOPPING_GRAM_WORDS)})?)?"
-    words = F.regexp_extract(plain, rf"(?s)^{front}(.*?){weight}\s*$", 1)
+    words = F.regexp_extract(plain, rf"(?s)^(.*?){weight}\s*$", 1)
     key = F.array_join(F.split(words, r"\s+"), "")
     aliased = key
     for short, full in rules.topping_aliases.items():

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesgrain.functions import fixed_values as fv
 from salesgrain.functions import text
 from salesgrain.functions.numbers import half_up, ratio
 from salesgrain.operators.ranks import top_rows
@@ -166,12 +167,12 @@ PLAIN: dict[str, Plain] = {
     "grab.ads": Plain(
         "grab_ads_hourly",
         "d@ hour campaign spend_thb:spend impressions:impr clicks menu_visits:visits add_to_cart:cart "
-        "orders sales_thb:sales",
+        f"orders revenue_thb:{fv.KEY_AD_REVENUE}",
         "d hour campaign",
     ),
     "grab.keywords": Plain(
         "grab_keywords",
-        "ym keyword:kw is_brand:brand impressions:impr clicks spend_thb:spend orders sales_thb:sales",
+        f"ym keyword:kw is_brand:brand impressions:impr clicks spend_thb:spend orders revenue_thb:{fv.KEY_AD_REVENUE}",
         "ym -impressions", "months",
     ),
     "grab.miwi": Plain(

@@ -553,7 +553,7 @@ def payout(t) -> DataFrame:
 def ads_brand(t) -> DataFrame:
     """D27. Own-brand against generic search: cost per order and orders per 100 spent."""
     return t["grab_keywords"].groupBy("is_brand").agg(
-        *[F.sum(c).alias(c) for c in ("impressions", "clicks", "orders", "spend_thb", "sales_thb")]
+        *[F.sum(c).alias(c) for c in ("impressions", "clicks", "orders", "spend_thb", "revenue_thb")]
     ).select(
         "*", quotient(_c("spend_thb"), _c("orders")).alias("thb_per_order"),
         quotient(_c("orders") * 100, _c("spend_thb"), 4).alias("orders_per_100"),

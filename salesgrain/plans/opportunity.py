@@ -1,6 +1,6 @@
 """The opportunity calculator: lever rates, unit values, two benchmarks, and what a gap is worth.
 
-Every table here starts from _sales_cells(): sold rows are read once, summed per order, and each order goes
+Every table here starts from _till_cells(): sold rows are read once, summed per order, and each order goes
 to the few cells it counts in (its day, its party size, the bowls on it) for one aggregation. Rates, prices,
 set values, own windows and peers are sums and windows over these cells, so a lazy plan reads no fact twice.
 """
@@ -30,7 +30,7 @@ def _lever_of_units() -> Column:
     return F.when(F.col("source") != "set", lever)
 
 
-def _sales_cells(t) -> DataFrame:
+def _till_cells(t) -> DataFrame:
     """In-store orders summed at three grains, from one reading of the sold rows.
 
     day: branch, channel and day, with units and money per lever. set: branch, party size and whether the
@@ -94,7 +94,7 @@ def _sales_cells(t) -> DataFrame:
             *[F.sum(F.when(not_bowl, F.col(c))).alias(c) for c in measures], F.sum("qty").alias("qty"),
         )
     )
-    return base.stage.keep("sales_cells", summed)
+    return base.stage.keep("till_cells", summed)
 
 
 def _bucket_sums() -> list[Column]:
@@ -138,7 +138,7 @@ def set_incremental(t) -> DataFrame:
     """A18. What a set adds: net per meal on bills with a set minus bills without, by party size."""
     values = _set_values()
     per_branch = (
-        _sales_cells(t).where(F.col("grain") == "set")
+        _till_cells(t).where(F.col("grain") == "set")
         .groupBy("location_id", "bucket").agg(*_bucket_sums())
         .groupBy("location_id").agg(*_set_sums())
     )
@@ -210,7 +210,7 @@ def _lever_cells(t) -> DataFrame:
         .when(grain == "set", F.array(entry("set")))
         .when(F.col("variant").isNotNull(), F.array(of_bowl))
     )
-    return _sales_cells(t).join(_variants(t), "itemid", "left").select(
+    return _till_cells(t).join(_variants(t), "itemid", "left").select(
         "grain", "location_id", "channel", "business_date", "bucket", "has_set", "bills", "net", "meals", "sets", F.inline(entries)
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesgrain.functions import fixed_values as fv
 from salesgrain.plans.feeds import DAILY_FEEDS, FEEDS
 from salesgrain.plans.publish import JOBS_AT_ONCE
 from salesgrain.plans.staging import side_by_side
@@ -17,7 +18,7 @@ from salesgrain.plans.staging import side_by_side
 MONEY_COLUMNS = frozenset((
     "gross", "disc", "net", "opt_thb", "main_thb", "bev_thb", "side_thb", "top_thb", "des_thb", "thb",
     "price", "paid_thb", "menu_thb", "expected", "uplift", "avg_thb", "avg", "comm", "mkt", "payout",
-    "spend", "sales", "bev_paid_thb", "bev_premium_thb", "est_thb", "ads_thb", "adjust_thb", "set_thb",
+    "spend", fv.KEY_AD_REVENUE, "bev_paid_thb", "bev_premium_thb", "est_thb", "ads_thb", "adjust_thb", "set_thb",
     "value", "thb_day", "ticket", "thb_both",
 ))
 

@@ -15,7 +15,7 @@ from salesgrain.sources.relations import Relations
 
 SHARED = frozenset({
     "orders", "lines", "options", "units", "unit_hours", "order_meals", "split_children",
-    "recorded_stays", "seat_days", "sales_cells", "numbered_tabs",
+    "recorded_stays", "seat_days", "till_cells", "numbered_tabs",
 })
 
 

@@ -211,7 +211,7 @@ EVENT_SUMS = [
     "CAST(count_if(event_type = 'view') AS INT) AS menu_visits",
     "CAST(count_if(event_type = 'signup') AS INT) AS add_to_cart",
     "CAST(count_if(event_type = 'purchase') AS INT) AS orders",
-    f"coalesce(sum(CASE WHEN event_type = 'purchase' THEN {money('value')} * 10 END), 0) AS sales_thb",
+    f"coalesce(sum(CASE WHEN event_type = 'purchase' THEN {money('value')} * 10 END), 0) AS revenue_thb",
 ]
 REVIEWS = [
     "md5(CAST(event_id AS STRING)) AS review_key", "concat('R', user_id % 5) AS location_id",

@@ -224,7 +224,7 @@ def _ads_campaign(rows: DataFrame, rules: Rules) -> DataFrame:
         number("Local Ad Spend").alias("spend_thb"), integer("Impressions").alias("impressions"),
         integer("Clicks").alias("clicks"), integer("MenuVisit_").alias("menu_visits"),
         integer("AddToCart_").alias("add_to_cart"), integer("Ad Generated Orders").alias("orders"),
-        number("Ad Generated Sales").alias("sales_thb"),
+        number(fv.COL_AD_REVENUE).alias("revenue_thb"),
     )
 
 
@@ -238,7 +238,7 @@ def _keywords(rows: DataFrame, rules: Rules) -> DataFrame:
         "*", F.concat_ws("-", F.lpad(year, 4, "0"), F.lpad(month, 2, "0")).alias("ym"),
         keyword.alias("keyword"), brand.alias("is_brand"), integer("Impressions").alias("impressions"),
         integer("Clicks").alias("clicks"), number("Local Ad Spend").alias("spend_thb"),
-        integer("Ad Generated Orders").alias("orders"), number("Ad Generated Sales").alias("sales_thb"),
+        integer("Ad Generated Orders").alias("orders"), number(fv.COL_AD_REVENUE).alias("revenue_thb"),
     )
 
 

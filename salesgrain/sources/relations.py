@@ -52,9 +52,9 @@ SCHEMAS: dict[str, str] = {
     "grab_peak": "location_id string, business_date date, hour int, orders int",
     "grab_ads_hourly": """d date, hour int, campaign string, spend_thb decimal(18,4),
         impressions int, clicks int, menu_visits int, add_to_cart int, orders int,
-        sales_thb decimal(18,4)""",
+        revenue_thb decimal(18,4)""",
     "grab_keywords": """ym string, keyword string, is_brand boolean, impressions int, clicks int,
-        spend_thb decimal(18,4), orders int, sales_thb decimal(18,4)""",
+        spend_thb decimal(18,4), orders int, revenue_thb decimal(18,4)""",
     "grab_miwi_daily": """location_id string, business_date date, wrong int, missing int,
         total_reported int, completed_orders int""",
     "grab_reviews": """review_key string, location_id string, review_date date, rating int,

@@ -186,12 +186,12 @@ def test_sums_counts_and_unpivot(loader):
 
 def test_ads_keywords_missing_items_reviews(loader):
     folder, load, read = loader
-    measures = ["Local Ad Spend", "Clicks", "MenuVisit_", "AddToCart_", "Ad Generated Orders", "Ad Generated Sales",
+    measures = ["Local Ad Spend", "Clicks", "MenuVisit_", "AddToCart_", "Ad Generated Orders", fv.COL_AD_REVENUE,
                 "Yearly", "Monthly", "Daily"]
     ad = ["C1", "9", "1,200", "13", "10.5", "3", "2", "1", "1", "99", "2026", "8", "7"]
     write(folder, "a.csv", [header("ads_campaign", *measures), ad, ad])
     word = ["Noodle MYBRAND", "9", "100", "2026", "8", "3", "5.5", "1", "10"]
-    names = header("keywords", "Yearly", "Monthly", "Clicks", "Local Ad Spend", "Ad Generated Orders", "Ad Generated Sales")
+    names = header("keywords", "Yearly", "Monthly", "Clicks", "Local Ad Spend", "Ad Generated Orders", fv.COL_AD_REVENUE)
     write(folder, "k.csv", [names, word, word, ["", *word[1:]], ["plain", *word[1:]]])
     miwi = header("miwi_store", fv.COL_DATE, "Wrong Reported", "Missing Reported", "Total Reported", "Total Completed Orders")
     write(folder, "w.csv", [miwi, [SILOM, "1", "2026-08-01", "1", "2", "3", "50"], [SILOM, "1", "2026-08-01", "0", "1", "1", "60"]])

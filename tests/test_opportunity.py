@@ -42,7 +42,7 @@ def chain(spark):
         [(b, i, "branch", True, True, False, 10, 20) for i, b in enumerate(SIDES)], data["locations"].schema
     )
     data["sold_options"] = data["sold_options"].limit(0)
-    return Tables(frame_relations(spark, data), PARAMS, domain.stage(spark, "recorded_stays", "seat_days", "sales_cells", "dead_hours", "opportunity_notes"))
+    return Tables(frame_relations(spark, data), PARAMS, domain.stage(spark, "recorded_stays", "seat_days", "till_cells", "dead_hours", "opportunity_notes"))
 
 
 def test_second_best_peer_and_peerless_branch(chain):

@@ -41,6 +41,7 @@ def test_choice_key(spark, choice, key):
 @pytest.mark.parametrize("name, key", [
     ("B2 คอหมูย่าง", "คอหมูย่าง"), ("เพิ่ม คอหมู 50 กรัม", "คอหมูย่าง"), ("เพิ่ม สันคอ*", "สันคอหมูย่าง"),
     ("หมูกรอบ (ใหม่) 100 g", "หมูกรอบ"), ("เพิ่ม หมู กรอบ", "หมูกรอบ"),
+    ("*B1 egg", "B1egg"), ("(new) B1 egg", "B1egg"), ("B1*2 egg", "2egg"), ("B1egg 20g", "egg"), ("B1 เพิ่ม(x) egg *", "egg"),
 ])
 def test_topping_key(spark, name, key):
     assert one(spark, text.topping_key(F.col("n"), RULES), n=name) == key
