@@ -1 +1 @@
-"""No streaming operators. Results are rebuilt in full every cycle, which also absorbs late rows."""
+"""Tables kept up to date from files as they arrive."""
