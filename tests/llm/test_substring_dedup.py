@@ -80,6 +80,56 @@ def test_whole_repeats_against_all_runs_of_twenty_words(spark):
     assert all(n == 1 for d, n in n_rows.items())
 
 
+def test_spans_of_near_copies_cover_what_units_cover(spark):
+    """Groups of near copies, with edits at any word: the words and lines to remove are those of the unit list."""
+    import random
+
+    rng = random.Random(7)
+    rows = []
+    for g in range(6):
+        base = prose(300 + g, 140).split(" ")
+        for c in range(9):
+            ws = list(base)
+            for _ in range(rng.randint(0, 4)):
+                at = rng.randrange(len(ws))
+                ws[at : at + rng.randint(0, 2)] = [f"e{rng.randrange(10**6)}"] * rng.randint(0, 2)
+            rows.append((100 * g + c, " ".join(ws), "s"))
+    rows += [(900 + i, prose(300, 140)[50 : 50 + 200 * i], "s") for i in range(1, 4)]
+    rows += [(950 + i, rows[3][1], "s") for i in range(3)] + [(None, rows[3][1], "s"), (970, "short text", "s"), (971, "short text", "s")]
+
+    def removed(df):
+        out = defaultdict(set)
+        for r in df.collect():
+            out[r["doc_id"]] |= set(range(r["start"], r["end"]))
+        return out
+
+    text = {d: t for d, t, _ in rows}
+    units, spans = removed(sub.repeated_units(frame(spark, rows))), sub.repeated_spans(frame(spark, rows))
+    covered = removed(spans)
+    copies = {r["doc_id"]: r["kept_doc_id"] for r in spans.collect() if r["kind"] == "text"}
+    first = min(d for d, t, _ in rows if t == rows[3][1] and d is not None)
+    assert {c: k for c, k in copies.items() if text[c] == rows[3][1]} == {c: first for c in (*range(950, 953), None, 3) if c != first}
+    assert 970 not in copies and 971 not in copies
+    for d in text:
+        inside = {i for i in units[d] if d not in copies}
+        words_at = {i for i, ch in enumerate(text[d]) if ch.isalnum()}
+        assert (covered[d] & words_at if d not in copies else set()) == inside & words_at, d
+    for r in spans.collect():
+        kept = text[r["kept_doc_id"]]
+        own = text[r["doc_id"]][r["start"] : r["end"]]
+        if r["kept_doc_id"] != r["doc_id"]:
+            assert words(own) == words(kept[r["kept_start"] :])[: len(words(own))]
+
+
+def test_contexts_tile_the_passages_and_pick_as_winnowing_does():
+    for seed, n in ((1, 19), (2, 20), (3, 21), (4, 400)):
+        ws = words_of(" ".join(prose(seed, n).split()))[0]
+        first, n_passages, gram = sub.contexts_of(ws)
+        assert n_passages.sum() == max(0, len(ws) - 19)
+        assert (first[1:] == first[:-1] + n_passages[:-1]).all()
+        assert set(gram.tolist()) == set(sub.picked_grams(ws)[1].tolist())
+
+
 def test_lines_are_indexed_whole_units():
     text = "one two three four five\nshort\n\n" + "six " * 30
     kinds, starts, ends, _, _ = sub.units_of(text)
