@@ -269,7 +269,7 @@ def repeated_passages(rows: DataFrame, copies: DataFrame, scratch: Scratch) -> D
     around = scratch.stage("around", repeated_grams(picked, scratch))
     columns = ["doc_id", "row", "text"]
     contexts = rows.join(around, "doc").select(*columns, "grams").mapInPandas(hash_contexts, CONTEXTS)
-    contexts = scratch.stage("contexts", contexts.dropDuplicates(["doc_id", "row", "word"]))
+    contexts = scratch.stage("contexts", contexts)
     place = place_of()
     classes = scratch.stage("classes", contexts.groupBy("h1", "h2").agg(
         F.count("*").alias("times"), F.min(place).alias("first"), F.max("gram").alias("gram"),
@@ -282,11 +282,11 @@ def repeated_passages(rows: DataFrame, copies: DataFrame, scratch: Scratch) -> D
     doc = F.xxhash64("doc_id", "row").alias("doc")
     per_doc = opened.groupBy(doc).agg(F.collect_list(F.struct("word", "n")).alias("opened"))
     singles = rows.join(per_doc, "doc").select(*columns, "opened").mapInPandas(hash_opened, OPENED)
-    units = scratch.stage("passages", singles.dropDuplicates(["doc_id", "row", "word"]))
+    units = scratch.stage("passages", singles)
     single = scratch.stage("singles", not_first(units, scratch, "several").withColumn("n", F.lit(1).cast("long")))
     # where all of a first occurrence is itself kept in one earlier place, the later ones are kept there too
     ends = single.groupBy(doc, F.col("of").alias("word")).agg(
-        F.count("*").alias("found"), F.min("kept_word").alias("low"), F.max("kept_word").alias("high"),
+        F.size(F.collect_set("word")).alias("found"), F.min("kept_word").alias("low"), F.max("kept_word").alias("high"),
         F.min_by(F.struct("kept_doc_id", "kept_start", "kept_word"), "word").alias("kept"),
         F.min(F.coalesce("kept_doc_id", F.lit(LAST_RANK))).alias("one"), F.max(F.coalesce("kept_doc_id", F.lit(LAST_RANK))).alias("other"),
     )
@@ -324,7 +324,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = repeated_passages(rows, copies, scratch).filter(~into_kept)
     stretch = ["doc_id", "row", "kept_doc_id", "shift"]
     order = Window.partitionBy(*stretch).orderBy("word")
-    goes_on = F.lag(F.col("word") + F.col("n")).over(order) == F.col("word")
+    # runs of one stretch lie end to end, but for those of a row that repeats, which come twice
+    goes_on = F.lag(F.col("word") + F.col("n")).over(order) >= F.col("word")
     runs = (
         found.withColumn("shift", F.when(~own, F.col("word") - F.col("kept_word")))
         .withColumn("begins", F.when(goes_on, 0).otherwise(1))
