@@ -54,6 +54,7 @@ PICKED = "doc long, h long"
 PASSAGES = "doc_id long, row long, start long, end long, word long, h1 long, h2 long"
 CONTEXTS = PASSAGES + ", n long, gram long"
 OPENED = PASSAGES + ", of long"
+FIRST_PASS = "kind long, doc long, doc_id long, row long, start long, end long, h1 long, h2 long"
 FIVE_WORDS = r"(?:[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+){4}[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 
@@ -89,6 +90,12 @@ def passages_around(words: np.ndarray, repeated: np.ndarray) -> np.ndarray:
     return np.unique(begin[(begin >= 0) & (begin <= len(words) - PASSAGE_WORDS)])
 
 
+def counted_grams(words: np.ndarray) -> np.ndarray:
+    """The picked grams of a text: each once, or twice where the text has it more often."""
+    grams_, times = np.unique(picked_grams(words)[1], return_counts=True)
+    return np.repeat(grams_, np.minimum(times, 2))
+
+
 def contexts_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word and number of passages of each run of passages that pick one gram, and that gram's digest."""
     if len(words) < PASSAGE_WORDS:
@@ -155,6 +162,23 @@ def hash_passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield unit_rows(part, [passage_units(t, np.asarray(g, dtype=np.int64)) for t, g in zip(part["text"], part["grams"])])
 
 
+def hash_first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines, and as kind PASSAGE the picked grams (in h1), from one reading of each text."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        lines, grams_of = [], []
+        for text in batch["text"]:
+            codes = code_points(text)
+            words, starts, ends = words_in(codes)
+            lines.append(digested(LINE, words, starts, ends, *lines_in(codes, starts)))
+            grams_of.append(counted_grams(words))
+        found = unit_rows(batch, lines).drop(columns="word")
+        yield found.assign(doc=batch["doc"].to_numpy().repeat([len(x["kind"]) for x in lines]))
+        doc, h = batch["doc"].to_numpy().repeat([len(x) for x in grams_of]), np.concatenate(grams_of)
+        yield pd.DataFrame({"kind": PASSAGE, "doc": doc, "doc_id": 0, "row": 0, "start": 0, "end": 0, "h1": h, "h2": 0})
+
+
 def hash_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if not len(batch):
@@ -186,11 +210,8 @@ def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if not len(batch):
             continue
-        found = [np.unique(picked_grams(words_of(text)[0])[1], return_counts=True) for text in batch["text"]]
-        # once for each document, twice where it has the gram more often
-        times = [np.minimum(n, 2) for _, n in found]
-        of_row = np.repeat(batch["doc"].to_numpy(), [n.sum() for n in times])
-        yield pd.DataFrame({"doc": of_row, "h": np.concatenate([np.repeat(h, n) for (h, _), n in zip(found, times)])})
+        found = [counted_grams(words_of(text)[0]) for text in batch["text"]]
+        yield pd.DataFrame({"doc": batch["doc"].to_numpy().repeat([len(x) for x in found]), "h": np.concatenate(found)})
 
 
 def documents_of(docs: DataFrame) -> DataFrame:
@@ -262,10 +283,8 @@ def whole_copies(rows: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.stage("copies", later.select("doc_id", "row", "doc", "end", kept))
 
 
-def repeated_passages(rows: DataFrame, copies: DataFrame, scratch: Scratch) -> DataFrame:
+def repeated_passages(rows: DataFrame, picked: DataFrame, scratch: Scratch) -> DataFrame:
     """Runs of passages to remove: first word and number of passages, offsets, and where they are kept."""
-    picked = scratch.stage("picked", rows.select("doc", "text").mapInPandas(pick, PICKED))
-    picked = picked.join(copies.select("doc"), "doc", "left_anti")
     around = scratch.stage("around", repeated_grams(picked, scratch))
     columns = ["doc_id", "row", "text"]
     contexts = rows.join(around, "doc").select(*columns, "grams").mapInPandas(hash_contexts, CONTEXTS)
@@ -303,13 +322,6 @@ def repeated_passages(rows: DataFrame, copies: DataFrame, scratch: Scratch) -> D
     return whole.select(parts).unionByName(single.select(parts))
 
 
-def repeated_lines(rows: DataFrame, copies: DataFrame, scratch: Scratch) -> DataFrame:
-    lines = rows.select("doc_id", "row", "text").mapInPandas(hash_lines, UNITS).drop("kind", "word")
-    own = lines.withColumn("doc", F.xxhash64("doc_id", "row")).join(copies.select("doc"), "doc", "left_anti").drop("doc")
-    units = scratch.stage("lines", own)
-    return not_first(units.withColumn("word", F.lit(0).cast("long")), scratch, "several-lines").dropDuplicates(["doc_id", "row", "start"])
-
-
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, row, start, end, kind, kept_doc_id and kept_start of each whole text, line and stretch of words to remove.
 
@@ -321,7 +333,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     copies = whole_copies(rows, scratch)
     own = F.col("doc_id").eqNullSafe(F.col("kept_doc_id"))
     into_kept = own & (F.col("word") - F.col("kept_word") < PASSAGE_WORDS)
-    found = repeated_passages(rows, copies, scratch).filter(~into_kept)
+    zero = F.lit(0).cast("long")
+    first = scratch.stage("first", rows.select("doc", "doc_id", "row", "text").mapInPandas(hash_first, FIRST_PASS))
+    first = first.join(copies.select("doc"), "doc", "left_anti")
+    lines = not_first(first.filter(F.col("kind") == LINE).drop("kind", "doc").withColumn("word", zero), scratch, "lines")
+    lines = lines.dropDuplicates(["doc_id", "row", "start"])
+    picked = first.filter(F.col("kind") == PASSAGE).select("doc", F.col("h1").alias("h"))
+    found = repeated_passages(rows, picked, scratch).filter(~into_kept)
     stretch = ["doc_id", "row", "kept_doc_id", "shift"]
     order = Window.partitionBy(*stretch).orderBy("word")
     # runs of one stretch lie end to end, but for those of a row that repeats, which come twice
@@ -335,10 +353,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kept_start", "word").alias("kept_start")
     )
     columns = ["doc_id", "row", "start", "end", "kind", "kept_doc_id", "kept_start"]
-    zero = F.lit(0).cast("long")
     parts = (
-        (repeated_lines(rows, copies, scratch), "line"), (spans, "passage"),
-        (copies.withColumn("start", zero).withColumn("kept_start", zero), "text"),
+        (lines, "line"), (spans, "passage"), (copies.withColumn("start", zero).withColumn("kept_start", zero), "text"),
     )
-    lines, passages, texts = (part.withColumn("kind", F.lit(kind)).select(columns) for part, kind in parts)
-    return lines.unionByName(passages).unionByName(texts)
+    found_lines, passages, texts = (part.withColumn("kind", F.lit(kind)).select(columns) for part, kind in parts)
+    return found_lines.unionByName(passages).unionByName(texts)
