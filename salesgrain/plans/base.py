@@ -237,11 +237,12 @@ class Base:
         )
         rows = met.where(is_menu | (F.col("on_menu") & ~F.col("on_copy")))
         is_unit = ~F.col("on_copy") & ~F.col("is_free")
-        return rows.select(
+        sold = rows.select(
             "order_id", "itemid", "item_code", "item_name", "tree_category", "bev_tier", "source",
             F.when(is_unit, F.col("qty")).alias("qty"), F.when(is_unit, F.col("thb")).alias("thb"),
             is_unit.alias("is_unit"), (F.col("is_gift") & ~F.col("on_copy")).alias("is_gift"), "is_taken",
         )
+        return self.stage.keep("sold_rows", sold)
 
     @cached_property
     def units(self) -> DataFrame:
@@ -256,19 +257,6 @@ class Base:
         )
         return self.stage.keep("units", placed)
 
-    @cached_property
-    def unit_hours(self) -> DataFrame:
-        """Units and money per branch, day, closing hour, channel, unit group and source.
-
-        Units meet their order once and are summed map-side right there, so what is shuffled
-        after the join is bounded by the cells and not by the lines.
-        """
-        cell = ["location_id", "business_date", "hr", "daypart", "channel"]
-        sums = self.units.groupBy(*cell, "tree_category", "bev_tier", "source").agg(
-            F.sum("qty").cast(MONEY).alias("qty"), F.sum("thb").cast(MONEY).alias("thb")
-        )
-        return self.stage.keep("unit_hours", sums)
-
     # ---- B5, B6 --------------------------------------------------------------------------
     def _per_order(self, sums: list[str]) -> DataFrame:
         """Kept orders with sums over their sold rows; an order without rows gets zeros.

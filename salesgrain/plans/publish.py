@@ -14,7 +14,7 @@ from salesgrain.plans.staging import Stage, new_run_id, remove, side_by_side, wr
 from salesgrain.sources.relations import Relations
 
 SHARED = frozenset({
-    "orders", "lines", "options", "units", "unit_hours", "order_meals", "split_children",
+    "orders", "lines", "sold_rows", "options", "units", "order_meals", "split_children",
     "recorded_stays", "seat_days", "till_cells", "numbered_tabs",
 })
 
