@@ -49,7 +49,7 @@ CEILINGS = {
     "opportunity_notes": (2, 27), "occupancy_hourly": (3, 76), "bill_intervals": (3, 75), "dead_hours": (3, 82),
     "dead_hours_rollup": (3, 83), "opportunity": (5, 110), "feed_opportunity": (5, 110), "insight_digest": (7, 145),
     "insight_keying_lag": (0, 35), "grab_match": (0, 20), "feed_grab_basket": (2, 34), "feed_grab_match_cov": (0, 27),
-    "insight_platform_attach": (4, 55), "pair_lift": (1, 14), "party_size": (2, 36), "model_attach_regression": (4, 40),
+    "insight_platform_attach": (4, 55), "pair_lift": (1, 14), "party_size": (2, 36), "model_attach_regression": (4, 42),
     "model_calendar_regression": (0, 20),
 }
 
