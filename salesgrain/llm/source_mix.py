@@ -6,18 +6,20 @@ higher cost, and a source takes up to its quota. The flow is solved over pattern
 Documents are then laid on a line in seeded order, pattern by pattern, and the words a pattern sends
 are its first ones, pass after pass; a copy is taken when its middle lies before the end.
 
-The number of patterns is bounded by MAX_PATTERNS, checked before they are collected: it is the size of
-the mixing recipe and not of the corpus. Positions come from two sums: over ranges of the seeded order,
-and within a range, so no task sees a whole source.
-
-Defined cases: a null text has size 0; a null source is a source of its own, the last; a null doc_id has
-its place in the seeded order; rows that repeat are documents of their own; an empty table gives an
+Sources that share a pattern, directly or through others, are a component, and the flows of components do
+not touch: each one is solved by itself, in a task, over its patterns and sources only. A source whose
+documents have no other source is a component of its own. Nothing is collected to the driver but two
+sums a round of the quotas, so sources and patterns may be as many as they are; only the patterns of one
+component, the size of an overlapping recipe and not of the corpus, meet in one row. Positions come from two
+sums: over ranges of the seeded order, and within a range, so no task sees a whole source.
+
+Defined cases: a null text has size 0; a null source is a source of its own, the last; a document without any
+source is not taken; a null doc_id has its place in the seeded order; rows that repeat are documents of their own; an empty table gives an
 empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
-import json
 from collections import deque
 from collections.abc import Callable
 from itertools import accumulate
@@ -27,33 +29,62 @@ from pyspark.sql import functions as F
 
 from salesgrain.llm.shared import NOT_SPACE, Scratch, unused_name, whole_text
 
-MAX_PATTERNS = 50_000
 MAX_REPEATS = 3
 SEED = "mix-1"
 RANGE_DIGITS = 3  # hex digits of the seeded order that name a range: 4,096 ranges
 CYCLE = (1, 2, 3)
 
 
-def cycling_weights(n: int) -> list[float]:
-    return [float(CYCLE[i % len(CYCLE)]) for i in range(n)]
+def cycling_weight(place: Column) -> Column:
+    return F.get(F.array(*map(F.lit, CYCLE)), (place % len(CYCLE)).cast("int")).cast("double")
 
 
-def quotas(sizes: list[int], weights: list[float], total: int, max_repeats: int = MAX_REPEATS) -> list[float]:
-    """Shares of the total by weight; a share beyond max_repeats times its source stops there, and
-    what is left over goes to the others by weight, until none is above."""
-    out = [0.0] * len(sizes)
-    open_ = list(range(len(sizes)))
-    left = float(total)
-    while open_:
-        weight = sum(weights[i] for i in open_)
-        above = {i for i in open_ if left * weights[i] / weight > max_repeats * sizes[i]}
-        for i in above or open_:
-            out[i] = float(max_repeats * sizes[i]) if above else left * weights[i] / weight
-        if not above:
-            break
-        left -= sum(out[i] for i in above)
-        open_ = [i for i in open_ if i not in above]
-    return out
+def in_order(sources: DataFrame, scratch: Scratch) -> DataFrame:
+    """Sources with `place`, their number from 0 by code point, null last; counted range by range."""
+    numbered = scratch.stage(
+        "numbered", sources.orderBy(F.asc_nulls_last("source")).withColumn("id", F.monotonically_increasing_id())
+    )
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task of the sort
+    rows = numbered.withColumn("range", F.shiftright("id", 33))
+    ranges = rows.groupBy("range").agg(F.count("*").alias("n")).select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"))
+    place = F.col("n") + F.col("id") - F.shiftleft("range", 33)
+    return rows.join(ranges, "range").withColumn("place", place).drop("id", "range", "n")
+
+
+def with_targets(sources: DataFrame, total: int, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """Sources(source_size, weight, ...) with `target`, their share of the total by weight; a share beyond
+    max_repeats times its source stops there, and what is left over goes to the others by weight, until
+    none is above. Each round is one pair of sums over the sources."""
+    limit = F.col("source_size") * max_repeats
+    open_weight = sources.agg(F.sum("weight")).first()[0]
+    left, stopped = total, 0
+    while open_weight:
+        share = F.lit(float(left)) * F.col("weight") / F.lit(float(open_weight))
+        above = share > limit
+        n, limits, weight = sources.agg(
+            F.count_if(above), F.sum(F.when(above, limit)), F.sum(F.when(~above, F.col("weight")))
+        ).first()
+        if n == stopped:
+            return sources.withColumn("target", F.when(above, limit.cast("double")).otherwise(share))
+        left, open_weight, stopped = total - limits, weight, n
+    return sources.withColumn("target", limit.cast("double"))
+
+
+def components(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """For members(pattern, place): the place of each source and its component, the least place it is linked to."""
+    labels, changed, turn = members.select("place", F.col("place").alias("component")).distinct(), not members.isEmpty(), 0
+    while changed:
+        least = members.join(labels, "place").groupBy("pattern").agg(F.min("component").alias("component"))
+        lower = scratch.stage(
+            f"lower-{turn}", members.join(least, "pattern").groupBy("place").agg(F.min("component").alias("component"))
+        )
+        # a component is a place itself: to its own component at once, so chains shorten by half a round
+        further = lower.select(F.col("place").alias("component"), F.col("component").alias("further"))
+        now = scratch.stage(f"labels-{turn}", lower.join(further, "component").select("place", F.col("further").alias("component")))
+        before = labels.withColumnRenamed("component", "before")
+        changed = not now.join(before, "place").filter("component <> before").isEmpty()
+        labels, turn = now, turn + 1
+    return labels
 
 
 class Flow:
@@ -111,58 +142,81 @@ class Flow:
         return amount
 
 
-SOURCES = "source string, source_size long, target double"
-RECIPE = "pattern string, capacity long, sent long, parts array<struct<first:bigint,last:bigint,source:string>>"
+RECIPE = (
+    "array<struct<pattern:string,capacity:bigint,sent:bigint,parts:array<struct<first:bigint,last:bigint,source:string>>>>"
+)
 
 
-def by_name(source: str | None) -> tuple[bool, bytes]:
-    return (source is None, (source or "").encode())
+def solved(patterns: list, max_repeats: int) -> list[tuple]:
+    """The recipe of one component: of each pattern the words sent in all, and the stretch of each source."""
+    patterns = sorted(patterns, key=lambda p: p["pattern"])
+    sources = {m["place"]: m for p in patterns for m in p["members"]}
+    number = {place: i for i, place in enumerate(sorted(sources))}
+    listed = [sources[place] for place in number]
+    members = [sorted(number[m["place"]] for m in p["members"]) for p in patterns]
+    flow = Flow([p["capacity"] for p in patterns], members, [round(m["target"]) for m in listed], max_repeats)
+    recipe = []
+    for p, sent in zip(patterns, flow.sent):
+        ends = list(accumulate(sent[s] for s in sorted(sent)))
+        parts = [(end - sent[s], end, listed[s]["source"]) for s, end in zip(sorted(sent), ends)]
+        recipe.append((p["pattern"], p["capacity"], sum(sent.values()), parts))
+    return recipe
+
+
+def recipe_of(patterns: DataFrame, weight: Callable[[Column], Column], max_repeats: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """For patterns(pattern, members, capacity): the flow's recipe by pattern, and the sources with their targets."""
+    edges = patterns.select("pattern", "capacity", F.explode("members").alias("source"))
+    sized = edges.groupBy("source").agg(F.sum("capacity").alias("source_size"))
+    total = patterns.agg(F.sum("capacity")).first()[0] or 0  # a document of several sources counts once
+    weighed = scratch.stage("weighed", in_order(sized, scratch).withColumn("weight", weight(F.col("place"))))
+    sources = scratch.stage("sources", with_targets(weighed, total, max_repeats))
+    named = sources.select(F.col("source").alias("name"), "place", "target")
+    members = scratch.stage("members", edges.join(named, F.col("source").eqNullSafe(F.col("name"))).drop("name"))
+    shared = patterns.filter(F.size("members") > 1).select("pattern")
+    linked = components(members.join(shared, "pattern").select("pattern", "place"), scratch)
+    own = members.join(linked, "place", "left").withColumn("component", F.coalesce("component", "place"))
+    whole = own.groupBy("component", "pattern", "capacity").agg(F.collect_list(F.struct("place", "source", "target")).alias("members"))
+    problems = whole.groupBy("component").agg(F.collect_list(F.struct("pattern", "capacity", "members")).alias("patterns"))
+    solve = F.udf(lambda listed: solved(listed, max_repeats), RECIPE)
+    return scratch.stage("recipe", problems.select(F.inline(solve("patterns")))), sources.select("source", "source_size", "target")
 
 
 def mix(
     documents: DataFrame,
-    weights: Callable[[int], list[float]] = cycling_weights,
+    weight: Callable[[Column], Column] = cycling_weight,
     max_repeats: int = MAX_REPEATS,
     seed: str = SEED,
 ) -> tuple[DataFrame, DataFrame]:
-    """Mixes documents(doc_id, size, sources, ...), sources an array of names, null among them allowed.
+    """Mixes documents(doc_id, size, sources, ...), sources an array of names, null among them allowed; weight gives a source's
+    weight by its place among the sources in order of code points.
 
     Returns (copies, sources): copies has the columns of documents and `copies`, an array of the source
     of each copy taken; sources has source, source_size (of all its documents) and target.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "mix")
-    pattern = F.to_json(F.transform(F.array_sort(F.array_distinct("sources")), lambda s: F.struct(s.alias("s"))))
+    members = F.array_sort(F.array_distinct(F.coalesce("sources", F.array())))
+    pattern = F.to_json(F.transform(members, lambda s: F.struct(s.alias("s"))))
     docs = scratch.stage("documents", documents.withColumn("pattern", pattern))
-    listed = docs.groupBy("pattern").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
-    if len(listed) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns; group the sources first")
-
-    patterns = sorted((r["pattern"], [x.get("s") for x in json.loads(r["pattern"])], r["size"] or 0) for r in listed)
-    names = sorted({s for _, sources, _ in patterns for s in sources}, key=by_name)
-    sizes = [sum(size for _, sources, size in patterns if s in sources) for s in names]
-    targets = quotas(sizes, weights(len(names)), sum(size for *_, size in patterns), max_repeats)
-    members = [[names.index(s) for s in sources] for _, sources, _ in patterns]
-    flow = Flow([size for *_, size in patterns], members, [round(t) for t in targets], max_repeats)
-    recipe = []
-    for (key, _, size), sent in zip(patterns, flow.sent):
-        ends = list(accumulate(sent[s] for s in sorted(sent)))
-        parts = [(end - sent[s], end, names[s]) for s, end in zip(sorted(sent), ends)]
-        recipe.append((key, size, sum(sent.values()), parts))
-
-    plan = F.broadcast(spark.createDataFrame(recipe, RECIPE))  # at most MAX_PATTERNS rows
-    sources = spark.createDataFrame(list(zip(names, sizes, targets)), SOURCES)
+    patterns = scratch.stage(
+        "patterns",
+        docs.groupBy("pattern").agg(F.first("sources").alias("sources"), F.coalesce(F.sum("size"), F.lit(0)).alias("capacity"))
+        .select("pattern", members.alias("members"), "capacity"),
+    )
+    recipe, sources = recipe_of(patterns, weight, max_repeats, scratch)
     turn = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     seeded = docs.withColumn("turn", turn).withColumn("range", F.substring("turn", 1, RANGE_DIGITS))
     before = Window.partitionBy("pattern").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # the recipe meets a row for each pattern and range, never the documents of a large pattern in one task
     ranges = (
         seeded.groupBy("pattern", "range").agg(F.sum("size").alias("range_size"))
         .select("pattern", "range", F.coalesce(F.sum("range_size").over(before), F.lit(0)).alias("before"))
+        .join(recipe, "pattern", "left").fillna(0, ["capacity", "sent"])
     )
     within = Window.partitionBy("pattern", "range").orderBy("turn", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         seeded.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
-        .join(ranges, ["pattern", "range"]).join(plan, "pattern")
+        .join(ranges, ["pattern", "range"])
     )
     # twice the place of each copy's middle on the line of all passes, to stay in whole numbers
     middles = F.transform(
@@ -185,7 +239,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", words(whole_text()).alias("size"), F.array("source").alias("sources"))
     copies, sources = mix(rows)
     copies = copies.select("doc_id", "size", F.col("sources")[0].alias("from"), F.size("copies").alias("n"))
-    return copies.join(F.broadcast(sources), F.col("from").eqNullSafe(F.col("source"))).select(
+    return copies.join(sources, F.col("from").eqNullSafe(F.col("source"))).select(
         "doc_id", "size", "source", "source_size", "target", (F.col("n") * F.col("size")).cast("long").alias("taken")
     )
 

@@ -48,3 +48,18 @@ def multiset(rows) -> dict:
     for row in rows:
         out[tuple(row)] = out.get(tuple(row), 0) + 1
     return out
+
+
+def quotas(sizes: list[int], weights: list[float], total: int, max_repeats: int = 3) -> list[float]:
+    """Shares of the total by weight, list by list: what is above its limit stops there, the excess is shared again."""
+    out, open_, left = [0.0] * len(sizes), list(range(len(sizes))), float(total)
+    while open_:
+        weight = sum(weights[i] for i in open_)
+        above = {i for i in open_ if left * weights[i] / weight > max_repeats * sizes[i]}
+        for i in above or open_:
+            out[i] = float(max_repeats * sizes[i]) if above else left * weights[i] / weight
+        if not above:
+            break
+        left -= sum(out[i] for i in above)
+        open_ = [i for i in open_ if i not in above]
+    return out

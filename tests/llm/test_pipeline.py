@@ -8,7 +8,7 @@ from collections import defaultdict
 import corpus_pipeline
 import numpy as np
 import pytest
-from corpus_rows import SCHEMA, frame, hard_texts, prose
+from corpus_rows import SCHEMA, frame, hard_texts, prose, quotas
 from test_decontaminate import local_score
 from test_jaccard_join import brute_force as near_brute_force
 from test_jaccard_join import near
@@ -69,7 +69,7 @@ def test_run_against_plain_python(spark):
         by_source[s].append(d)
     names = sorted(by_source)
     totals = [sum(sizes[d] for d in by_source[s]) for s in names]
-    for s, total, target in zip(names, totals, sm.quotas(totals, sm.cycling_weights(len(names)), sum(totals))):
+    for s, total, target in zip(names, totals, quotas(totals, [1.0 + i % 3 for i in range(len(names))], sum(totals))):
         mixed = sum(sizes[d] * taken.get(d, 0) for d in by_source[s])
         assert abs(mixed - target) <= max(sizes[d] for d in by_source[s]) / 2 + 1
     assert all(1 <= c <= sm.MAX_REPEATS for c in taken.values())
