@@ -6,9 +6,11 @@ count, so documents are cut down to these words and their places once, and that
 Their counts over all documents give the global order, rarest first. By the threshold, a block that meets
 a template shares one of the template's first words in that order (prefix filter), holds enough
 template words at all (length filter), and has enough of them from the shared word on (positional
-filter). What is left is compared exactly.
+filter). What is left is compared exactly. A block that lacks a template's required words, those that name
+the license, its version or its terms, doesn't meet it; and of templates of one family, a block meets those it
+has most words of, so a name that holds another one's words counts alone.
 
-Templates and the order of their words are a fixed list in this module, so joins with them are
+Templates and the order of their words are a short list, an argument, so joins with them are
 broadcast; nothing that grows with the corpus is.
 
 Defined cases: a null text counts as empty, with no words and a score of 0; every row gets its own
@@ -20,8 +22,9 @@ from __future__ import annotations
 
 import math
 import re
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesgrain.llm.shared import Scratch, ascii_lower, text_key, whole_text
@@ -34,26 +37,49 @@ PHRASES = {
     "cc-by-nc": "cc by nc",
 }
 
-# fixed values: opening or granting sentences of public licenses
+# fixed values: family, label, required words, and opening or granting sentence of public licenses
 TEMPLATES = (
-    ("mit", "Released under the MIT License"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-            "associated documentation files, to deal in the Software without restriction"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0"),
-    ("apache-2", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl-3", "it under the terms of the GNU General Public License as published by the Free Software Foundation, "
-              "either version 3 of the License, or any later version"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-            "that the following conditions are met"),
-    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
-    ("cc0", "the person who associated a work with this deed has dedicated the work to the public domain"),
-    ("unlicense", "This is free and unencumbered software released into the public domain"),
-    ("reserved", "No part of this publication may be reproduced, distributed, or transmitted in any form without the "
-                 "prior written permission of the publisher"),
+    ("mit", "mit", "mit", "Released under the MIT License"),
+    ("mit", "mit", "permission hereby granted charge software",
+     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+     "associated documentation files, to deal in the Software without restriction"),
+    ("apache", "apache-2", "apache 2", "Licensed under the Apache License, Version 2.0"),
+    ("apache", "apache-2", "file compliance obtain",
+     "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("gnu", "gpl-2", "gnu general public 2", "This work is licensed under the GNU General Public License, version 2"),
+    ("gnu", "gpl-2", "gnu general public 2",
+     "it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+     "either version 2 of the License, or any later version"),
+    ("gnu", "gpl-3", "gnu general public 3", "This work is licensed under the GNU General Public License, version 3"),
+    ("gnu", "gpl-3", "gnu general public 3",
+     "it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+     "either version 3 of the License, or any later version"),
+    ("gnu", "lgpl-2", "gnu lesser general public 2",
+     "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, "
+     "either version 2.1 of the License, or any later version"),
+    ("gnu", "lgpl-3", "gnu lesser general public 3",
+     "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, "
+     "either version 3 of the License, or any later version"),
+    ("gnu", "agpl-3", "gnu affero general public 3",
+     "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+     "either version 3 of the License, or any later version"),
+    ("bsd", "bsd", "redistribution source binary conditions",
+     "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+     "that the following conditions are met"),
+    ("mpl", "mpl-2", "mozilla 2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("cc", "cc-by", "creative commons attribution",
+     "licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc", "cc-by-nc", "creative commons attribution noncommercial",
+     "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("cc", "cc-by-sa", "creative commons attribution sharealike",
+     "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc", "cc-by-nc-sa", "creative commons attribution noncommercial sharealike",
+     "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("cc0", "cc0", "dedicated public domain", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("unlicense", "unlicense", "unencumbered domain", "This is free and unencumbered software released into the public domain"),
+    ("reserved", "reserved", "reproduced permission publisher",
+     "No part of this publication may be reproduced, distributed, or transmitted in any form without the "
+     "prior written permission of the publisher"),
 )
 
 THRESHOLD = 0.8
@@ -61,12 +87,19 @@ BLOCK_WORDS = 64
 STEP = BLOCK_WORDS // 2
 TEMPLATE_WORD = re.compile(r"[0-9a-z]+")
 
-Template = tuple[int, str, list[str]]
+
+class Template(NamedTuple):
+    number: int
+    family: str
+    label: str
+    words: list[str]
+    required: list[str]
 
 
 def template_sets(templates=TEMPLATES) -> list[Template]:
-    """Number, label and distinct words of each template."""
-    return [(i, label, sorted(set(TEMPLATE_WORD.findall(text.lower())))) for i, (label, text) in enumerate(templates)]
+    """Distinct and required words of each (family, label, required words, text)."""
+    words = lambda text: sorted(set(TEMPLATE_WORD.findall(text.lower())))
+    return [Template(i, family, label, words(text), words(required)) for i, (family, label, required, text) in enumerate(templates)]
 
 
 def least_overlap(n_words: int, threshold: float) -> int:
@@ -99,20 +132,21 @@ def phrase_places(hits: Column, phrase: str) -> Column:
 
 
 def template_matches(rows: DataFrame, templates: list[Template], threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, row, label and containment of each (block, template) pair that meets the threshold."""
+    """doc_id, row, label and containment of each (block, template) pair that meets the threshold and has the
+    template's required words, the pairs of most overlap of each block and family."""
     spark = rows.sparkSession
     counted = rows.select(F.explode("hits.word").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     counts = {r["word"]: r["n"] for r in counted.collect()}  # at most the vocabulary
-    vocabulary = sorted({w for _, _, words in templates for w in words}, key=lambda w: (counts.get(w, 0), w))
+    vocabulary = sorted({w for t in templates for w in t.words}, key=lambda w: (counts.get(w, 0), w))
     rank = {w: i for i, w in enumerate(vocabulary)}
 
     prefixes, sets = [], []
-    for number, label, words in templates:
-        ordered, least = sorted(rank[w] for w in words), least_overlap(len(words), threshold)
-        sets.append((number, label, ordered, least))
-        prefixes += [(r, number, i, len(words), least) for i, r in enumerate(ordered[: len(words) - least + 1])]
+    for t in templates:
+        ordered, least = sorted(rank[w] for w in t.words), least_overlap(len(t.words), threshold)
+        sets.append((t.number, t.family, t.label, ordered, [rank[w] for w in t.required], least))
+        prefixes += [(r, t.number, i, len(ordered), least) for i, r in enumerate(ordered[: len(ordered) - least + 1])]
     index = spark.createDataFrame(prefixes, "word int, template int, t_at int, t_size int, least int")
-    whole = spark.createDataFrame(sets, "template int, label string, t_words array<int>, least int")
+    whole = spark.createDataFrame(sets, "template int, family string, label string, t_words array<int>, required array<int>, least int")
 
     first_words = [vocabulary[r] for r in sorted({p[0] for p in prefixes})]
     seeds = F.filter("hits", lambda x: x["word"].isin(first_words))
@@ -139,15 +173,21 @@ def template_matches(rows: DataFrame, templates: list[Template], threshold: floa
         F.size(F.array_intersect(F.slice("b_words", F.lit(1), F.col("b_at")), "t_words")) == 0
     )
     overlap = F.size(F.array_intersect("b_words", "t_words"))
-    return compared.withColumn("overlap", overlap).filter(F.col("overlap") >= F.col("least")).select(
+    has_required = F.size(F.array_except("required", "b_words")) == 0
+    met = compared.withColumn("overlap", overlap).filter((F.col("overlap") >= F.col("least")) & has_required)
+    most = F.max("overlap").over(Window.partitionBy("doc_id", "row", "window", "family"))
+    return met.withColumn("most", most).filter("overlap = most").select(
         "doc_id", "row", "label", (F.col("overlap") / F.col("t_size")).alias("containment")
     )
 
 
-def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score for each row of docs."""
-    templates = template_sets()
-    vocabulary = sorted({w for _, _, words in templates for w in words} | {w for p in PHRASES.values() for w in p.split()})
+def scan_licenses(docs: DataFrame, texts=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score for each row of docs.
+
+    texts are (family, label, required words, text), the required words words of the text.
+    """
+    templates = template_sets(texts)
+    vocabulary = sorted({w for t in templates for w in t.words} | {w for p in PHRASES.values() for w in p.split()})
     scratch = Scratch(docs.sparkSession, "license-scan")
     rows = scratch.stage("words", template_words(docs, vocabulary))
     met = (

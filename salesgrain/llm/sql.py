@@ -111,7 +111,7 @@ select d.doc_id, count(*) filter (rank = 0) as n_assign, count(*) filter (rank =
 from docs d left join spans s on d.doc_id = s.doc_id group by d.doc_id
 """
 
-_TEMPLATES = ", ".join(f"({n}, '{label}', {words})" for n, label, words in lic.template_sets())
+_TEMPLATES = ", ".join(f"({t.number}, '{t.family}', '{t.label}', {t.words}, {t.required})" for t in lic.template_sets())
 _AT = {
     label: " and ".join(f"list_extract(ws, i::int + {k}) = '{word}'" for k, word in enumerate(phrase.split()))
     for label, phrase in lic.PHRASES.items()
@@ -127,14 +127,16 @@ with words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '{lic.WORD}') as ws from documents),
 places as ({_PLACES}),
-templates(template, label, t_words) as (values {_TEMPLATES}),
+templates(template, family, label, t_words, required) as (values {_TEMPLATES}),
 blocks as (
-  select doc_id, list_distinct(ws[b * {lic.STEP} + 1 : b * {lic.STEP} + {lic.BLOCK_WORDS}]) as b_words
+  select doc_id, b, list_distinct(ws[b * {lic.STEP} + 1 : b * {lic.STEP} + {lic.BLOCK_WORDS}]) as b_words
   from (select doc_id, ws, unnest(generate_series(0, greatest(len(ws) - 1, 0) // {lic.STEP})) as b from words)),
 shared as (
-  select b.doc_id, t.label, len(list_intersect(b.b_words, t.t_words)) as overlap, len(t.t_words) as size
-  from blocks b, templates t),
-met as (select doc_id, label, overlap / size as containment from shared where overlap >= ceil(round({lic.THRESHOLD} * size, 9))),
+  select b.doc_id, b.b, t.family, t.label, len(list_intersect(b.b_words, t.t_words)) as overlap, len(t.t_words) as size
+  from blocks b, templates t where list_has_all(b.b_words, t.required)),
+met as (
+  select doc_id, label, overlap / size as containment from shared where overlap >= ceil(round({lic.THRESHOLD} * size, 9))
+  qualify overlap = max(overlap) over (partition by doc_id, b, family)),
 base as (
   select doc_id, count(*) as n_base, min(place) as first_word, max(place) as last_word,
     string_agg(distinct label, ',' order by label) as base_labels

@@ -17,10 +17,11 @@ def brute_force(rows):
         met: dict[str, float] = {}
         for b in range(0, max(1, len(ws)), lic.STEP):
             block = set(ws[b : b + lic.BLOCK_WORDS])
-            for _, label, own in templates:
-                share = len(block & set(own)) / len(own)
-                if share >= lic.THRESHOLD - 1e-12:
-                    met[label] = max(met.get(label, 0), share)
+            shared = [(t, len(block & set(t.words))) for t in templates if set(t.required) <= block]
+            shared = [(t, n) for t, n in shared if n / len(t.words) >= lic.THRESHOLD - 1e-12]
+            for t, n in shared:
+                if n == max(m for other, m in shared if other.family == t.family):
+                    met[t.label] = max(met.get(t.label, 0), n / len(t.words))
         base = {label for _, label in places}
         out.append((
             d, len(ws), len(places), min((i for i, _ in places), default=None), max((i for i, _ in places), default=None),
@@ -30,7 +31,7 @@ def brute_force(rows):
 
 
 def test_hard_rows_and_licenses(spark):
-    sentence = [text for _, text in lic.TEMPLATES]
+    sentence = [text for *_, text in lic.TEMPLATES]
     rows = hard_texts() + [(50 + i, prose(i, 30 + 7 * i) + "\n# " + s.replace(" ", "\n# ", 9) + prose(i + 99, 40), "s") for i, s in enumerate(sentence)]
     rows += [
         (80, "UNDER the MIT-license; under the mit license under the mit", "s"), (81, "Apache License, Version 2.0 cc-by-nc CC BY NC", "s"),
@@ -39,6 +40,29 @@ def test_hard_rows_and_licenses(spark):
     assert multiset(lic.scan_licenses(frame(spark, rows)).collect()) == brute_force(rows)
 
 
+def test_each_license_is_named_alone(spark):
+    cases = [(label, text) for _, label, _, text in lic.TEMPLATES]
+    cases += [
+        ("", "Released under the GPL License"), ("", "my notes are released under the terms of the old license"),
+        ("", "Licensed under the Example License, Version 2.0"), ("", "all of this work is licensed under the General License, version 3"),
+        ("gpl-2", "You can use it under the terms of the GNU General Public License as published by the Free Software Foundation; "
+                  "version 2 of the License, or any later version, either way"),
+        ("lgpl-2", "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; "
+                   "either version 2.1 of the License, or (at your option) any later version"),
+        ("mit", "Released under the MIT license"), ("cc-by", "published under a Creative Commons Attribution 4.0 International License"),
+    ]
+    rows = [(i, f"{prose(i, 70)}\n{text}.\n{prose(i + 500, 70)}", "s") for i, (_, text) in enumerate(cases)]
+    got = {r["doc_id"]: r["labels"] for r in lic.scan_licenses(frame(spark, rows)).collect()}
+    assert got == {i: label for i, (label, _) in enumerate(cases)}
+    own = (("x", "mine", "zebra", "the zebra license of this house"),)
+    other = lic.scan_licenses(frame(spark, [(1, "see the zebra license of our house", "s"), (2, rows[0][1], "s")]), own)
+    assert {r["doc_id"]: r["labels"] for r in other.collect()} == {1: "mine", 2: "mit"}
+
+
+def test_required_words_are_words_of_their_template():
+    assert all(t.required and set(t.required) <= set(t.words) for t in lic.template_sets())
+
+
 def test_empty_table(spark):
     assert lic.scan_licenses(spark.createDataFrame([], SCHEMA)).collect() == []
 
