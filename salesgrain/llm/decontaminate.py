@@ -11,8 +11,8 @@ Counts decide the cost alone: an item's seeds find all its copies, be they rare
 Items are matched in slices of at most SLICE_ITEMS, the only thing tasks hold besides their own rows;
 a larger benchmark means further passes over the documents.
 
-Defined cases: a null text has no words and no leak; items of fewer than SEED_WORDS words identify
-nothing and are not searched; repeated items are reported each; repeated rows and null doc_ids are
+Defined cases: a null text has no words and no leak; items of fewer than RUN_WORDS words are searched
+as whole runs, as an edit would leave nothing that is theirs; items without a word have no copies; repeated items are reported each; repeated rows and null doc_ids are
 reported each; an empty table on either side gives an empty result; further columns are ignored.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from salesgrain.llm.shared import Scratch, unused_name
 from salesgrain.llm.words import words_of
 
-SEED_WORDS = 3
+RUN_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, 1
 MIN_SCORE = 0.6
 SLICE_ITEMS = 10_000
@@ -71,10 +71,11 @@ class Items:
 
     def __init__(self, items: list[tuple[int, np.ndarray]], counts: dict[int, int], min_score: float):
         self.items = items
-        self.min_score = min_score
-        self.needed = np.array([matches_needed(len(words), min_score) for _, words in items], dtype=np.int64)
+        self.min_scores = [min_score if len(words) >= RUN_WORDS else 1.0 for _, words in items]
+        sized = [(len(words), score) for (_, words), score in zip(items, self.min_scores)]
+        self.needed = np.array([matches_needed(n, score) for n, score in sized], dtype=np.int64)
         self.hits = -(-self.needed // 3)
-        self.reach = np.array([reach_of(len(words), min_score) for _, words in items], dtype=np.int64)
+        self.reach = np.array([reach_of(n, score) for n, score in sized], dtype=np.int64)
         seeds: dict[int, list[int]] = {}
         for number, (_, words) in enumerate(items):
             rarest = sorted(words.tolist(), key=lambda code: (counts.get(code, 0), code))
@@ -153,7 +154,7 @@ class Items:
         low, window = low + int(full[0]), window[full[0] : full[-1] + reach]
         points, end = align(item, window)
         score = points / (MATCH * len(item))
-        if score < self.min_score:
+        if score < self.min_scores[number]:
             return None
         _, back = align(item[::-1], window[:end][::-1])
         return item_id, score, low + end - back, low + end - 1
@@ -182,7 +183,7 @@ def word_counts(docs: DataFrame, codes: np.ndarray) -> dict[int, int]:
 
 
 def item_slices(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """The searchable items, at most SLICE_ITEMS at a time."""
+    """The items that have words, at most SLICE_ITEMS at a time."""
     scratch = Scratch(benchmark.sparkSession, "benchmark")
     items = scratch.stage("items", benchmark.select("item_id", "text"))
     slices = max(1, -(-items.count() // (SLICE_ITEMS // 2)))  # half full on average: hashing is uneven
@@ -190,7 +191,7 @@ def item_slices(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
     for number in range(slices):
         rows = items.filter(part == number).orderBy("item_id", "text").collect()
         listed = [(r["item_id"], words_of(r["text"])[0]) for r in rows]
-        yield [(item_id, words) for item_id, words in listed if len(words) >= SEED_WORDS]
+        yield [(item_id, words) for item_id, words in listed if len(words)]
 
 
 def choose_seeds(docs: DataFrame, items: list[tuple[int, np.ndarray]], min_score: float) -> Items:

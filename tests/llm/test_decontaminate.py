@@ -52,9 +52,9 @@ def test_leaks_against_brute_force(spark):
     for d, t, _ in rows:
         for item_id, text in items:
             own = words(text)
-            if len(own) >= dec.SEED_WORDS:
+            if own:
                 score = local_score(own, words(t)) / (dec.MATCH * len(own))
-                if score >= dec.MIN_SCORE:
+                if score >= (dec.MIN_SCORE if len(own) >= dec.RUN_WORDS else 1):
                     want[d, item_id] = score
     assert set(got) == set(want)
     assert all(abs(got[k]["score"] - want[k]) < 1e-9 for k in want)
@@ -104,6 +104,15 @@ def test_one_block_of_added_words(spark):
     assert all(r["item_id"] == i and r["last_word"] - r["first_word"] + 1 == sum(cases[i]) for i, r in got.items())
 
 
+def test_items_of_one_and_two_words_are_whole_runs(spark):
+    items = [(1, "Zebra!"), (2, "quiet harbour"), (3, "..."), (4, "again again")]
+    texts = ["a zebra, a quiet harbour", "quiet, old harbour", "harbour quiet", "zebras again", "zebra again again again ZEBRA", "", None]
+    got = dec.find_leaks(frame(spark, [(i, t, "s") for i, t in enumerate(texts)]), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r["doc_id"], r["item_id"], r["score"], r["first_word"], r["last_word"]) for r in got.collect()) == [
+        (0, 1, 1.0, 1, 1), (0, 2, 1.0, 3, 4), (4, 1, 1.0, 0, 0), (4, 4, 1.0, 1, 2),
+    ]
+
+
 def test_several_slices_find_the_same(spark, monkeypatch):
     items = [(i, prose(900 + i, 30)) for i in range(12)]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
