@@ -2,8 +2,8 @@
 
 Entries of the index are (hash of the text, digest, doc_id). Distinct hashes fill buckets; a bucket
 with more hashes than its capacity is split by one more bit, and where it already uses all bits of
-the directory, the directory doubles. Equal hashes cannot be split: they chain in their bucket, and
-the bytes of the chained texts are compared.
+the directory, the directory doubles. Equal hashes cannot be split: they chain in their bucket. The
+directory routes the chained texts to the task that owns their bucket, and there their bytes are compared.
 
 Defined cases: a null text counts as empty; rows that repeat a doc_id with the same text are one
 group, of which a single row is kept; a null doc_id ranks below all others; an empty table gives
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from salesgrain.llm.shared import Scratch, text_key, unused_name, whole_text
 
 BUCKET_CAPACITY = 16_384
+# a hash of more rows than this is spread over several tasks before its bucket's owner gets it
+ROWS_A_TASK = 100_000
 
 
 def digest(text: Column) -> Column:
@@ -62,10 +64,50 @@ def build_directory(keys: DataFrame, scratch: Scratch, capacity: int) -> tuple[D
     return pointers, depth
 
 
-def exact_groups(docs: DataFrame, capacity: int = BUCKET_CAPACITY) -> DataFrame:
+def chained_texts(
+    texts: DataFrame, keys: DataFrame, pointers: DataFrame, depth: int, scratch: Scratch, rows_a_task: int = ROWS_A_TASK
+) -> DataFrame:
+    """Distinct texts(doc_id, text, key) of hashes that occur twice, with bucket, n and max_id.
+
+    Texts are grouped before they travel to their bucket. A frequent hash is dealt to several tasks for
+    that: of hashes with more than 1 / rows_a_task of all rows there are at most rows_a_task, which bounds
+    the table that is broadcast, and every other hash fits a task.
+    """
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    share = max(rows_a_task, math.ceil(total / rows_a_task))
+    fan = F.ceil(F.col("n") / share).cast("int")
+    chained = scratch.stage(
+        "chained",
+        keys.filter("n > 1").withColumn("slot", slot(F.col("key"), depth)).join(pointers, "slot")
+        .select("bucket", "key", fan.alias("fan")),
+    )
+    frequent = chained.filter("fan > 1").select("key", "fan")
+    dealt = texts.withColumn("turn", F.monotonically_increasing_id()).join(F.broadcast(frequent), "key", "left").select(
+        "doc_id", "text", "key", F.coalesce(F.pmod("turn", "fan"), F.lit(0)).cast("int").alias("part")
+    )
+    parts = chained.select("bucket", "key", F.explode(F.sequence(F.lit(0), F.col("fan") - 1)).alias("part"))
+    return (
+        dealt.join(parts, ["key", "part"])
+        .groupBy("bucket", "key", "part", "text").agg(F.count("*").alias("n"), F.max("doc_id").alias("max_id"))
+        .select("bucket", "key", "text", "n", "max_id")
+    )
+
+
+def compared_in_buckets(chains: DataFrame) -> DataFrame:
+    """bucket, key, sha, group_size, keep_id of equal texts; whoever owns a bucket compares its bytes."""
+    owned = chains.repartition("bucket")
+    return (
+        owned.groupBy("bucket", "key", "text")
+        .agg(F.sum("n").alias("group_size"), F.max("max_id").alias("keep_id"))
+        .filter("group_size > 1")
+        .select("bucket", "key", digest(F.col("text")).alias("sha"), "group_size", "keep_id")
+    )
+
+
+def exact_groups(docs: DataFrame, capacity: int = BUCKET_CAPACITY, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
     """For each row of docs(doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
 
-    Texts travel only for hashes that occur more than once, each distinct text once per task.
+    Texts travel only for hashes that occur more than once.
     """
     scratch = Scratch(docs.sparkSession, "exact-dedup")
     texts = docs.select("doc_id", whole_text().alias("text")).withColumn("key", text_key(F.col("text")))
@@ -75,21 +117,8 @@ def exact_groups(docs: DataFrame, capacity: int = BUCKET_CAPACITY) -> DataFrame:
     )
     keys = scratch.stage("keys", entries.groupBy("key").agg(F.count("*").alias("n")))
     pointers, depth = build_directory(keys, scratch, capacity)
-
-    # owners take the buckets with chained entries, by key range
-    chained = scratch.stage(
-        "chained",
-        keys.filter("n > 1").withColumn("slot", slot(F.col("key"), depth)).join(pointers, "slot")
-        .select("bucket", "key").repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key"),
-    )
-    compared = (
-        texts.join(chained, "key")
-        .groupBy("bucket", "key", "text")
-        .agg(F.count("*").alias("group_size"), F.max("doc_id").alias("keep_id"))
-        .filter("group_size > 1")
-        .select("key", digest(F.col("text")).alias("sha"), "group_size", "keep_id")
-    )
-    groups = scratch.stage("groups", compared)
+    chains = chained_texts(texts, keys, pointers, depth, scratch, rows_a_task)
+    groups = scratch.stage("groups", compared_in_buckets(chains).drop("bucket"))
     holders = (
         entries.join(groups, ["key", "sha"]).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .groupBy("key", "sha").agg(F.min("entry").alias("keep_entry"))
