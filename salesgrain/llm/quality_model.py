@@ -4,11 +4,13 @@ Statistics are counts and ratios over a whole text. Trees are complete to a fixe
 level on histograms of binned features with logistic loss, and kept as three arrays (feature, threshold,
 leaf value), which whole batches of rows traverse at once.
 
-The model is fitted on at most MAX_TRAINING_ROWS labelled rows, those with the least hash of doc_id. The bound
-holds for fitting only: statistics and scores cover every row. Labels are the only other input.
+The model is fitted on at most MAX_TRAINING_ROWS labelled doc_ids, those with the least hash. The bound is
+found from counts of hashes, so rows beyond it never meet. It holds for fitting only: statistics and scores
+cover every row. Labels are the only other input.
 
 Defined cases: a null text counts as empty, an empty one has all statistics 0 and a score; labels that
-are null are left out, and of several for one doc_id the least counts; a null doc_id is held out; without
+are null are left out, and of several for one doc_id the least counts; a null doc_id is held out; of rows
+that repeat a doc_id the one with the least statistics trains; without
 a label of either kind every score is the share of label 1 (1.0 without any label); repeated rows each get
 their own result row; an empty table gives an empty result; further columns are ignored.
 """
@@ -150,17 +152,43 @@ def fold(doc_id: str) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(HELD_OUT_FOLDS))
 
 
-def train(described: DataFrame, labels: DataFrame) -> Trees:
-    """Fits on the labelled rows of described(doc_id, statistics) that are not held out."""
-    known = labels.filter("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = (
-        described.filter(fold("doc_id") != 0).join(known, "doc_id")
-        .select("statistics", F.col("quality").cast("double").alias("quality"), F.xxhash64("doc_id").alias("turn"), "doc_id")
-        .orderBy("turn", "doc_id", "statistics").limit(MAX_TRAINING_ROWS).select("statistics", "quality").toPandas()
+def least_hashes(ids: DataFrame, limit: int, bits: int = 16) -> Column | None:
+    """A test of doc_id that holds for the limit least hashes of ids(doc_id), distinct ones, and hardly more.
+
+    The hash is cut twice, each time at one of 2^bits counted steps; None where all ids are within the limit.
+    """
+    if ids.count() <= limit:
+        return None
+    turn = F.xxhash64("doc_id")
+    step, found, left = turn, ids, limit
+    for level in (1, 2):
+        step = F.shiftright(turn, 64 - level * bits)
+        for row in found.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy("step").collect():  # 2^bits at most
+            if row["n"] >= left:
+                break
+            left -= row["n"]
+        found, last = found.filter(step == row["step"]), row["step"]
+    return step <= last
+
+
+def train(rows: DataFrame, labels: DataFrame, described: Column, limit: int = MAX_TRAINING_ROWS) -> Trees:
+    """Fits on the labelled rows(doc_id, ...) that are not held out; described gives a row's statistics."""
+    known = (
+        labels.filter(F.col("quality").isNotNull() & (fold("doc_id") != 0))
+        .groupBy("doc_id").agg(F.min("quality").cast("double").alias("quality"))
     )
-    if not len(rows):
+    if known.count() > limit:
+        within = least_hashes(known.join(rows.select("doc_id"), "doc_id", "left_semi").select("doc_id"), limit)
+        if within is not None:
+            known, rows = known.filter(within), rows.filter(within)
+    chosen = (
+        rows.join(known, "doc_id").select("doc_id", "quality", described.alias("statistics"))
+        .groupBy("doc_id", "quality").agg(F.min("statistics").alias("statistics"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).select("statistics", "quality").toPandas()
+    )
+    if not len(chosen):
         return fit(np.zeros((0, len(STATISTICS))), np.zeros(0))
-    return fit(np.stack(rows["statistics"]).astype(float), rows["quality"].to_numpy())
+    return fit(np.stack(chosen["statistics"]).astype(float), chosen["quality"].to_numpy())
 
 
 def scorer(trees: Trees):
@@ -179,13 +207,14 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted for each row of docs(doc_id, text)."""
     scratch = Scratch(docs.sparkSession, "quality")
     described = scratch.stage("statistics", docs.select("doc_id", statistics_of(whole_text()).alias("statistics")))
-    score = scorer(train(described, labels))
+    score = scorer(train(described, labels, F.col("statistics")))
     scored = described.select("doc_id", (fold("doc_id") == 0).alias("held_out"), score("statistics").alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= ACCEPTED, 1).otherwise(0))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that the classifier accepts, with all their columns."""
-    score = scorer(train(docs.select("doc_id", statistics_of(whole_text()).alias("statistics")), labels))
+    texts = docs.select("doc_id", whole_text().alias("text"))
+    score = scorer(train(texts, labels, statistics_of(F.col("text"))))
     name = unused_name(docs, "score")
     return docs.withColumn(name, score(statistics_of(whole_text(docs["text"])))).filter(F.col(name) >= ACCEPTED).drop(name)
