@@ -129,20 +129,22 @@ def repeated_lines(
     cuts = lines.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)
     store = LineRuns(scratch, fanout)
     batch = batch_of(F.col("doc_id"), cuts)
-    counts = None
-    for number in range(len(set(cuts)) + 1):
-        once = lines.filter(batch == number).select(*HASH, "doc_id").distinct()
-        keys = scratch.stage(
-            f"keys-{number}",
-            once.groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keep_id")),
-        )
-        store.add(keys)
-        store.compact()
-        tally = keys.select(*HASH, "n_docs")
-        counts = tally if counts is None else counts.unionByName(tally)
-    often = counts.groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs")).filter(F.col("n_docs") >= min_documents)
-    often = scratch.stage("often", often.join(store.all().select(*HASH, "keep_id"), HASH))
-    store.close()
+    try:
+        counts = None
+        for number in range(len(set(cuts)) + 1):
+            once = lines.filter(batch == number).select(*HASH, "doc_id").distinct()
+            keys = scratch.stage(
+                f"keys-{number}",
+                once.groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keep_id")),
+            )
+            store.add(keys)
+            store.compact()
+            tally = keys.select(*HASH, "n_docs")
+            counts = tally if counts is None else counts.unionByName(tally)
+        often = counts.groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs")).filter(F.col("n_docs") >= min_documents)
+        often = scratch.stage("often", often.join(store.all().select(*HASH, "keep_id"), HASH))
+    finally:  # the runs are tables of the catalog, which would stay
+        store.close()
     return lines.join(often, HASH).filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("doc_id", "row", "line_no")
 
 
