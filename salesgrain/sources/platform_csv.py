@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,7 @@ from salesgrain.functions import text
 from salesgrain.functions.times import wall_clock
 from salesgrain.params import Rules
 from salesgrain.plans.staging import commit, new_run_id, numbered, read_line, remove, side_by_side
+from salesgrain.sources.csv_records import QUOTED_CELL, Keep, csv_records, lazily
 from salesgrain.sources.relations import SCHEMAS
 
 CSV_NAMES = "*.[cC][sS][vV]"
@@ -21,20 +22,9 @@ MONTH = "_ym"
 
 
 # ---- S2, S3: find files, recognise them ---------------------------------------------------
-def _reader(spark: SparkSession, folder: str, width: int) -> DataFrame:
-    """Records with `width` cells; `raw` is the text of each record that has another number of fields."""
-    cells = ", ".join(f"c{i} string" for i in range(width))
-    return (
-        spark.read.schema(f"{cells}, raw string")
-        .option("recursiveFileLookup", True).option("pathGlobFilter", CSV_NAMES)
-        .option("multiLine", True).option("escape", '"').option("columnNameOfCorruptRecord", "raw")
-        .csv(folder)
-    )
-
-
 def _n_fields(raw: Column) -> Column:
-    """Fields of a record's text; a record that fits its schema has no text."""
-    unquoted = F.regexp_replace(F.coalesce(raw, F.lit("")), '"[^"]*"', "")
+    """Fields of a record's text."""
+    unquoted = F.regexp_replace(raw, QUOTED_CELL, "")
     return F.length(F.regexp_replace(unquoted, "[^,]", "")) + 1
 
 
@@ -43,28 +33,27 @@ def _path(column: str) -> Column:
     return F.regexp_replace(F.url_decode(F.regexp_replace(column, r"\+", "%2B")), "^file:/+", "file:/")
 
 
-def read_rows(spark: SparkSession, folder: str) -> DataFrame:
+def read_rows(spark: SparkSession, folder: str, keep: Keep = lazily) -> DataFrame:
     """Every record of every *.csv below a folder as an array of texts, with where it came from.
 
-    The widest record of the load is measured first, and records are read with one cell more, so
-    none fits: each one's text is there to count its fields, and nothing is cut off. Folders
-    starting with "." or "_" are skipped by the file listing. Quoted line breaks need whole-file
-    parsing, so a file is one task; the work spreads over the files.
+    A file is read by as many tasks as it has byte ranges. The widest record of the load is measured
+    first, so nothing is cut off. Folders starting with "." or "_" are skipped by the file listing.
     """
-    fields = F.greatest(_n_fields(F.col("raw")), F.when(F.col("c0").isNull(), 0).otherwise(1))
-    widest = _reader(spark, folder, 1).agg(F.max(fields)).first()[0] or 1
+    texts = csv_records(spark, folder, CSV_NAMES, keep).withColumn("n_fields", _n_fields(F.col("record")))
+    widest = texts.agg(F.max("n_fields")).first()[0] or 1
     cells = [f"c{i}" for i in range(widest + 1)]
-    path = _path("_metadata.file_path")
+    parsed = F.from_csv("record", ", ".join(f"{c} string" for c in cells), {"multiLine": "true", "escape": '"'})
+    path = _path("path")
     parts = F.split(path, "/")
     outer = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda x: F.concat(F.lit("1"), x))
-    return _reader(spark, folder, widest + 1).select(
-        F.array(*[F.coalesce(c, F.lit("")) for c in cells]).alias("cells"),
-        _n_fields(F.col("raw")).alias("n_fields"),
+    return texts.withColumn("row", parsed).select(
+        F.array(*[F.coalesce(F.col(f"row.{c}"), F.lit("")) for c in cells]).alias("cells"),
+        "n_fields",
         path.alias("file"),
         # files of a folder come before its subfolders, names in order
         F.concat(outer, F.array(F.concat(F.lit("0"), F.element_at(parts, -1)))).alias("file_order"),
-        F.col("_metadata.file_modification_time").alias("modified"),
-        F.monotonically_increasing_id().alias("position"),
+        "modified",
+        "position",
     )
 
 
@@ -84,21 +73,22 @@ def kind_of(header: Column) -> Column:
 
 
 def tag_rows(rows: DataFrame) -> DataFrame:
-    """Every record with its file's header and kind, its place in the file (the header is at 1), and
-    whether it counts: a record that is neither header nor too short nor blank.
+    """Every record with its file's header and kind, whether it is one below the header, and whether it
+    counts: a record that is neither header nor too short nor blank.
 
-    A file lies in one task already, so its first record is found there, within one scan.
+    The header is a file's first record, one row a file that meets the others of the file in a join.
     """
-    file = Window.partitionBy("file").orderBy("position")
-    header = F.transform(F.first("cells").over(file), lambda x: F.trim(F.regexp_replace(x, "\ufeff", "")))
+    first = rows.groupBy("file").agg(F.min("position").alias("first"), F.min_by("cells", "position").alias("names"))
+    header = F.transform("names", lambda x: F.trim(F.regexp_replace(x, "\ufeff", "")))
     tagged = (
-        rows.withColumn("header", header).withColumn("place", F.row_number().over(file))
+        rows.join(first.select("file", "first", header.alias("header")), "file")
+        .withColumn("is_record", F.col("position") != F.col("first")).drop("first")
         .withColumn("kind", kind_of(F.col("header")))
     )
     counts = F.lit(False)
     for kind in fv.SIGNATURES:
         counts = counts | ((F.col("kind") == kind) & is_usable(kind))
-    return tagged.withColumn("counts", F.coalesce(counts, F.lit(False)) & (F.col("place") > 1))
+    return tagged.withColumn("counts", F.coalesce(counts, F.lit(False)) & F.col("is_record"))
 
 
 def file_report(tagged: DataFrame, files: DataFrame) -> DataFrame:
@@ -106,7 +96,7 @@ def file_report(tagged: DataFrame, files: DataFrame) -> DataFrame:
 
     A file without any record is listed with none.
     """
-    is_record = F.col("place") > 1
+    is_record = F.col("is_record")
     sums = tagged.groupBy("file").agg(
         F.first("kind").alias("kind"), F.count_if(is_record).alias("records"),
         F.count_if(is_record & F.col("kind").isNotNull() & ~F.col("counts")).alias("ignored"),
@@ -425,7 +415,11 @@ def load_exports(spark: SparkSession, folder: str, root: str, rules: Rules, load
     out, work = f"{root}/loads/{load}", f"{root}/work/{load}"
     known = exports()
     try:
-        tagged = tag_rows(read_rows(spark, folder))
+        def stored(name: str, df: DataFrame) -> DataFrame:
+            df.write.parquet(f"{work}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{work}/{name}")
+
+        tagged = tag_rows(read_rows(spark, folder, stored))
         # what doesn't count lies apart: no later plan can meet a header where it expects a date
         tagged.write.partitionBy("kind", "counts").parquet(f"{work}/records")
         rows = spark.read.schema(tagged.schema).parquet(f"{work}/records")
