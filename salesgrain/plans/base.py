@@ -238,7 +238,7 @@ class Base:
         rows = met.where(is_menu | (F.col("on_menu") & ~F.col("on_copy")))
         is_unit = ~F.col("on_copy") & ~F.col("is_free")
         sold = rows.select(
-            "order_id", "itemid", "item_code", "item_name", "tree_category", "bev_tier", "source",
+            "order_id", "line_id", "itemid", "item_code", "item_name", "tree_category", "bev_tier", "source",
             F.when(is_unit, F.col("qty")).alias("qty"), F.when(is_unit, F.col("thb")).alias("thb"),
             is_unit.alias("is_unit"), (F.col("is_gift") & ~F.col("on_copy")).alias("is_gift"), "is_taken",
         )
@@ -252,7 +252,7 @@ class Base:
         )
         placed = (
             self.sold_rows.where("is_unit")
-            .drop("is_unit", "is_gift", "is_taken")
+            .drop("line_id", "is_unit", "is_gift", "is_taken")
             .join(place, "order_id")
         )
         return self.stage.keep("units", placed)
@@ -262,15 +262,20 @@ class Base:
         """Kept orders with sums over their sold rows; an order without rows gets zeros.
 
         Lines are summed to the order before they meet order scalars, so no scalar is ever
-        multiplied by a line count. They already lie by order, so the sums shuffle nothing.
+        multiplied by a line count. They already lie and are sorted by order, so windows sum them as
+        they pass: nothing is shuffled or sorted again, and a task holds the rows of one order and
+        no table of all its orders.
         taken_home: every main and set on the bill was.
         """
-        exact = "CAST(sum({value}) AS DECIMAL(18,4)) AS {name}"
-        per_order = self.sold_rows.groupBy("order_id").agg(
+        exact = "CAST(sum({value}) OVER (PARTITION BY order_id) AS DECIMAL(18,4)) AS {name}"
+        whole = Window.partitionBy("order_id")
+        numbered = self.sold_rows.withColumn("_nth", F.row_number().over(whole.orderBy("line_id")))
+        per_order = numbered.select(
+            "order_id", "_nth",
             *[F.expr(exact.format(value=unit_column(c), name=c)) for c in sums],
-            F.bool_or("is_gift").alias("_gift"),
-            F.bool_and("is_taken").alias("_taken"),
-        )
+            F.bool_or("is_gift").over(whole).alias("_gift"),
+            F.bool_and("is_taken").over(whole).alias("_taken"),
+        ).where("_nth = 1").drop("_nth")
         zeros = {c: 0 for c in sums}
         promo = F.when(F.col("_gift"), self.rules.buy2get1_promo).otherwise(self.rules.no_promo)
         return (

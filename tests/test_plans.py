@@ -70,6 +70,50 @@ def test_no_query_reads_facts_again_and_again(spark):
     assert not over
 
 
+def operators_above(plan: str, marker: str) -> list[str]:
+    """From the line with the marker up to the nearest join: the operators that its rows pass, without the lines between."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if marker in line)
+    depth, out = len(lines[at]), []
+    for line in reversed(lines[:at]):
+        indent = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        if indent < depth:
+            depth = indent
+            out.append(line.strip(" :+-"))
+        if "Join" in line:
+            return out
+    return out
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["insight_attach_layers", "tree_daily", "hourly", "base_order_facts", "base_promo"])
+def test_sums_per_order_keep_no_table_of_orders(spark, name):
+    """Rows are sorted by order once and summed as they pass, up to the join with orders: no hash table, no second sort."""
+    passed = operators_above(physical(all_queries()[name](spark, SF)), "REPARTITION_BY_COL")
+    assert sum("Sort [" in x for x in passed) == 1 and not any("Aggregate" in x for x in passed), passed
+
+
+def test_an_order_whose_rows_share_a_line_has_one_row_of_facts(spark, shop):
+    """Several rows of one line id, as many as one wants, are all summed and the order stays one row."""
+    import domain
+
+    from salesgrain.plans.catalog import Tables
+    from salesgrain.sources.relations import frame_relations
+
+    data = domain.frames(spark)
+    twice = data["order_lines"].unionByName(data["order_lines"])
+    t = Tables(frame_relations(spark, {**data, "order_lines": twice}), domain.PARAMS)
+
+    def menu_mains(t):
+        facts = t.base.facts(["main_units", "main_thb"]).select("order_id", "main_units", "main_thb").collect()
+        return {r["order_id"]: (r["main_units"], r["main_thb"]) for r in facts}, len(facts)
+
+    once, orders = menu_mains(shop)
+    doubled, rows_ = menu_mains(t)
+    assert rows_ == orders == len(once) and any(units for units, _ in once.values())
+    assert doubled == {order: (2 * units, 2 * thb) for order, (units, thb) in once.items()}
+
+
 @needs_data
 @pytest.mark.parametrize("name", [
     "tree_daily", "pair_lift", "party_size", "bill_intervals", "occupancy_hourly", "calendar_daily",
