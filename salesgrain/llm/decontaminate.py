@@ -6,7 +6,9 @@ matches, so of any more words than may be missing a copy has some. The words of
 over the whole corpus, and the rarest of an item are its seeds: as many as may be missing, and a third of the
 matches beyond them. Wherever a copy is, at least that third of the matches are seeds, whatever the edits are,
 and where a document has so many of an item's seeds within reach, it is aligned with the item word by word.
-Counts decide the cost alone: an item's seeds find all its copies, be they rare or not.
+Counts decide the cost alone: an item's seeds find all its copies, be they rare or not. Only a stretch that
+shares as many words with the item, in its order, as the score takes is aligned. Texts are taken in blocks, so
+that a short text costs its words and not a round of array calls.
 
 Items are matched in slices of at most SLICE_ITEMS, the only thing tasks hold besides their own rows;
 a larger benchmark means further passes over the documents.
@@ -19,7 +21,7 @@ reported each; an empty table on either side gives an empty result; further colu
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesgrain.llm.shared import Scratch, unused_name
-from salesgrain.llm.words import words_of
+from salesgrain.llm.words import words_of, words_of_texts
 
 RUN_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, 1
@@ -66,11 +68,46 @@ def reach_of(n: int, min_score: float) -> int:
     return n + math.floor(MATCH * (1 - min_score) * n / GAP + 1e-9)
 
 
+def longest_shared(item: list[int], window: list[int]) -> int:
+    """The most words that an item and a window share in order, by bits: one for each word of the item.
+
+    A bit of `steps` is clear where the longest row of words shared with the item so far grows by one.
+    """
+    places: dict[int, int] = {}
+    for i, word in enumerate(item):
+        places[word] = places.get(word, 0) | 1 << i
+    everything = (1 << len(item)) - 1
+    steps = everything
+    for word in window:
+        met = steps & places.get(word, 0)
+        steps = ((steps + met) | (steps - met)) & everything
+    return len(item) - steps.bit_count()
+
+
+class KnownCodes:
+    """Sorted distinct codes, and a table of their first bits that turns most other words away."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes = codes
+        bits = max(16, (16 * len(codes)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.first_bits = np.zeros(1 << bits, dtype=bool)
+        self.first_bits[codes >> self.shift] = True
+
+    def found(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the words that are known, and which codes these are."""
+        places = np.flatnonzero(self.first_bits[words >> self.shift])
+        at = np.searchsorted(self.codes, words[places])
+        same = np.flatnonzero(self.codes[np.minimum(at, len(self.codes) - 1)] == words[places])
+        return places[same], at[same]
+
+
 class Items:
     """Test items by their seeds."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], counts: dict[int, int], min_score: float):
         self.items = items
+        self.sorted_words = [np.unique(words) for _, words in items]
         self.min_scores = [min_score if len(words) >= RUN_WORDS else 1.0 for _, words in items]
         sized = [(len(words), score) for (_, words), score in zip(items, self.min_scores)]
         self.needed = np.array([matches_needed(n, score) for n, score in sized], dtype=np.int64)
@@ -81,64 +118,70 @@ class Items:
             rarest = sorted(words.tolist(), key=lambda code: (counts.get(code, 0), code))
             for code in set(rarest[: max(0, len(words) - self.needed[number] + self.hits[number])]):
                 seeds.setdefault(code, []).append(number)
-        self.codes = np.array(sorted(seeds), dtype=np.uint64)
-        self.n_owners = np.array([len(seeds[code]) for code in self.codes.tolist()], dtype=np.int64)
+        self.seeds = KnownCodes(np.array(sorted(seeds), dtype=np.uint64))
+        owners = [seeds[code] for code in self.seeds.codes.tolist()]
+        self.n_owners = np.array([len(numbers) for numbers in owners], dtype=np.int64)
         self.first_owner = np.cumsum(self.n_owners) - self.n_owners
-        self.owners = np.array([number for code in self.codes.tolist() for number in seeds[code]], dtype=np.int64)
-
-    def leaks(self, text: str | None) -> list[tuple[int, float, int, int]]:
-        """(item_id, score, first and last word) of every item that the text has a copy of."""
-        words, _, _ = words_of(text)
-        if not len(words) or not len(self.codes):
-            return []
-        best: dict[int, tuple[int, float, int, int]] = {}
-        for number, low, high in self.candidates(words):
-            found = self.best(words, number, low, high)
-            if found and (number not in best or found[1] > best[number][1]):
-                best[number] = found
-        return [best[number] for number in sorted(best)]
-
-    def candidates(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """Item, first and last word (exclusive) of the stretches where an item's seeds are dense enough."""
-        at = np.searchsorted(self.codes, words)
-        places = np.flatnonzero(self.codes[np.minimum(at, len(self.codes) - 1)] == words)
-        order = np.argsort(at[places], kind="stable")
-        places = places[order]
-        codes, first, count = np.unique(at[places], return_index=True, return_counts=True)
-        pair = expanded(self.first_owner[codes], self.n_owners[codes])
-        owner, first, count = (self.owners[pair], *(np.repeat(x, self.n_owners[codes]) for x in (first, count)))
-        enough = np.bincount(owner, count, len(self.items)) >= self.hits
-        chosen = np.flatnonzero(enough[owner])
-        chosen = chosen[np.argsort(owner[chosen], kind="stable")]
-        owner, first, count = owner[chosen], first[chosen], count[chosen]
-        # whole items at a time, of so many hits together that they fit
-        ends = np.flatnonzero(np.diff(owner, append=-1)) + 1
-        block = np.cumsum(count)[ends - 1] // HITS_AT_ONCE
-        begin = 0
-        for end in ends[np.flatnonzero(np.diff(block, append=-1))]:
-            part = slice(begin, end)
-            yield from self.dense(np.repeat(owner[part], count[part]), places[expanded(first[part], count[part])])
-            begin = end
+        self.owners = np.array([number for numbers in owners for number in numbers], dtype=np.int64)
+
+    def leaks(self, texts: Iterable[str | None]) -> Iterator[list[tuple[int, float, int, int]]]:
+        """For each text (item_id, score, first and last word) of every item that it has a copy of."""
+        for words, first in words_of_texts(texts):
+            best: list[dict[int, tuple[int, float, int, int]]] = [{} for _ in first[1:]]
+            for text, number, low, high in self.candidates(words, first):
+                known = best[text]
+                found = self.best(words[first[text] : first[text + 1]], number, low, high)
+                if found and (number not in known or found[1] > known[number][1]):
+                    known[number] = found
+            for known in best:
+                yield [known[number] for number in sorted(known)]
+
+    def candidates(self, words: np.ndarray, first_words: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Text of a block, item, first and last word (exclusive) of the stretches where an item's seeds are dense enough.
+
+        The words of a text are numbered from 0; a stretch may begin before its text and end after it.
+        """
+        places, codes = self.seeds.found(words)
+        if not len(places):
+            return
+        texts = np.searchsorted(first_words, places, side="right") - 1
+        keys = texts * len(self.seeds.codes) + codes
+        order = np.argsort(keys, kind="stable")
+        places, keys = places[order], keys[order]
+        first, count = groups(keys)
+        texts, codes = np.divmod(keys[first], len(self.seeds.codes))
+        # whole texts at a time, of so many seeds, owners and sums together that they fit
+        sizes = self.n_owners[codes]
+        sizes[groups(texts)[0]] += len(self.items)
+        for part in fitting(texts, sizes):
+            n_owners = self.n_owners[codes[part]]
+            pair = expanded(self.first_owner[codes[part]], n_owners)
+            owner = np.repeat(texts[part] - texts[part.start], n_owners) * len(self.items) + self.owners[pair]
+            begin, n = np.repeat(first[part], n_owners), np.repeat(count[part], n_owners)
+            chosen = np.flatnonzero(np.bincount(owner, n)[owner] >= self.hits[self.owners[pair]])
+            chosen = chosen[np.argsort(owner[chosen], kind="stable")]
+            owner, begin, n = owner[chosen], begin[chosen], n[chosen]
+            # whole items at a time, of so many hits together that they fit
+            for some in fitting(owner, n):
+                hits = places[expanded(begin[some], n[some])]
+                for key, low, high in self.dense(np.repeat(owner[some], n[some]), hits):
+                    text, number = divmod(key, len(self.items))
+                    text += int(texts[part.start])
+                    yield text, number, low - int(first_words[text]), high - int(first_words[text])
 
     def dense(self, owner: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, int, int]]:
         order = np.lexsort((place, owner))
         owner, place = owner[order], place[order]
-        last = np.arange(len(owner)) + self.hits[owner] - 1
+        hits, reach = (x[owner % len(self.items)] for x in (self.hits, self.reach))
+        last = np.arange(len(owner)) + hits - 1
         inside = np.minimum(last, len(owner) - 1)
-        reach = self.reach[owner]
         near = np.flatnonzero((last == inside) & (owner[inside] == owner) & (place[inside] - place < reach))
-        number, low, high = None, 0, 0
-        for item, begin, end in zip(
-            owner[near].tolist(), (place[inside[near]] - reach[near] + 1).tolist(), (place[near] + reach[near]).tolist()
-        ):
-            if item == number and begin <= high:
-                high = end
-                continue
-            if number is not None:
-                yield number, low, high
-            number, low, high = item, begin, end
-        if number is not None:
-            yield number, low, high
+        owner, low, high = owner[near], place[inside[near]] - reach[near] + 1, place[near] + reach[near]
+        # stretches of an item that meet are one
+        apart = np.flatnonzero((owner[1:] != owner[:-1]) | (low[1:] > high[:-1])) + 1
+        first = np.concatenate([[0], apart])[: len(owner)]
+        ends = np.concatenate([apart, [len(owner)]])[: len(owner)]
+        yield from zip(owner[first].tolist(), low[first].tolist(), high[ends - 1].tolist())
 
     def best(self, words: np.ndarray, number: int, low: int, high: int) -> tuple[int, float, int, int] | None:
         """The best alignment within a stretch, where its score is enough."""
@@ -146,12 +189,18 @@ class Items:
         low, high = max(0, low), min(len(words), high)
         window = words[low:high]
         # an alignment has at most as many matches as the words within its reach that are the item's
-        met = np.concatenate([[0], np.cumsum(np.isin(window, item))])
+        own = self.sorted_words[number]
+        is_own = own[np.minimum(np.searchsorted(own, window), len(own) - 1)] == window
+        met = np.concatenate([[0], np.cumsum(is_own)])
         reach = min(int(self.reach[number]), len(window))
         full = np.flatnonzero(met[reach:] - met[: len(met) - reach] >= self.needed[number])
         if not len(full):
             return None
-        low, window = low + int(full[0]), window[full[0] : full[-1] + reach]
+        # and at most as many as stand there in the item's order
+        stretch = slice(int(full[0]), int(full[-1]) + reach)
+        low, window = low + stretch.start, window[stretch]
+        if longest_shared(item.tolist(), window[is_own[stretch]].tolist()) < self.needed[number]:
+            return None
         points, end = align(item, window)
         score = points / (MATCH * len(item))
         if score < self.min_scores[number]:
@@ -165,16 +214,31 @@ def expanded(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
 
 
+def groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal keys begins, and how long it is."""
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return first, np.diff(first, append=len(keys))
+
+
+def fitting(keys: np.ndarray, sizes: np.ndarray) -> Iterator[slice]:
+    """Slices of whole runs of equal keys, of about HITS_AT_ONCE together, or one larger run."""
+    ends = np.flatnonzero(np.diff(keys, append=-1)) + 1
+    block = np.cumsum(sizes)[ends - 1] // HITS_AT_ONCE
+    begin = 0
+    for end in ends[np.flatnonzero(np.diff(block, append=-1))]:
+        yield slice(begin, end)
+        begin = end
+
+
 def word_counts(docs: DataFrame, codes: np.ndarray) -> dict[int, int]:
     """How often each of the codes is in the corpus; tasks send sums, one row for each code at most."""
+    known = KnownCodes(codes)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals = np.zeros(len(codes), dtype=np.int64)
         for batch in batches:
-            for text in batch["text"]:
-                words, _, _ = words_of(text)
-                at = np.minimum(np.searchsorted(codes, words), len(codes) - 1)
-                totals += np.bincount(at[codes[at] == words], minlength=len(codes))
+            for words, _ in words_of_texts(batch["text"]):
+                totals += np.bincount(known.found(words)[1], minlength=len(codes))
         met = np.flatnonzero(totals)
         yield pd.DataFrame({"place": met, "n": totals[met]})
 
@@ -205,7 +269,7 @@ def leak_finder(items: Items):
     @F.pandas_udf(LEAKS)
     def leaks(texts: pd.Series) -> pd.Series:
         keys = ("item_id", "score", "first_word", "last_word")
-        return pd.Series([[dict(zip(keys, leak)) for leak in items.leaks(text)] for text in texts], dtype="object")
+        return pd.Series([[dict(zip(keys, leak)) for leak in found] for found in items.leaks(texts)], dtype="object")
 
     return leaks
 

@@ -6,6 +6,7 @@ import numpy as np
 from corpus_rows import SCHEMA, frame, hard_texts, prose, words
 
 from salesgrain.llm import decontaminate as dec
+from salesgrain.llm import words as word_hashes
 
 
 def local_score(item: list[str], text: list[str]) -> int:
@@ -127,3 +128,49 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, prose(1, 30))], "item_id long, text string")
     assert dec.find_leaks(empty, some).collect() == [] == dec.find_leaks(frame(spark, hard_texts()[:5]), none).collect()
     assert dec.drop_leaky(frame(spark, hard_texts()[:5]), none).count() == 5
+
+
+def test_words_of_blocks_are_the_words_of_each_text(monkeypatch):
+    texts = [t for _, t, _ in hard_texts()] + ["\x00a\x7fb", "日本 𝒳x", "no break", "\ud800lone", "word", "", None]
+    for size in (1, 2, 40, 700, 1 << 16):
+        monkeypatch.setattr(word_hashes, "BLOCK_CHARS", size)
+        got = [ws[a:b].tolist() for ws, first in word_hashes.words_of_texts(texts) for a, b in zip(first, first[1:])]
+        assert got == [word_hashes.words_of(t)[0].tolist() for t in texts]
+
+
+def test_longest_shared_cell_by_cell():
+    rng = random.Random(8)
+    for _ in range(60):
+        a, b = ([rng.randint(0, 4) for _ in range(rng.randint(1, 80))] for _ in range(2))
+        above = [0] * (len(b) + 1)
+        for x in a:
+            row = [0]
+            for j, y in enumerate(b):
+                row.append(above[j] + 1 if x == y else max(above[j + 1], row[j]))
+            above = row
+        assert dec.longest_shared(a, b) == above[-1]
+
+
+def test_texts_of_a_block_share_their_steps_and_nothing_else(monkeypatch):
+    own = [prose(900 + i, 30) for i in range(6)]
+    items = dec.Items([(i, word_hashes.words_of(t)[0]) for i, t in enumerate(own)], {}, dec.MIN_SCORE)
+    half = [" ".join(own[0].split()[:15]), " ".join(own[0].split()[15:])]  # a copy across two texts is none
+    texts = [*half, None, own[1] + " " + prose(5, 40), "", *half, own[2] + "\n" + own[1], *(prose(i, 9) for i in range(500))]
+    looked_up, found = [], dec.KnownCodes.found
+    monkeypatch.setattr(dec.KnownCodes, "found", lambda self, words: looked_up.append(len(words)) or found(self, words))
+    got = list(items.leaks(texts))
+    assert [sorted(leak[0] for leak in leaks) for leaks in got] == [[], [], [], [1], [], [], [], [1, 2]] + [[]] * 500
+    assert got[7] == [(1, 1.0, 30, 59), (2, 1.0, 0, 29)]
+    assert len(looked_up) == 1 and sum(looked_up) == sum(len(words(t)) for t in texts)
+    monkeypatch.setattr(dec, "HITS_AT_ONCE", 7)
+    assert list(items.leaks(texts)) == got == [leaks for t in texts for leaks in items.leaks([t])]
+
+
+def test_words_out_of_order_are_not_aligned(monkeypatch):
+    own = [f"own{k}" for k in range(40)]
+    items = dec.Items([(1, word_hashes.words_of(" ".join(own))[0])], {}, dec.MIN_SCORE)
+    mixed_up = own[::-1]
+    aligned, align = [], dec.align
+    monkeypatch.setattr(dec, "align", lambda item, window: aligned.append(len(window)) or align(item, window))
+    assert list(items.leaks([" ".join(mixed_up)])) == [[]] and not aligned
+    assert list(items.leaks([" ".join(own)])) == [[(1, 1.0, 0, 39)]] and aligned
